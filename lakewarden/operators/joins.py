@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakewarden.functions import deterministic_id, ipv4_to_long
-from lakewarden.plans.sizing import null_safe, rows_at_most, unique_by
+from lakewarden.plans.sizing import local_table, null_safe, rows_at_most, unique_by
 
 # Fixed values.
 REFERENCE_PATTERN = r"^\{\{secrets/([^/]+)/([^}]+)\}\}$"
@@ -146,7 +146,7 @@ def _lookup_short(df: DataFrame, address: Column, rows: list) -> DataFrame:
             name = F.when(F.col("__ip").isNotNull(), F.lit(same[0][1]))
             found = found.withColumn("__name_0", name)
             continue
-        table = spark.createDataFrame(same, f"__network_{p} bigint, __name_{p} string")
+        table = local_table(spark, same, f"__network_{p} bigint, __name_{p} string")
         found = found.join(
             F.broadcast(table), F.shiftrightunsigned("__ip", 32 - p) == F.col(f"__network_{p}"), "left"
         ).drop(f"__network_{p}")

@@ -27,7 +27,7 @@ def cost_by_tag(
     value = F.try_element_at(F.col(tags), F.lit(tag))
     bucket = (
         F.when(value.isNull() | (value == ""), "untagged")
-        .when(~value.rlike(f"^(?:{pattern})$"), "invalid")
+        .when(~value.rlike(rf"\A(?:{pattern})\z"), "invalid")
         .otherwise(value)
     )
     amount = F.col(cost) if isinstance(cost, str) else cost

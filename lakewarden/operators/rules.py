@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakewarden.plans.sizing import rows_at_most
+from lakewarden.plans.sizing import local_table, rows_at_most
 
 RULE_SCHEMA = T.StructType(
     [
@@ -91,7 +91,7 @@ def rules_frame(spark: SparkSession, rules: Iterable[Rule]) -> DataFrame:
          number(r.min_value), number(r.max_value), r.default_value, r.is_optional, r.hidden)
         for r in rules
     ]
-    return spark.createDataFrame(rows, RULE_SCHEMA)
+    return local_table(spark, rows, RULE_SCHEMA)
 
 
 # --- single rules over a column -------------------------------------------------------------------
@@ -125,7 +125,7 @@ def _outside(value: Column, low: float | None, high: float | None) -> Column:
 
 
 def _whole(pattern: str) -> str:
-    return f"^(?:{pattern})$"
+    return rf"\A(?:{pattern})\z"
 
 
 def rule_fixed(df: DataFrame, id_col: str, col: str, value: object) -> DataFrame:
@@ -363,7 +363,7 @@ def policy_violations_long(entities: DataFrame, rules: DataFrame) -> DataFrame:
         | F.coalesce(number < rule["min_value"], F.lit(False))
         | F.coalesce(number > rule["max_value"], F.lit(False))
     )
-    whole = F.concat(F.lit("^(?:"), rule["pattern"], F.lit(")$"))
+    whole = F.concat(F.lit(r"\A(?:"), rule["pattern"], F.lit(r")\z"))
 
     def end(bound):
         return F.coalesce(F.regexp_replace(bound.cast("string"), r"\.0$", ""), F.lit(""))
@@ -406,7 +406,7 @@ def policy_summary(violations: DataFrame, entities: DataFrame, rules: Sequence[R
     )
     kinds = {(r.path, r.type) for r in rules if r.type not in ("required", "unlimited")}
     kinds |= {(r.path, "required") for r in rules if r.type == "required" or not r.is_optional}
-    listed = spark.createDataFrame([*sorted(kinds), ("all", "any")], "path string, rule_type string")
+    listed = local_table(spark, [*sorted(kinds), ("all", "any")], "path string, rule_type string")
     violating = F.coalesce("violating", F.lit(0)).cast("bigint")
     return listed.join(counted, ["path", "rule_type"], "left").select(
         "path",

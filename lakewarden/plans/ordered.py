@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakewarden.plans.sizing import null_safe
+from lakewarden.plans.sizing import local_table, null_safe
 from lakewarden.session import shared_dir
 
 ROWS_PER_TASK = 5_000_000
@@ -64,7 +64,7 @@ def ordered_columns(
         [T.StructField(r, df.schema[k].dataType) for r, k in zip(renamed, keys, strict=True)]
     )
     # At most LARGE_GROUPS rows.
-    large = F.broadcast(spark.createDataFrame([tuple(g[k] for k in keys) for g in groups], schema))
+    large = F.broadcast(local_table(spark, [tuple(g[k] for k in keys) for g in groups], schema))
     is_large = null_safe(df, large, list(zip(keys, renamed, strict=True)))
     plain = _within(df.join(large, is_large, "left_anti"), keys, order, sums, number, nexts)
 

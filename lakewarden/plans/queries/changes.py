@@ -16,6 +16,7 @@ from lakewarden.operators.changes import (
     version_history,
 )
 from lakewarden.plans.registry import query, table
+from lakewarden.plans.sizing import local_table
 
 
 @query(
@@ -96,7 +97,7 @@ def _named(spark, sf_dir):
 )
 def apply_replacements_query(spark, sf_dir):
     return apply_replacements(
-        _named(spark, sf_dir), spark.createDataFrame(REPLACEMENTS, "name string, value string")
+        _named(spark, sf_dir), local_table(spark, REPLACEMENTS, "name string, value string")
     )
 
 
@@ -109,7 +110,7 @@ def apply_replacements_query(spark, sf_dir):
 )
 def unmatched_replacements_query(spark, sf_dir):
     return unmatched_replacements(
-        _named(spark, sf_dir), spark.createDataFrame(REPLACEMENTS, "name string, value string")
+        _named(spark, sf_dir), local_table(spark, REPLACEMENTS, "name string, value string")
     )
 
 

@@ -12,6 +12,7 @@ from lakewarden.operators.joins import (
     resolve_references,
 )
 from lakewarden.plans.registry import query, table
+from lakewarden.plans.sizing import local_table
 
 
 @query(
@@ -130,7 +131,7 @@ ADDRESS_RANGES = [
 def cidr_lookup_query(spark, sf_dir):
     ip = F.lit(167837696) + (F.col("user_id") * 131 + F.col("event_id") * 7) % 90000
     events = table(spark, sf_dir, "events").select("event_id", ip.alias("ip"))
-    return cidr_lookup(events, "ip", spark.createDataFrame(ADDRESS_RANGES, "name string, cidr string"))
+    return cidr_lookup(events, "ip", local_table(spark, ADDRESS_RANGES, "name string, cidr string"))
 
 
 RULE_COLUMNS = (
@@ -203,7 +204,7 @@ def event_flows(events):
 )
 def first_match_query(spark, sf_dir):
     flows = event_flows(table(spark, sf_dir, "events"))
-    rules = spark.createDataFrame(FLOW_RULES, RULE_COLUMNS)
+    rules = local_table(spark, FLOW_RULES, RULE_COLUMNS)
     return first_match(flows, rules).select("event_id", "access", "matched_priority")
 
 

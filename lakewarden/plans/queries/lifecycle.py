@@ -13,6 +13,7 @@ from lakewarden.operators.lifecycle import (
     with_last_access,
 )
 from lakewarden.plans.registry import AS_OF_EVENTS, AS_OF_ORDERS, query, table
+from lakewarden.plans.sizing import local_table
 
 INVENTORY_SQL = """
     WITH inventory AS (
@@ -121,7 +122,7 @@ EVENT_PERIODS_SQL = "(VALUES ('click', 3), ('view', 7), ('purchase', 20), ('erro
 
 
 def _periods(spark):
-    return spark.createDataFrame(EVENT_PERIODS, "dataset string, days int")
+    return local_table(spark, EVENT_PERIODS, "dataset string, days int")
 
 
 @query(

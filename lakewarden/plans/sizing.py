@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Row
+from collections.abc import Iterable
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 
 def rows_at_most(df: DataFrame, limit: int) -> list[Row] | None:
@@ -36,3 +41,15 @@ def null_safe(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]]) -
     for a, b in pairs:
         condition = condition & left[a].eqNullSafe(right[b])
     return condition
+
+
+def local_table(spark: SparkSession, rows: Iterable[tuple], schema: str | T.StructType) -> DataFrame:
+    """A table of a few rows whose size Spark knows, so that it can decide to broadcast it.
+
+    ``spark.createDataFrame`` on a list gives an RDD of unknown size, which joins by a shuffle.
+    """
+    fields = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
+    columns = list(zip(*rows, strict=True)) or [()] * len(fields)
+    arrow = to_arrow_schema(fields)
+    arrays = [pa.array(list(c), type=f.type) for c, f in zip(columns, arrow, strict=True)]
+    return spark.createDataFrame(pa.Table.from_arrays(arrays, schema=arrow), fields)
