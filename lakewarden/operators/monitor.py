@@ -24,7 +24,8 @@ def cost_by_tag(
     Rows without the tag are ``untagged``; values the pattern does not match as a whole are
     ``invalid``.
     """
-    value = F.try_element_at(F.col(tags), F.lit(tag))
+    # A column of its own, so that the map is built and searched once per row.
+    value = F.col("__value")
     bucket = (
         F.when(value.isNull() | (value == ""), "untagged")
         .when(~value.rlike(rf"\A(?:{pattern})\z"), "invalid")
@@ -32,7 +33,8 @@ def cost_by_tag(
     )
     amount = F.col(cost) if isinstance(cost, str) else cost
     return (
-        usage.select(bucket.alias("tag_value"), amount.alias("__cost"))
+        usage.select(F.try_element_at(F.col(tags), F.lit(tag)).alias("__value"), amount.alias("__cost"))
+        .select(bucket.alias("tag_value"), "__cost")
         .groupBy("tag_value")
         .agg(F.sum("__cost").alias("cost"), F.count(F.lit(1)).alias("rows"))
     )

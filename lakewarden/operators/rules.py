@@ -185,8 +185,8 @@ COMPILED_RULES = 500
 COMPILED_MASKS = 64
 
 
-def _best_rule(path: Column, rules: DataFrame) -> Column | None:
-    """The most specific rule path as an expression, or None when there are too many rules."""
+def _best_rule(paths: DataFrame, rules: DataFrame) -> DataFrame | None:
+    """``paths`` with ``rule_path`` by one expression, or None when there are too many rules."""
     rows = rows_at_most(rules.select("path").distinct(), COMPILED_RULES)
     if rows is None:
         return None
@@ -194,20 +194,23 @@ def _best_rule(path: Column, rules: DataFrame) -> Column | None:
     for row in rows:
         segments = row["path"].split(".")
         wild = tuple(i for i, s in enumerate(segments) if s == "*")
-        by_mask.setdefault((len(segments), wild), []).append(row["path"])
+        by_mask.setdefault((len(segments), wild) if wild else (0, ()), []).append(row["path"])
     if len(by_mask) > COMPILED_MASKS:
         return None
-    parts = F.split(path, r"\.")
-    candidates = [F.lit(None).cast("struct<stars:int,rule_path:string>")]
-    for (length, wild), patterns in sorted(by_mask.items()):
-        masked = F.concat_ws(".", *[F.lit("*") if i in wild else F.get(parts, F.lit(i)) for i in range(length)])
-        candidates.append(
-            F.when(
-                (F.size(parts) == length) & masked.isin(patterns),
-                F.struct(F.lit(-len(wild)).alias("stars"), masked.alias("rule_path")),
-            )
-        )
-    return F.array_max(F.array(*candidates))["rule_path"]
+    # Columns of their own, so that each is computed once per row.
+    parts = paths.withColumn("__parts", F.split("path", r"\."))
+    masked, found = {}, {}
+    for n, ((length, wild), patterns) in enumerate(sorted(by_mask.items())):
+        name = f"__masked_{n}"
+        segments = [F.lit("*") if i in wild else F.get("__parts", F.lit(i)) for i in range(length)]
+        masked[name] = F.when(F.size("__parts") == length, F.concat_ws(".", *segments)) if wild else F.col("path")
+        found.setdefault(len(wild), []).append(F.when(F.col(name).isin(patterns), F.col(name)))
+    by_stars = [c[0] if len(c) == 1 else F.greatest(*c) for _, c in sorted(found.items())]
+    best = F.coalesce(F.lit(None).cast("string"), *by_stars)
+    # Exploding one value keeps later filters on it from repeating the expression.
+    return parts.select(*paths.columns, *[c.alias(n) for n, c in masked.items()]).select(
+        *paths.columns, F.explode_outer(F.array(best)).alias("rule_path")
+    )
 
 
 def _rule_of_path(paths: DataFrame, rules: DataFrame) -> DataFrame:
@@ -238,9 +241,9 @@ def _with_rule_path(paths: DataFrame, rules: DataFrame) -> DataFrame:
 
     A rule document of ordinary size becomes one expression; a longer one is joined.
     """
-    best = _best_rule(F.col("path"), rules)
+    best = _best_rule(paths, rules)
     if best is not None:
-        return paths.withColumn("rule_path", best)
+        return best
     return paths.join(_rule_of_path(paths, rules), "path", "left").select(*paths.columns, "rule_path")
 
 
@@ -282,69 +285,83 @@ def apply_defaults_long(entities: DataFrame, rules: DataFrame) -> DataFrame:
     expected = rules.filter(
         ~F.array_contains(F.split("path", r"\."), "*") & (fill.isNotNull() | ~F.coalesce("is_optional", F.lit(True)))
     ).select("path", fill.alias("fill"))
-    # One value, as long as the rule document.
-    wanted = expected.agg(F.collect_list(F.struct("path", "fill"))).scalar()
-    marked = entities.withColumn("wanted", wanted)
-    is_wanted = F.array_contains(F.transform("wanted", lambda w: w["path"]), F.col("path"))
-    filled = marked.select(
-        "entity_id",
-        "path",
-        F.coalesce(
-            F.col("value"),
-            F.when(is_wanted, F.try_element_at(F.map_from_entries("wanted"), F.col("path"))),
-        ).alias("value"),
+    rows = rows_at_most(expected, COMPILED_RULES)
+    if rows is not None:
+        return _fill_compiled(entities, {r["path"]: r["fill"] for r in rows})
+    # Two values, as long as the rule document, computed once.
+    wanted = expected.agg(F.collect_list("path")).scalar()
+    fills = expected.agg(F.map_from_entries(F.collect_list(F.struct("path", "fill")))).scalar()
+    path = F.col("path")
+    present = entities.groupBy("entity_id").agg(F.collect_set(F.when(F.array_contains(wanted, path), path)).alias("has"))
+    added = present.select("entity_id", F.explode(F.array_except(wanted, F.col("has"))).alias("path"))
+    filled = F.coalesce(F.col("value"), F.try_element_at(fills, path))
+    return entities.select("entity_id", "path", filled.alias("value")).unionByName(
+        added.select("entity_id", "path", F.try_element_at(fills, path).alias("value"))
     )
-    present = marked.groupBy("entity_id").agg(
-        F.collect_set(F.when(is_wanted, F.col("path"))).alias("present")
-    )
-    added = present.withColumn("wanted", wanted).select(
-        "entity_id",
-        F.explode(F.filter("wanted", lambda w: ~F.array_contains("present", w["path"]))).alias("row"),
-    ).select("entity_id", F.col("row.path").alias("path"), F.col("row.fill").alias("value"))
-    return filled.unionByName(added)
 
 
-def _violation(rule_type: Column | str, expected: Column | str) -> Column:
-    as_lit = lambda x: x if isinstance(x, Column) else F.lit(x)
-    return F.struct(as_lit(rule_type).alias("rule_type"), as_lit(expected).cast("string").alias("expected"))
+def _fill_compiled(entities: DataFrame, fills: dict[str, str | None]) -> DataFrame:
+    """The same with the fills as literals and one flag per fill, so that all steps are plain code."""
+    if not fills:
+        return entities.select("entity_id", "path", "value")
+    default = F.lit(None).cast("string")
+    for path, fill in fills.items():
+        if fill is not None:
+            default = F.when(F.col("path") == path, F.lit(fill)).otherwise(default)
+    filled = entities.select("entity_id", "path", F.coalesce("value", default).alias("value"))
+    flags = entities.groupBy("entity_id").agg(
+        *[F.max(F.col("path") == path).alias(f"__has_{n}") for n, path in enumerate(fills)]
+    )
+    lacking = F.array(*[F.when(~F.col(f"__has_{n}"), F.lit(n)) for n in range(len(fills))])
+    added = flags.select("entity_id", F.explode_outer(lacking).alias("n")).filter(F.col("n").isNotNull())
+    paths, values = F.array(*map(F.lit, fills)), F.array(*[F.lit(v).cast("string") for v in fills.values()])
+    return filled.unionByName(
+        added.select("entity_id", F.get(paths, "n").alias("path"), F.get(values, "n").alias("value"))
+    )
 
 
-def _compiled(rule: Rule) -> list[tuple[str, Column]]:
-    """The checks of one rule on its column, as (type, violation or null) pairs."""
+def _compiled(rule: Rule) -> list[tuple[str, str, Column]]:
+    """The checks of one rule on its column: type, what it expects and whether it is broken."""
     value = F.col(f"`{rule.path}`").cast("string")
     checks = []
     if rule.type == "fixed":
-        checks.append(F.when(value != F.lit(rule.value), _violation("fixed", rule.value)))
+        checks.append(("fixed", rule.value, value != F.lit(rule.value)))
     elif rule.type == "range":
-        broken = _outside(value, rule.min_value, rule.max_value)
-        checks.append(F.when(broken, _violation("range", _bounds(rule.min_value, rule.max_value))))
+        low, high = rule.min_value, rule.max_value
+        checks.append(("range", _bounds(low, high), _outside(F.col(f"`{rule.path}`"), low, high)))
     elif rule.type == "regex":
-        checks.append(F.when(~value.rlike(_whole(rule.pattern)), _violation("regex", rule.pattern)))
+        checks.append(("regex", rule.pattern, ~value.rlike(_whole(rule.pattern))))
     elif rule.type == "allowlist":
         listed = list(rule.values or [])
-        checks.append(F.when(~value.isin(listed), _violation("allowlist", ",".join(listed))))
+        checks.append(("allowlist", ",".join(listed), ~value.isin(listed)))
     elif rule.type == "forbidden":
-        checks.append(F.when(value.isNotNull(), _violation("forbidden", "absent")))
+        checks.append(("forbidden", "absent", value.isNotNull()))
     elif rule.type not in ("required", "unlimited"):
         raise ValueError(f"unknown rule type {rule.type!r} for {rule.path}")
     if rule.type == "required" or not rule.is_optional:
-        empty = value.isNull() | (F.length(value) < 1)
-        checks.append(F.when(empty, _violation("required", "length 1..")))
+        checks.append(("required", "length 1..", value.isNull() | (F.length(value) < 1)))
     return checks
 
 
 def policy_violations(entities: DataFrame, id_col: str, rules: Sequence[Rule]) -> DataFrame:
     """Wide form: every violation of every rule in one projection over one scan."""
     filled = apply_defaults(entities, rules)
-    checks = [
-        F.struct(F.lit(r.path).alias("path"), check.alias("found"), F.col(f"`{r.path}`").cast("string").alias("actual"))
-        for r in rules
-        for check in _compiled(r)
-    ]
-    broken = F.filter(F.array(*checks), lambda c: c["found"].isNotNull())
-    return filled.select(
-        F.col(f"`{id_col}`").cast("string").alias("entity_id"), F.explode(broken).alias("v")
-    ).select("entity_id", "v.path", "v.found.rule_type", "v.found.expected", "v.actual")
+    checks = [(rule.path, *check) for rule in rules for check in _compiled(rule)]
+    # Only the numbers of broken checks are exploded. Not a plain explode: for that Spark adds a
+    # filter which runs all checks a second time.
+    broken = F.array(*[F.when(check[3], F.lit(n)) for n, check in enumerate(checks)])
+    found = filled.select("*", F.explode_outer(broken).alias("__n")).filter(F.col("__n").isNotNull())
+
+    def described(position: int, name: str) -> Column:
+        return F.get(F.array(*[F.lit(check[position]) for check in checks]), "__n").alias(name)
+
+    return found.select(
+        F.col(f"`{id_col}`").cast("string").alias("entity_id"),
+        described(0, "path"),
+        described(1, "rule_type"),
+        described(2, "expected"),
+        F.get(F.array(*[F.col(f"`{check[0]}`").cast("string") for check in checks]), "__n").alias("actual"),
+    )
 
 
 def policy_violations_long(entities: DataFrame, rules: DataFrame) -> DataFrame:
@@ -364,27 +381,31 @@ def policy_violations_long(entities: DataFrame, rules: DataFrame) -> DataFrame:
         | F.coalesce(number > rule["max_value"], F.lit(False))
     )
     whole = F.concat(F.lit(r"\A(?:"), rule["pattern"], F.lit(r")\z"))
+    content = (
+        F.when(kind == "fixed", value != rule["value"])
+        .when(kind == "range", value.isNotNull() & outside)
+        .when(kind == "regex", ~F.rlike(value, whole))
+        .when(kind == "allowlist", ~F.array_contains(rule["values"], value))
+        .when(kind == "forbidden", value.isNotNull())
+    )
+    needed = (kind == "required") | ~F.coalesce(rule["is_optional"], F.lit(True))
+    empty = needed & (value.isNull() | (F.length(value) < 1))
+    types = F.array(F.when(content, kind), F.when(empty, F.lit("required")))
+    found = checked.select("*", F.explode_outer(types).alias("rule_type")).filter(F.col("rule_type").isNotNull())
 
     def end(bound):
         return F.coalesce(F.regexp_replace(bound.cast("string"), r"\.0$", ""), F.lit(""))
 
-    span = F.concat(end(rule["min_value"]), F.lit(".."), end(rule["max_value"]))
-    content = (
-        F.when((kind == "fixed") & (value != rule["value"]), _violation(kind, rule["value"]))
-        .when((kind == "range") & value.isNotNull() & outside, _violation(kind, span))
-        .when((kind == "regex") & ~F.rlike(value, whole), _violation(kind, rule["pattern"]))
-        .when(
-            (kind == "allowlist") & ~F.array_contains(rule["values"], value),
-            _violation(kind, F.array_join(rule["values"], ",")),
-        )
-        .when((kind == "forbidden") & value.isNotNull(), _violation(kind, "absent"))
+    kind = F.col("rule_type")
+    expected = (
+        F.when(kind == "fixed", rule["value"])
+        .when(kind == "range", F.concat(end(rule["min_value"]), F.lit(".."), end(rule["max_value"])))
+        .when(kind == "regex", rule["pattern"])
+        .when(kind == "allowlist", F.array_join(rule["values"], ","))
+        .when(kind == "forbidden", "absent")
+        .when(kind == "required", "length 1..")
     )
-    needed = (kind == "required") | ~F.coalesce(rule["is_optional"], F.lit(True))
-    presence = F.when(needed & (value.isNull() | (F.length(value) < 1)), _violation("required", "length 1.."))
-    found = F.filter(F.array(content, presence), lambda v: v.isNotNull())
-    return checked.select(
-        "entity_id", "path", F.explode(found).alias("v"), value.alias("actual")
-    ).select("entity_id", "path", "v.rule_type", "v.expected", "actual")
+    return found.select("entity_id", "path", "rule_type", expected.alias("expected"), value.alias("actual"))
 
 
 def policy_summary(violations: DataFrame, entities: DataFrame, rules: Sequence[Rule]) -> DataFrame:
@@ -393,27 +414,32 @@ def policy_summary(violations: DataFrame, entities: DataFrame, rules: Sequence[R
     ``entities`` has one row per entity. Rules nobody breaks are listed with zero; the total row
     has path ``all`` and rule type ``any``.
     """
-    spark = violations.sparkSession
-    checked = entities.agg(F.count(F.lit(1)).alias("n")).scalar()
-    counted = (
-        violations.groupingSets([("path", "rule_type"), ()], "path", "rule_type")
-        .agg(F.count_distinct("entity_id").alias("violating"), F.grouping("path").alias("is_total"))
-        .select(
-            F.when(F.col("is_total") == 1, F.lit("all")).otherwise(F.col("path")).alias("path"),
-            F.when(F.col("is_total") == 1, F.lit("any")).otherwise(F.col("rule_type")).alias("rule_type"),
-            "violating",
-        )
-    )
     kinds = {(r.path, r.type) for r in rules if r.type not in ("required", "unlimited")}
     kinds |= {(r.path, "required") for r in rules if r.type == "required" or not r.is_optional}
-    listed = local_table(spark, [*sorted(kinds), ("all", "any")], "path string, rule_type string")
-    violating = F.coalesce("violating", F.lit(0)).cast("bigint")
-    return listed.join(counted, ["path", "rule_type"], "left").select(
+    listed = sorted(kinds)
+    # First one row per violating entity with a flag per rule, then one row with a count per rule.
+    flags = [
+        F.max((F.col("path") == path) & (F.col("rule_type") == kind)).alias(f"__rule_{n}")
+        for n, (path, kind) in enumerate(listed)
+    ]
+    per_entity = violations.groupBy("entity_id").agg(F.count(F.lit(1)).alias("__n"), *flags)
+    counts = per_entity.agg(
+        F.count(F.lit(1)).alias("__all"), *[F.count_if(F.col(f"__rule_{n}")).alias(f"__rule_{n}") for n in range(len(listed))]
+    )
+    named = [("all", "any", "__all"), *[(path, kind, f"__rule_{n}") for n, (path, kind) in enumerate(listed)]]
+    lines = F.array(
+        *[
+            F.struct(F.lit(path).alias("path"), F.lit(kind).alias("rule_type"), F.col(name).alias("violating"))
+            for path, kind, name in named
+        ]
+    )
+    checked = entities.agg(F.count(F.lit(1)).alias("n")).scalar()
+    return counts.select(F.inline_outer(lines)).select(
         "path",
         "rule_type",
         checked.alias("checked"),
-        violating.alias("violating"),
-        F.when(checked > 0, F.round(violating / checked, 4)).alias("share"),
+        "violating",
+        F.when(checked > 0, F.round(F.col("violating") / checked, 4)).alias("share"),
     )
 
 

@@ -37,8 +37,11 @@ def flatten_documents(df: DataFrame, id_col: str, json_col: str, max_depth: int
     kind = F.schema_of_variant("node")
     nested = kind.like("OBJECT<%") | kind.like("ARRAY<%")
     text = F.to_json("node")
-    return level.filter(~nested | ~text.isin("{}", "[]")).select(
-        F.col(id_col),
+    leaf = F.struct(
         F.coalesce(F.col("path"), F.lit("")).alias("path"),
         F.when(nested, text).otherwise(F.try_variant_get("node", "$", "string")).alias("value"),
+        (nested & text.isin("{}", "[]")).alias("empty"),
     )
+    # Exploding one value keeps later filters on it from repeating the expressions.
+    leaves = level.select(F.col(id_col), F.inline_outer(F.array(leaf)))
+    return leaves.filter(~F.col("empty")).drop("empty")
