@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakewarden.functions import deterministic_id, ipv4_to_long
-from lakewarden.plans.sizing import local_table, null_safe, rows_at_most, unique_by
+from lakewarden.plans.sizing import join_groups, local_table, rows_at_most, unique_by
 
 # Fixed values.
 REFERENCE_PATTERN = r"^\{\{secrets/([^/]+)/([^}]+)\}\}$"
@@ -176,7 +176,8 @@ def _lookup_long(df: DataFrame, address: Column, parsed: DataFrame) -> DataFrame
         .groupBy("__ip")
         .agg(F.max_by("name", "prefix").alias("range_name"), F.max("prefix").alias("range_prefix"))
     )
-    return marked.join(best, "__ip", "left").select(*df.columns, "range_name", "range_prefix")
+    best = best.withColumnRenamed("__ip", "__address")
+    return join_groups(marked, best, [("__ip", "__address")], "left").select(*df.columns, "range_name", "range_prefix")
 
 
 FLOW_FIELDS = ["direction", "protocol", "source", "destination"]
@@ -234,7 +235,7 @@ def _first_match_joined(flows: DataFrame, rules: DataFrame) -> DataFrame:
     )
     best = offered.join(named, condition & in_range).groupBy(*signature).agg(F.min("__rule").alias("__best"))
     best = best.select(*[F.col(c).alias(f"__key_{c}") for c in signature], "__best")
-    joined = flows.join(best, null_safe(flows, best, [(c, f"__key_{c}") for c in signature]), "left")
+    joined = join_groups(flows, best, [(c, f"__key_{c}") for c in signature], "left", nulls=True)
     return joined.select(
         *[flows[c] for c in flows.columns],
         F.coalesce("__best.access", F.lit(NO_MATCH)).alias("access"),

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakewarden.plans.ordered import ROWS_PER_TASK, large_groups, ordered_columns
-from lakewarden.plans.sizing import unique_by
+from lakewarden.plans.sizing import join_groups, unique_by
 
 # The actions in rising severity, and the days after which each applies.
 ACTIONS = ("hot", "cool", "archive", "delete")
@@ -165,9 +165,7 @@ def file_size_limits(
     over = totals.join(caps, "__dataset").filter(F.col("__total") > F.col("max_bytes"))
     limit = ROWS_PER_TASK if rows_per_task is None else rows_per_task
     groups = large_groups(over.select(F.col("__dataset").alias(dataset), "__rows"), limit)
-    affected = inventory.join(
-        over.select("__dataset", "max_bytes"), inventory[dataset] == F.col("__dataset")
-    ).drop("__dataset")
+    affected = join_groups(inventory, over.select("__dataset", "max_bytes"), [(dataset, "__dataset")]).drop("__dataset")
     running = ordered_columns(
         affected, [dataset], list(order), sum_before={"bytes_before": size}, rows_per_task=limit, groups=groups
     )

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakewarden.plans.sizing import local_table, rows_at_most
+from lakewarden.plans.sizing import join_groups, local_table, rows_at_most
 
 RULE_SCHEMA = T.StructType(
     [
@@ -244,7 +244,8 @@ def _with_rule_path(paths: DataFrame, rules: DataFrame) -> DataFrame:
     best = _best_rule(paths, rules)
     if best is not None:
         return best
-    return paths.join(_rule_of_path(paths, rules), "path", "left").select(*paths.columns, "rule_path")
+    found = _rule_of_path(paths, rules).withColumnRenamed("path", "__path")
+    return join_groups(paths, found, [("path", "__path")], "left").select(*paths.columns, "rule_path")
 
 
 def match_rule_paths(paths: DataFrame, rules: DataFrame) -> DataFrame:

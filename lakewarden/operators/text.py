@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lakewarden.functions import mask_expression
 from lakewarden.functions.columns import MASK
-from lakewarden.plans.sizing import rows_at_most
+from lakewarden.plans.sizing import join_groups, rows_at_most
 
 SECRET_LIMIT = 1_000
 
@@ -98,7 +98,7 @@ def name_collisions(df: DataFrame, name: str) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("sharing"))
         .filter(F.col("sharing") > 1)
     )
-    return df.join(shared, df[name] == shared["__name"]).select(*[df[c] for c in df.columns], "sharing")
+    return join_groups(df, shared, [(name, "__name")]).select(*[df[c] for c in df.columns], "sharing")
 
 
 def expand_grid(df: DataFrame, array_col: str, with_index: bool = True, element: str = "element") -> DataFrame:

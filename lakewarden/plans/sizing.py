@@ -21,18 +21,30 @@ def rows_at_most(df: DataFrame, limit: int) -> list[Row] | None:
 
 
 def unique_by(df: DataFrame, keys: list[str], what: str) -> DataFrame:
-    """``df`` with one row per key; the job fails when a key occurs twice.
+    """``df`` itself; the job fails when a key occurs twice.
 
-    The check is part of the plan: its aggregation partitions by the key, which the join that
-    follows needs anyway, so it adds no shuffle of its own.
+    The check is a value the plan computes beside the rows, not a step they pass through: an
+    aggregation between the rows and a join would keep Spark from splitting skewed partitions there.
     """
-    others = [c for c in df.columns if c not in keys]
+    repeated = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1")
+    number = repeated.agg(F.count(F.lit(1))).scalar()
     message = F.lit(f"{what}: duplicate key ({', '.join(keys)})")
-    # Any surviving column drags the check along, so column pruning cannot lose it.
-    checked = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("__n"), *[F.first(c).alias(c) for c in others]
-    ).filter(F.when(F.col("__n") > 1, F.raise_error(message).cast("boolean")).otherwise(F.lit(True)))
-    return checked.select(*df.columns)
+    return df.filter(F.when(number > 0, F.raise_error(message).cast("boolean")).otherwise(F.lit(True)))
+
+
+def join_groups(
+    left: DataFrame, groups: DataFrame, pairs: list[tuple[str, str]], how: str = "inner", nulls: bool = False
+) -> DataFrame:
+    """Join rows to the result of grouping by the very keys joined on (``nulls``: null equals null).
+
+    One key may hold much of ``left``. Spark splits such a partition only between two plain
+    shuffles, but the groups come partitioned by the keys already and get none. The hash among the
+    join keys makes Spark shuffle the groups, the smaller side, once more.
+    """
+    condition = F.xxhash64(*[left[a] for a, _ in pairs]) == F.xxhash64(*[groups[b] for _, b in pairs])
+    for a, b in pairs:
+        condition = condition & (left[a].eqNullSafe(groups[b]) if nulls else left[a] == groups[b])
+    return left.join(groups, condition, how)
 
 
 def null_safe(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]]) -> Column:

@@ -46,8 +46,8 @@ def assign_capture_files(
         sum_before={"bytes_before": "bytes"},
         rows_per_task=rows_per_task,
     )
-    file_no = F.floor(F.col("bytes_before") / F.lit(max_bytes)).cast("bigint")
-    return running.withColumn("file_no", file_no).drop("bytes_before")
+    # Whole-number division: bytes do not fit a double exactly for ever.
+    return running.withColumn("file_no", F.expr(f"bytes_before DIV {int(max_bytes)}")).drop("bytes_before")
 
 
 def capture_windows(
