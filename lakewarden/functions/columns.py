@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import re
+from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 # Fixed values.
 WRONG_LENGTH = "incorrectSegmentLength"
@@ -18,6 +20,11 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def moment(at: datetime, kind: DataType) -> Column:
+    """A naive datetime as a literal of a timestamp type, whatever the time zone of the Python process."""
+    return F.lit(at.isoformat(sep=" ")).cast(kind)
+
+
 def java_quote(text: str) -> str:
     """``text`` as a regular expression that matches exactly itself, in Java and RE2."""
     return re.sub(r"([\\.^$|?*+()\[\]{}\-/])", r"\\\1", text)

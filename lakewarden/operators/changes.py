@@ -8,6 +8,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakewarden.functions.columns import moment
 from lakewarden.plans.ordered import ordered_columns
 from lakewarden.plans.sizing import unique_by
 
@@ -127,7 +128,7 @@ def state_as_of(
     if is_delete is not None:
         changes = changes.withColumn("__deletes", is_delete)
     latest = (
-        changes.filter(F.col(ts) <= F.lit(as_of).cast(changes.schema[ts].dataType))
+        changes.filter(F.col(ts) <= moment(as_of, changes.schema[ts].dataType))
         .groupBy(key)
         .agg(F.max_by(F.struct(*[c for c in changes.columns if c != key]), F.struct(ts, seq)).alias("__last"))
         .select(key, "__last.*")

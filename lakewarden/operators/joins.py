@@ -33,7 +33,8 @@ def resolve_references(df: DataFrame, col: str, lookup: DataFrame) -> DataFrame:
     )
     is_reference = F.coalesce(F.col(col).rlike(REFERENCE_PATTERN), F.lit(False))
     # Plain values get a spread of scopes no reference can have, so they do not meet in one task.
-    spread = F.concat(F.lit("/"), F.pmod(F.xxhash64(*df.columns), F.lit(1024)).cast("string"))
+    hashable = [c for c, kind in df.dtypes if "map<" not in kind and "variant" not in kind]
+    spread = F.concat(F.lit("/"), F.pmod(F.xxhash64(*hashable), F.lit(1024)).cast("string"))
     marked = df.withColumn("__is_reference", is_reference).select(
         "*",
         F.when(is_reference, F.regexp_extract(col, REFERENCE_PATTERN, 1)).otherwise(spread).alias("__s"),

@@ -9,6 +9,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakewarden.functions.columns import moment
 from lakewarden.plans.ordered import ROWS_PER_TASK, large_groups, ordered_columns
 from lakewarden.plans.sizing import join_groups, unique_by
 
@@ -70,7 +71,7 @@ def lifecycle_action(inventory: DataFrame, rules: Sequence[LifecycleRule], as_of
         reached = None
         for level, days in ((3, rule.delete_days), (2, rule.archive_days), (1, rule.cool_days)):
             if days is not None:
-                older = since < F.lit(as_of - timedelta(days=days)).cast(inventory.schema[column].dataType)
+                older = since < moment(as_of - timedelta(days=days), inventory.schema[column].dataType)
                 reached = F.when(applies & older, level) if reached is None else reached.when(applies & older, level)
         if reached is not None:
             severity.append(reached.otherwise(0))
@@ -123,7 +124,7 @@ def retention_sweep(
     )
     column = deleted_at or ts
     joined = df.join(periods, df[dataset] == periods["__dataset"], "left")
-    cutoff = F.lit(as_of).cast(df.schema[column].dataType) - F.make_interval(days=F.col("__days"))
+    cutoff = moment(as_of, df.schema[column].dataType) - F.make_interval(days=F.col("__days"))
     past = F.coalesce(F.col(column) < cutoff, F.lit(False))
     if deleted_at is None:
         disposition = F.when(past, "purge").otherwise("keep")

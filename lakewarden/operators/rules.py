@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakewarden.functions.columns import moment
 from lakewarden.plans.sizing import join_groups, local_table, rows_at_most
 
 RULE_SCHEMA = T.StructType(
@@ -470,7 +471,7 @@ def lease_status(df: DataFrame, expiry_col: str, as_of, margin: int = LEASE_MARG
     if isinstance(df.schema[expiry_col].dataType, T.NumericType):
         limit = F.lit(as_of + margin)
     else:
-        limit = F.lit(as_of).cast(df.schema[expiry_col].dataType) + F.make_interval(secs=F.lit(margin))
+        limit = moment(as_of, df.schema[expiry_col].dataType) + F.make_interval(secs=F.lit(margin))
     status = F.when(expiry.isNull(), "missing").when(expiry <= limit, "expired").otherwise("valid")
     return df.withColumn("lease", status)
 

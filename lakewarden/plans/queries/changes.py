@@ -23,11 +23,11 @@ from lakewarden.plans.sizing import local_table
     "sync_diff",
     """
     WITH target AS (
-        SELECT c_custkey, CASE WHEN c_custkey % 7 = 0 THEN c_acctbal + 1 ELSE c_acctbal END AS c_acctbal,
-               CASE WHEN c_custkey % 13 <> 0 THEN c_mktsegment END AS c_mktsegment
-        FROM customer WHERE c_custkey % 11 <> 0
+        SELECT c_custkey, CASE WHEN c_nationkey < 4 THEN c_acctbal + 1 ELSE c_acctbal END AS c_acctbal,
+               CASE WHEN c_nationkey <> 20 THEN c_mktsegment END AS c_mktsegment
+        FROM customer WHERE c_acctbal >= 0
         UNION ALL
-        SELECT c_custkey + 1000000000, c_acctbal, c_mktsegment FROM customer WHERE c_custkey % 17 = 0)
+        SELECT -1 - c_custkey, c_acctbal, c_mktsegment FROM customer WHERE c_mktsegment = 'FURNITURE')
     SELECT coalesce(s.c_custkey, t.c_custkey) AS c_custkey,
            CASE WHEN t.c_custkey IS NULL THEN 'create' WHEN s.c_custkey IS NULL THEN 'delete'
                 WHEN s.c_acctbal IS DISTINCT FROM t.c_acctbal OR s.c_mktsegment IS DISTINCT FROM t.c_mktsegment
@@ -38,44 +38,45 @@ from lakewarden.plans.sizing import local_table
     """,
 )
 def sync_diff_query(spark, sf_dir):
-    source = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", "c_mktsegment")
-    key = F.col("c_custkey")
-    changed = source.filter(key % 11 != 0).select(
-        key,
-        F.when(key % 7 == 0, F.col("c_acctbal") + 1).otherwise(F.col("c_acctbal")).alias("c_acctbal"),
-        F.when(key % 13 != 0, F.col("c_mktsegment")).alias("c_mktsegment"),
+    customers = table(spark, sf_dir, "customer")
+    source = customers.select("c_custkey", "c_acctbal", "c_mktsegment")
+    nation = F.col("c_nationkey")
+    # Customers in debt are unknown to the target, two groups of nations differ there.
+    changed = customers.filter("c_acctbal >= 0").select(
+        "c_custkey",
+        F.when(nation < 4, F.col("c_acctbal") + 1).otherwise(F.col("c_acctbal")).alias("c_acctbal"),
+        F.when(nation != 20, F.col("c_mktsegment")).alias("c_mktsegment"),
     )
-    gone = source.filter(key % 17 == 0).withColumn("c_custkey", key + 1_000_000_000)
+    gone = source.filter("c_mktsegment = 'FURNITURE'").withColumn("c_custkey", -1 - F.col("c_custkey"))
     return sync_diff(source, changed.unionByName(gone), "c_custkey", ["c_acctbal", "c_mktsegment"])
 
 
 @query(
     "upsert",
     """
-    SELECT s_suppkey, s_name, s_nationkey, CASE WHEN s_suppkey % 3 = 0 THEN s_acctbal + 100 ELSE s_acctbal END AS s_acctbal
+    SELECT s_suppkey, s_name, s_nationkey, CASE WHEN s_acctbal < 1000 THEN s_acctbal + 100 ELSE s_acctbal END AS s_acctbal
     FROM supplier
     UNION ALL
-    SELECT s_suppkey + 1000000000, s_name, s_nationkey, s_acctbal FROM supplier WHERE s_suppkey % 5 = 0
+    SELECT -1 - s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier WHERE s_nationkey < 5
     """,
 )
 def upsert_query(spark, sf_dir):
     target = table(spark, sf_dir, "supplier")
-    key = F.col("s_suppkey")
-    updates = target.filter(key % 3 == 0).withColumn("s_acctbal", F.col("s_acctbal") + 100)
-    creates = target.filter(key % 5 == 0).withColumn("s_suppkey", key + 1_000_000_000)
+    updates = target.filter("s_acctbal < 1000").withColumn("s_acctbal", F.col("s_acctbal") + 100)
+    creates = target.filter("s_nationkey < 5").withColumn("s_suppkey", -1 - F.col("s_suppkey"))
     return upsert(target, updates.unionByName(creates), "s_suppkey")
 
 
 @query(
     "insert_if_absent",
     """
-    SELECT p_partkey, CASE WHEN p_partkey % 2 = 0 THEN p_name ELSE 'new' END AS p_name, p_size FROM part
+    SELECT p_partkey, CASE WHEN p_size <= 25 THEN p_name ELSE 'new' END AS p_name, p_size FROM part
     """,
 )
 def insert_if_absent_query(spark, sf_dir):
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size")
     source = parts.withColumn("p_name", F.lit("new"))
-    return insert_if_absent(parts.filter("p_partkey % 2 = 0"), source, "p_partkey")
+    return insert_if_absent(parts.filter("p_size <= 25"), source, "p_partkey")
 
 
 REPLACEMENTS = [("1-URGENT", "P1"), ("2-HIGH", "P2"), ("9-NONE", "P9")]
@@ -119,8 +120,8 @@ def unmatched_replacements_query(spark, sf_dir):
     """
     WITH docs AS (
         SELECT concat('customer.', c_custkey, '.segment') AS path, c_mktsegment AS dev,
-               CASE WHEN c_custkey % 5 <> 0 THEN c_mktsegment END AS tst,
-               CASE WHEN c_custkey % 7 = 0 THEN lower(c_mktsegment) ELSE c_mktsegment END AS prd
+               CASE WHEN c_nationkey <> 5 THEN c_mktsegment END AS tst,
+               CASE WHEN c_acctbal < 0 THEN lower(c_mktsegment) ELSE c_mktsegment END AS prd
         FROM customer WHERE c_custkey <> 3)
     SELECT path, dev, tst, prd, CASE WHEN tst IS NULL THEN 'tst' ELSE '' END AS missing,
            tst IS NULL OR dev IS DISTINCT FROM tst OR dev IS DISTINCT FROM prd AS drift
@@ -132,8 +133,8 @@ def config_drift_query(spark, sf_dir):
     key, segment = F.col("c_custkey"), F.col("c_mktsegment")
     values = F.create_map(
         F.lit("dev"), segment,
-        F.lit("tst"), F.when(key % 5 != 0, segment),
-        F.lit("prd"), F.when(key % 7 == 0, F.lower(segment)).otherwise(segment),
+        F.lit("tst"), F.when(F.col("c_nationkey") != 5, segment),
+        F.lit("prd"), F.when(F.col("c_acctbal") < 0, F.lower(segment)).otherwise(segment),
     )
     path = F.concat(F.lit("customer."), key.cast("string"), F.lit(".segment"))
     docs = customers.select(path.alias("path"), F.explode(values).alias("env", "value")).filter("value IS NOT NULL")
@@ -144,11 +145,11 @@ def config_drift_query(spark, sf_dir):
     "merge_maps",
     """
     WITH tags AS (
-        SELECT c_custkey, 'Owner' AS tag, CASE WHEN c_custkey % 2 = 0 THEN c_mktsegment ELSE 'platform' END AS value
+        SELECT c_custkey, 'Owner' AS tag, CASE WHEN c_acctbal >= 5000 THEN c_mktsegment ELSE 'platform' END AS value
         FROM customer
         UNION ALL SELECT c_custkey, 'Environment', 'dev' FROM customer
         UNION ALL SELECT c_custkey, 'Name', c_name FROM customer
-        UNION ALL SELECT c_custkey, 'Team', cast(c_nationkey AS varchar) FROM customer WHERE c_custkey % 2 = 0)
+        UNION ALL SELECT c_custkey, 'Team', cast(c_nationkey AS varchar) FROM customer WHERE c_acctbal >= 5000)
     SELECT c_custkey, tag, value FROM tags
     """,
 )
@@ -158,7 +159,7 @@ def merge_maps_query(spark, sf_dir):
     )
     # A null override keeps the default, a null map overrides nothing.
     overrides = F.when(
-        F.col("c_custkey") % 2 == 0,
+        F.col("c_acctbal") >= 5000,
         F.create_map(
             F.lit("Owner"), F.col("c_mktsegment"),
             F.lit("Team"), F.col("c_nationkey").cast("string"),

@@ -20,11 +20,11 @@ from lakewarden.plans.sizing import local_table
     """
     WITH refs AS (
         SELECT c_custkey,
-               CASE WHEN c_custkey % 5 = 0 THEN c_mktsegment
-                    ELSE concat('{{secrets/nation/', c_nationkey + CASE WHEN c_custkey % 7 = 0 THEN 100 ELSE 0 END, '}}')
+               CASE WHEN c_mktsegment = 'BUILDING' THEN c_mktsegment
+                    ELSE concat('{{secrets/nation/', c_nationkey + CASE WHEN c_acctbal < 0 THEN 100 ELSE 0 END, '}}')
                END AS setting,
-               CASE WHEN c_custkey % 5 <> 0
-                    THEN c_nationkey + CASE WHEN c_custkey % 7 = 0 THEN 100 ELSE 0 END END AS key
+               CASE WHEN c_mktsegment <> 'BUILDING'
+                    THEN c_nationkey + CASE WHEN c_acctbal < 0 THEN 100 ELSE 0 END END AS key
         FROM customer)
     SELECT c_custkey, setting,
            CASE WHEN key IS NULL THEN setting ELSE n_name END AS resolved,
@@ -33,11 +33,11 @@ from lakewarden.plans.sizing import local_table
     """,
 )
 def resolve_references_query(spark, sf_dir):
-    shifted = F.col("c_nationkey") + F.when(F.col("c_custkey") % 7 == 0, 100).otherwise(0)
+    shifted = F.col("c_nationkey") + F.when(F.col("c_acctbal") < 0, 100).otherwise(0)
     reference = F.concat(F.lit("{{secrets/nation/"), shifted.cast("string"), F.lit("}}"))
     settings = table(spark, sf_dir, "customer").select(
         "c_custkey",
-        F.when(F.col("c_custkey") % 5 == 0, F.col("c_mktsegment")).otherwise(reference).alias("setting"),
+        F.when(F.col("c_mktsegment") == "BUILDING", F.col("c_mktsegment")).otherwise(reference).alias("setting"),
     )
     lookup = table(spark, sf_dir, "nation").select(
         F.lit("nation").alias("scope"),

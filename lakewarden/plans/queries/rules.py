@@ -157,8 +157,8 @@ ORDER_RULES = [
 ORDER_VIOLATIONS = """
     WITH entities AS (
         SELECT o_orderkey, o_orderstatus, o_totalprice, o_orderpriority, c_mktsegment,
-               CASE WHEN o_orderkey % 97 = 0 THEN 'held' END AS hold,
-               CASE WHEN o_custkey % 50 <> 0 THEN c_name END AS owner
+               CASE WHEN o_totalprice < 20000 THEN 'held' END AS hold,
+               CASE WHEN c_acctbal >= 0 THEN c_name END AS owner
         FROM orders JOIN customer ON o_custkey = c_custkey),
     violations AS (
         SELECT o_orderkey, 'o_orderstatus' AS path, 'fixed' AS rule_type, 'F' AS expected, o_orderstatus AS actual
@@ -194,8 +194,8 @@ def _order_entities(spark, sf_dir):
         "o_totalprice",
         "o_orderpriority",
         "c_mktsegment",
-        F.when(F.col("o_orderkey") % 97 == 0, "held").alias("hold"),
-        F.when(F.col("o_custkey") % 50 != 0, F.col("c_name")).alias("owner"),
+        F.when(F.col("o_totalprice") < 20000, "held").alias("hold"),
+        F.when(F.col("c_acctbal") >= 0, F.col("c_name")).alias("owner"),
     )
 
 

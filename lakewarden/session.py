@@ -31,12 +31,11 @@ def shared_dir(spark: SparkSession) -> str:
     Only a local session may go without the setting: it gets a temporary folder of its own.
     """
     context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
         folder = tempfile.mkdtemp(prefix="lakewarden-")
-        spark.conf.set("spark.checkpoint.dir", folder)
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
     return folder

@@ -95,8 +95,7 @@ def _splitter(columns: list[str], order: list[str], interval_seconds: int, max_b
             state = self.bytes.get()
             before = state[0] if state else 0
             if not state:
-                start = int(pd.Timestamp(key[1]).timestamp() * 1000)
-                self.handle.registerTimer(start + interval_seconds * 1000)
+                self.handle.registerTimer(int(key[1]) + interval_seconds * 1000)
             for chunk in rows:
                 chunk = chunk.sort_values(order, ignore_index=True)
                 reached = before + chunk["bytes"].cumsum()
@@ -136,7 +135,8 @@ def split_capture_stream(
         {"bytes": size.cast("bigint"), "window_start": F.window(ts, f"{interval_seconds} seconds")["start"]}
     )
     output = T.StructType([*marked.schema.fields, T.StructField("file_no", T.LongType())])
-    return marked.groupBy(partition, "window_start").transformWithStateInPandas(
+    keyed = marked.withColumn("window_ms", F.unix_millis("window_start"))
+    return keyed.groupBy(partition, "window_ms").transformWithStateInPandas(
         statefulProcessor=_splitter(marked.columns, [ts, seq], interval_seconds, max_bytes),
         outputStructType=output,
         outputMode="append",

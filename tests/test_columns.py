@@ -106,3 +106,21 @@ def test_joined_masking_equals_the_expression(spark, texts, secrets):
     table = spark.createDataFrame([(s,) for s in secrets], "s string")
     short = dict(mask_values(df, "t", table, "id").collect())
     assert short == dict(mask_values(df, "t", table, "id", limit=1).collect())
+
+
+def test_literals_ignore_the_local_time_zone(spark, monkeypatch):
+    import time
+    from datetime import datetime
+
+    from pyspark.sql.types import TimestampNTZType
+
+    from lakewarden.functions.columns import moment
+
+    monkeypatch.setenv("TZ", "America/New_York")
+    time.tzset()
+    try:
+        text = spark.range(1).select(moment(datetime(2024, 7, 1, 12), TimestampNTZType()).cast("string")).first()[0]
+    finally:
+        monkeypatch.delenv("TZ")
+        time.tzset()
+    assert text == "2024-07-01 12:00:00"
