@@ -88,11 +88,11 @@ def capture_windows_query(spark, sf_dir):
 )
 def split_capture_stream_query(spark, sf_dir):
     # Which file an event falls in depends on the order of arrival, so the files are summed up here.
-    events = _partitioned(_stream(spark, sf_dir))
+    events = _partitioned(_stream(spark, sf_dir)).select("event_id", "ts", "partition", _size().alias("size"))
     with _rocksdb(spark):
         files = _drain(
             spark,
-            split_capture_stream(events, "partition", "ts", "event_id", _size(), max_bytes=MAX_BYTES),
+            split_capture_stream(events, "partition", "ts", "event_id", F.col("size"), max_bytes=MAX_BYTES, windows_per_key=96),
             scratch(spark),
         )
     per_file = files.groupBy("partition", "window_start", "file_no").agg(

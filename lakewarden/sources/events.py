@@ -24,6 +24,8 @@ def read_event_stream(
     Any other format follows the files that arrive in folder ``source``. Event time comes out as
     ``timestamp``, the only type watermarks take.
     """
+    if fmt == "kafka" and topic is None:
+        raise ValueError("name the topic to read")
     reader = spark.readStream.format(fmt).options(**options)
     if fmt == "kafka":
         raw = reader.options(**{"kafka.bootstrap.servers": source, "subscribe": topic}).load()

@@ -82,30 +82,39 @@ def capture_windows(
     )
 
 
-def _splitter(columns: list[str], order: list[str], interval_seconds: int, max_bytes: int) -> StatefulProcessor:
+def _splitter(columns: list[str], order: list[str], span_ms: int, max_bytes: int) -> StatefulProcessor:
     # A class made here travels to the workers by value: they need not have this package.
     class CaptureSplitter(StatefulProcessor):
-        """Numbers the files of one (partition, window) as events arrive; its state is a byte count."""
+        """Numbers the files of one partition and span of windows as events arrive.
+
+        The state holds the bytes so far of each window.
+        """
 
         def init(self, handle: StatefulProcessorHandle) -> None:
             self.handle = handle
-            self.bytes = handle.getValueState("bytes", "bytes long")
+            self.bytes = handle.getMapState("bytes", "window_ms long", "bytes long")
 
         def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-            state = self.bytes.get()
-            before = state[0] if state else 0
-            if not state:
-                self.handle.registerTimer(int(key[1]) + interval_seconds * 1000)
+            before: dict[int, int] = {}
+            if not self.bytes.exists():
+                self.handle.registerTimer(int(key[1]) + span_ms)
             for chunk in rows:
                 chunk = chunk.sort_values(order, ignore_index=True)
-                reached = before + chunk["bytes"].cumsum()
+                windows = chunk["window_ms"]
+                for window in windows.unique():
+                    if window not in before:
+                        state = self.bytes.getValue((int(window),))
+                        before[window] = state[0] if state else 0
+                own = chunk.groupby("window_ms")["bytes"].cumsum()
+                reached = windows.map(before) + own
                 chunk["file_no"] = (reached - chunk["bytes"]) // max_bytes
-                before = int(reached.iloc[-1])
+                before.update(reached.groupby(windows).max())
                 yield chunk[[*columns, "file_no"]]
-            self.bytes.update((before,))
+            for window, total in before.items():
+                self.bytes.updateValue((int(window),), (int(total),))
 
         def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-            # The watermark has passed the window: no more events can come for it.
+            # The watermark has passed these windows: no more events can come for them.
             self.bytes.clear()
             return iter([])
 
@@ -125,23 +134,35 @@ def split_capture_stream(
     interval_seconds: int = CAPTURE_SECONDS,
     max_bytes: int = CAPTURE_BYTES,
     lateness: str = "15 minutes",
+    windows_per_key: int = 1,
 ) -> DataFrame:
     """``assign_capture_files`` on a stream, in order of arrival.
 
+    Each key costs some milliseconds per trigger, which only shows where windows hold few events;
+    ``windows_per_key`` then puts several windows of a partition under one key. One window per key
+    lets a backlog spread most.
+
     Needs the RocksDB state store: set ``spark.sql.streaming.stateStore.providerClass`` to
     ``ROCKSDB`` before the query starts.
     """
+    start = F.window(ts, f"{interval_seconds} seconds")["start"]
+    span_ms = interval_seconds * 1000 * windows_per_key
     marked = stream.withWatermark(ts, lateness).withColumns(
-        {"bytes": size.cast("bigint"), "window_start": F.window(ts, f"{interval_seconds} seconds")["start"]}
+        {"bytes": size.cast("bigint"), "window_ms": F.unix_millis(start)}
     )
     output = T.StructType([*marked.schema.fields, T.StructField("file_no", T.LongType())])
-    keyed = marked.withColumn("window_ms", F.unix_millis("window_start"))
-    return keyed.groupBy(partition, "window_ms").transformWithStateInPandas(
-        statefulProcessor=_splitter(marked.columns, [ts, seq], interval_seconds, max_bytes),
-        outputStructType=output,
-        outputMode="append",
-        timeMode="eventtime",
+    split = (
+        marked.withColumn("span_ms", F.col("window_ms") - F.pmod("window_ms", F.lit(span_ms)))
+        .groupBy(partition, "span_ms")
+        .transformWithStateInPandas(
+            statefulProcessor=_splitter(marked.columns, [ts, seq], span_ms, max_bytes),
+            outputStructType=output,
+            outputMode="append",
+            timeMode="eventtime",
+        )
     )
+    # Worked out again: cheaper than passing one more time column through Python.
+    return split.drop("window_ms").withColumn("window_start", start)
 
 
 def capture_stream(

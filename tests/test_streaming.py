@@ -77,12 +77,13 @@ def test_capture_by_time_and_size(spark, rows_per_task):
     assert got == sorted((*f, *v) for f, v in want.items())
 
 
-def test_capture_split_on_a_stream(spark, feed):
+@pytest.mark.parametrize("windows_per_key", [1, 3])
+def test_capture_split_on_a_stream(spark, feed, windows_per_key):
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     batches = [[event(i, 60 * i, size=10) for i in range(4)], [event(i, 60 * i, size=10) for i in range(4, 18)]]
     for batch in batches:
         feed.add(batch)
-        stream = split_capture_stream(feed.stream(), "key", "ts", "event_id", F.col("size"), max_bytes=25)
+        stream = split_capture_stream(feed.stream(), "key", "ts", "event_id", F.col("size"), max_bytes=25, windows_per_key=windows_per_key)
         stored = feed.drain(stream)
     got = {r["event_id"]: r["file_no"] for r in stored.collect()}
     df = spark.createDataFrame([e for b in batches for e in b], SCHEMA)
