@@ -6,12 +6,12 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakewarden.functions.columns import moment
 from lakewarden.plans.ordered import ROWS_PER_TASK, large_groups, ordered_columns
-from lakewarden.plans.sizing import join_groups, unique_by
+from lakewarden.plans.sizing import join_groups, rows_at_most, unique_by
 
 # The actions in rising severity, and the days after which each applies.
 ACTIONS = ("hot", "cool", "archive", "delete")
@@ -47,6 +47,24 @@ def default_rules(archive: bool = False, delete: bool = False) -> list[Lifecycle
     ]
 
 
+DOCUMENT_ROWS = 10_000
+
+
+def lifecycle_rules(rules: DataFrame) -> list[LifecycleRule]:
+    """The rules of a table with the columns of ``LifecycleRule``; lists may be null."""
+    rows = rows_at_most(rules, DOCUMENT_ROWS)
+    if rows is None:
+        raise ValueError(f"more than {DOCUMENT_ROWS} rows are no policy document")
+    lists = {"blob_types", "prefix_match"}
+    return [
+        LifecycleRule(**{k: tuple(v or ()) if k in lists else v for k, v in row.asDict().items()}) for row in rows
+    ]
+
+
+# Rules put into one expression; the next ones start another column.
+RULES_PER_STEP = 50
+
+
 def lifecycle_action(inventory: DataFrame, rules: Sequence[LifecycleRule], as_of: datetime) -> DataFrame:
     """Add ``action``: hot, cool, archive or delete.
 
@@ -54,10 +72,19 @@ def lifecycle_action(inventory: DataFrame, rules: Sequence[LifecycleRule], as_of
     older than a threshold, strictly; of all thresholds exceeded under all enabled rules the most
     severe wins. An object never accessed counts from its modification.
     """
-    severity = [F.lit(0), F.lit(0)]
+    active = [r for r in rules if r.enabled]
+    judged = inventory.withColumn("__severity", F.lit(0))
+    for first in range(0, len(active), RULES_PER_STEP):
+        step = [F.col("__severity"), F.lit(0), *_severities(inventory, active[first : first + RULES_PER_STEP], as_of)]
+        judged = judged.withColumn("__severity", F.greatest(*step))
+    names = F.array(*[F.lit(a) for a in ACTIONS])
+    return judged.select(*[F.col(c) for c in inventory.columns], F.get(names, "__severity").alias("action"))
+
+
+def _severities(inventory: DataFrame, rules: Sequence[LifecycleRule], as_of: datetime) -> list[Column]:
+    """Per rule, the position in ``ACTIONS`` of what it asks for."""
+    severity = []
     for rule in rules:
-        if not rule.enabled:
-            continue
         column = BASIS_COLUMNS[rule.basis]
         since = F.col(column)
         if rule.basis == "accessed":
@@ -75,8 +102,7 @@ def lifecycle_action(inventory: DataFrame, rules: Sequence[LifecycleRule], as_of
                 reached = F.when(applies & older, level) if reached is None else reached.when(applies & older, level)
         if reached is not None:
             severity.append(reached.otherwise(0))
-    names = F.array(*[F.lit(a) for a in ACTIONS])
-    return inventory.withColumn("action", F.get(names, F.greatest(*severity)))
+    return severity
 
 
 def lifecycle_summary(actions: DataFrame) -> DataFrame:

@@ -95,6 +95,20 @@ def rules_frame(spark: SparkSession, rules: Iterable[Rule]) -> DataFrame:
     return local_table(spark, rows, RULE_SCHEMA)
 
 
+DOCUMENT_ROWS = 10_000
+
+
+def rules_from_frame(rules: DataFrame) -> list[Rule]:
+    """The rules of a table of ``RULE_SCHEMA``, for the wide form."""
+    rows = rows_at_most(rules.select(*RULE_SCHEMA.names), DOCUMENT_ROWS)
+    if rows is None:
+        raise ValueError(f"more than {DOCUMENT_ROWS} rows are no policy document; use the long form")
+    return [
+        Rule(**{**row.asDict(), "is_optional": row["is_optional"] is not False, "hidden": bool(row["hidden"])})
+        for row in rows
+    ]
+
+
 # --- single rules over a column -------------------------------------------------------------------
 
 
@@ -506,5 +520,6 @@ __all__ = [
     "rule_regex",
     "rule_required",
     "rules_frame",
+    "rules_from_frame",
     "rules_from_policy",
 ]

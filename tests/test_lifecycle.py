@@ -9,6 +9,7 @@ from lakewarden.operators.lifecycle import (
     file_size_limits,
     last_access,
     lifecycle_action,
+    lifecycle_rules,
     lifecycle_summary,
     retention_sweep,
     with_last_access,
@@ -56,6 +57,23 @@ def test_prefixes_several_rules_and_disabled_rules(spark):
     assert action(spark, [], modified=5000) == "hot"
 
 
+def test_many_rules_and_rules_from_a_table(spark, monkeypatch):
+    schema = (
+        "name string, kind string, basis string, cool_days int, archive_days int, delete_days int, "
+        "blob_types array<string>, prefix_match array<string>, enabled boolean"
+    )
+    rows = [(f"r{i}", "base", "modified", 10 + i, None, None, ["blockBlob"], [f"data/di{i:03}"], True) for i in range(7)]
+    rows.append(("d", "base", "modified", None, None, 40, ["blockBlob"], None, True))
+    rules = lifecycle_rules(spark.createDataFrame(rows, schema))
+    monkeypatch.setattr("lakewarden.operators.lifecycle.RULES_PER_STEP", 2)
+    assert action(spark, rules, modified=12, path="data/di001/x") == "cool"
+    assert action(spark, rules, modified=12, path="data/di002/x") == "hot"
+    assert action(spark, rules, modified=41, path="elsewhere") == "delete"
+    monkeypatch.setattr("lakewarden.operators.lifecycle.DOCUMENT_ROWS", 7)
+    with pytest.raises(ValueError, match="no policy document"):
+        lifecycle_rules(spark.createDataFrame(rows, schema))
+
+
 def test_age_from_access(spark):
     rules = [LifecycleRule("a", "base", "accessed")]
     assert action(spark, rules, modified=400, accessed=10) == "hot"

@@ -184,6 +184,11 @@ def test_only_configured(spark):
     assert [r["s"] for r in R.only_configured(df, ["s", "n"]).collect()] == ["a"]
 
 
+def test_rules_survive_the_table_form(spark):
+    again = R.rules_from_frame(R.rules_frame(spark, JOB_RULES))
+    assert sorted(again, key=lambda r: r.path) == sorted(JOB_RULES, key=lambda r: r.path)
+
+
 def test_unknown_rule_type(spark):
     with pytest.raises(ValueError, match="unknown rule type"):
         R.policy_violations(spark.range(1), "id", [Rule("id", "odd")])
