@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from lakewarden.functions.columns import moment
 from lakewarden.plans.ordered import ordered_columns
-from lakewarden.plans.sizing import unique_by
+from lakewarden.plans.sizing import join_groups, unique_by
 
 
 def sync_diff(source: DataFrame, target: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
@@ -76,7 +76,8 @@ def apply_replacements(rules: DataFrame, replacements: DataFrame, name: str = "n
 
 def unmatched_replacements(rules: DataFrame, replacements: DataFrame, name: str = "name") -> DataFrame:
     """Replacements no row has the name of."""
-    return replacements.join(rules.select(name), name, "left_anti")
+    used = rules.select(F.col(name).alias("__used")).distinct()
+    return join_groups(replacements, used, [(name, "__used")], "left_anti")
 
 
 def config_drift(

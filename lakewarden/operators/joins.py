@@ -54,14 +54,15 @@ def in_scope(
     """Members that some assignment names, or all of them with ``sync_all``."""
     if sync_all:
         return members
-    assigned = assignments.select(F.col(assigned_key).alias("__assigned"))
-    return members.join(assigned, members[member_key] == assigned["__assigned"], "left_semi")
+    assigned = assignments.select(F.col(assigned_key).alias("__assigned")).distinct()
+    return join_groups(members, assigned, [(member_key, "__assigned")], "left_semi")
 
 
 def missing_references(required: DataFrame, registered: DataFrame, key: str, registered_key: str) -> DataFrame:
     """Required rows whose key is not registered."""
-    known = registered.select(F.col(registered_key).alias("__known"))
-    return required.join(known, required[key] == known["__known"], "left_anti")
+    # One row per key and task is shuffled, however often a key is registered.
+    known = registered.select(F.col(registered_key).alias("__known")).distinct()
+    return join_groups(required, known, [(key, "__known")], "left_anti")
 
 
 PRODUCT_LIMIT = 1_000
@@ -172,8 +173,10 @@ def _lookup_long(df: DataFrame, address: Column, parsed: DataFrame) -> DataFrame
         .select("__ip", F.explode(used).alias("prefix"))
         .withColumn("network", _network(F.col("__ip"), F.col("prefix")))
     )
+    networks = parsed.select(F.col("prefix").alias("__prefix"), F.col("network").alias("__network"), "name")
+    # A short prefix is a key that very many addresses share.
     best = (
-        offered.join(parsed, ["prefix", "network"])
+        join_groups(offered, networks, [("prefix", "__prefix"), ("network", "__network")])
         .groupBy("__ip")
         .agg(F.max_by("name", "prefix").alias("range_name"), F.max("prefix").alias("range_prefix"))
     )

@@ -163,9 +163,9 @@ def rule_regex(df: DataFrame, id_col: str, col: str, pattern: str) -> DataFrame:
 def rule_allowlist(df: DataFrame, id_col: str, col: str, values: Sequence[object] | DataFrame) -> DataFrame:
     """Violation when the value is not listed; the list may be a one-column table."""
     if isinstance(values, DataFrame):
-        allowed = values.select(F.col(values.columns[0]).cast("string").alias("__allowed"))
-        present = df.filter(F.col(col).isNotNull())
-        unlisted = present.join(allowed, present[col].cast("string") == allowed["__allowed"], "left_anti")
+        allowed = values.select(F.col(values.columns[0]).cast("string").alias("__allowed")).distinct()
+        present = df.filter(F.col(col).isNotNull()).withColumn("__value", F.col(col).cast("string"))
+        unlisted = join_groups(present, allowed, [("__value", "__allowed")], "left_anti")
         return _report(unlisted, id_col, col, "allowlist", "listed", F.lit(True), col)
     listed = [str(v) for v in values]
     return _report(df, id_col, col, "allowlist", ",".join(listed), ~F.col(col).cast("string").isin(listed), col)
@@ -427,9 +427,13 @@ def policy_violations_long(entities: DataFrame, rules: DataFrame) -> DataFrame:
 def policy_summary(violations: DataFrame, entities: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Per rule and in total: entities checked, entities violating, share of them.
 
+    A violation counts for the most specific rule of its path.
     ``entities`` has one row per entity. Rules nobody breaks are listed with zero; the total row
     has path ``all`` and rule type ``any``.
     """
+    if any("*" in r.path.split(".") for r in rules):
+        named = _with_rule_path(violations, rules_frame(violations.sparkSession, rules))
+        violations = named.drop("path").withColumnRenamed("rule_path", "path")
     kinds = {(r.path, r.type) for r in rules if r.type not in ("required", "unlimited")}
     kinds |= {(r.path, "required") for r in rules if r.type == "required" or not r.is_optional}
     listed = sorted(kinds)

@@ -33,9 +33,10 @@ def cost_by_tag_query(spark, sf_dir):
         F.col("l_linenumber") == 1, F.concat(F.lit("dept-"), F.col("l_suppkey").cast("string"))
     ).otherwise(F.concat(F.lit("ABCDE-"), F.lpad((F.col("l_suppkey") % 50).cast("string"), 5, "0")))
     untagged = (F.col("l_returnflag") == "N") & (F.col("l_linestatus") == "O")
-    creator = F.struct(F.lit("Creator").alias("key"), F.col("l_linestatus").alias("value"))
-    tagged = F.struct(F.lit("costCenter").alias("key"), center.alias("value"))
-    tags = F.map_from_entries(F.when(untagged, F.array(creator)).otherwise(F.array(creator, tagged)))
+    creator = F.create_map(F.lit("Creator"), F.col("l_linestatus"))
+    tags = F.when(untagged, creator).otherwise(
+        F.create_map(F.lit("Creator"), F.col("l_linestatus"), F.lit("costCenter"), center)
+    )
     usage = table(spark, sf_dir, "lineitem").select(
         tags.alias("tags"), (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("cost")
     )

@@ -16,6 +16,9 @@ def duck():
 @pytest.mark.parametrize("name", sorted(driver.queries()))
 def test_query(spark, duck, name):
     result = driver.queries()[name](spark, SF_DIR)
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    for bad in ("CartesianProduct", "NestedLoopJoin", "Python", "Pandas"):
+        assert bad not in plan
     sql = driver.oracle_sql().get(name)
     if sql is None:
         assert result.count() > 0

@@ -173,6 +173,16 @@ def test_summary_counts_entities_once(spark):
     }
 
 
+def test_summary_of_rules_with_stars(spark, entities):
+    violations = R.policy_violations_long(entities, R.rules_frame(spark, JOB_RULES))
+    summary = R.policy_summary(violations, entities.select("entity_id").distinct(), JOB_RULES)
+    got = {(r["path"], r["rule_type"]): r["violating"] for r in summary.collect()}
+    assert got[("init_scripts.*.dbfs.destination", "forbidden")] == 1
+    assert got[("ssh_public_keys.*", "forbidden")] == 1
+    assert got[("init_scripts.0.dbfs.destination", "fixed")] == 0
+    assert got[("all", "any")] == 5 and sum(got.values()) == 5 + len(EXPECTED)
+
+
 def test_lease_margin(spark):
     leases = spark.createDataFrame([(1, 1600), (2, 1601), (3, None)], "id int, expiry long")
     got = {r["id"]: r["lease"] for r in R.lease_status(leases, "expiry", 1000).collect()}

@@ -5,7 +5,7 @@ from contextlib import contextmanager
 import pytest
 from pyspark.sql import functions as F
 
-from lakewarden.operators.joins import cidr_lookup, first_match, resolve_references
+from lakewarden.operators.joins import cidr_lookup, first_match, in_scope, missing_references, resolve_references
 from lakewarden.operators.monitor import enrich_logs
 from lakewarden.operators.text import name_collisions
 from lakewarden.plans.queries.joins import ADDRESS_RANGES, FLOW_RULES, RULE_COLUMNS
@@ -75,6 +75,19 @@ def test_references(spark):
     assert len(split_rows(spark, run, run)) == 40_000
 
 
+def test_missing_and_scope(spark):
+    required = hot(spark).select("id", F.col("k").alias("want"))
+    registered = spark.range(0, 900).select((F.col("id") % 500).alias("have"))
+
+    def missing():
+        return missing_references(required, registered, "want", "have")
+
+    def scope():
+        return in_scope(required, registered, "want", "have")
+
+    assert len(split_rows(spark, missing, missing)) + len(split_rows(spark, scope, scope)) == 40_000
+
+
 def test_plain_values_are_spread(spark):
     lookup = spark.createDataFrame([("s", "1", "x")], "scope string, key string, value string")
     df = spark.range(0, 40_000, 1, 8).select("id", F.lit("plain").alias("v"))
