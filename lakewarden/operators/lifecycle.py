@@ -110,9 +110,13 @@ def lifecycle_summary(actions: DataFrame) -> DataFrame:
 
     ``level`` is 0 for a full group, 1 for a container and kind, 3 for a container, 7 for the total.
     """
-    return actions.rollup("container", "kind", "action").agg(
+    # Only the few full groups are rolled up: a rollup of the objects would first make four rows of each.
+    groups = actions.groupBy("container", "kind", "action").agg(
+        F.count(F.lit(1)).alias("objects"), F.sum("bytes").alias("bytes")
+    )
+    return groups.rollup("container", "kind", "action").agg(
         F.grouping_id().cast("bigint").alias("level"),
-        F.count(F.lit(1)).alias("objects"),
+        F.sum("objects").alias("objects"),
         F.sum("bytes").alias("bytes"),
     )
 
