@@ -17,7 +17,7 @@ from lakewarden.functions import deterministic_id, ipv4_to_long
 from lakewarden.plans.sizing import join_groups, local_table, rows_at_most, unique_by
 
 # Fixed values.
-REFERENCE_PATTERN = r"^\{\{secrets/([^/]+)/([^}]+)\}\}$"
+REFERENCE_PATTERN = r"\A\{\{secrets/([^/]+)/([^}]+)\}\}\z"
 NO_MATCH = "NoMatch"
 
 

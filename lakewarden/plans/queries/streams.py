@@ -113,7 +113,10 @@ def capture_stream_query(spark, sf_dir):
 
 @query(
     "stream_resample",
-    RESAMPLED_SQL + "HAVING time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE",
+    RESAMPLED_SQL
+    + """
+    HAVING time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE
+    """,
 )
 def stream_resample_query(spark, sf_dir):
     stream = _stream(spark, sf_dir)

@@ -11,7 +11,7 @@ MAX_DEPTH = 8
 def flatten_documents(df: DataFrame, id_col: str, json_col: str, max_depth: int = MAX_DEPTH) -> DataFrame:
     """One row (id, path, value) per leaf of each JSON document.
 
-    Object keys and array positions are joined by dots (``init_scripts.0.dbfs.destination``). Text
+    Object keys and array positions are joined by dots (``init_scripts.0.store.destination``). Text
     that is not JSON and empty containers give no row; whatever lies deeper than ``max_depth`` stays
     one JSON text. Every level is one narrow step over the same rows, so the input is scanned once
     and nothing is shuffled.

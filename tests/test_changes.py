@@ -90,7 +90,7 @@ def test_drift_between_environments(spark):
     values = {
         "location": ("canadacentral", "northeurope", "northeurope"),
         "environment": ("dev", "tst", "prd"),
-        "prefix": ("dlz1101", "dlz01", "dlz01"),
+        "prefix": ("lake1101", "lake01", "lake01"),
         "vnetAddressPrefix": ("10.1.0.0/16",) * 3,
         "onlyInTest": (None, "x", None),
     }

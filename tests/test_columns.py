@@ -46,12 +46,12 @@ def test_template(spark):
 
 
 def test_names(spark):
-    df = spark.createDataFrame([("Dlz-01", "DEV")], "p string, e string")
+    df = spark.createDataFrame([("Lak-01", "DEV")], "p string, e string")
     name = canonical_name("p", "e", "runtime")
     assert tuple(df.select(name, storage_name(name), host_prefix(name)).first()) == (
-        "dlz-01-dev-runtime",
-        "dlz01devruntime",
-        "dlz-01-de",
+        "lak-01-dev-runtime",
+        "lak01devruntime",
+        "lak-01-de",
     )
 
 

@@ -12,9 +12,9 @@ from lakewarden.operators.rules import Rule, policy_summary, policy_violations_l
 from lakewarden.sources import flatten_documents
 
 PARAMETERS = {
-    "dev": {"location": "canadacentral", "environment": "dev", "prefix": "dlz1101"},
-    "tst": {"location": "northeurope", "environment": "tst", "prefix": "dlz01"},
-    "prd": {"location": "northeurope", "environment": "prd", "prefix": "dlz01"},
+    "dev": {"location": "canadacentral", "environment": "dev", "prefix": "lake1101"},
+    "tst": {"location": "northeurope", "environment": "tst", "prefix": "lake01"},
+    "prd": {"location": "northeurope", "environment": "prd", "prefix": "lake01"},
 }
 
 
