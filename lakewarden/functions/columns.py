@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 from datetime import datetime
 from functools import reduce
+from itertools import groupby
+from os.path import commonprefix
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -72,12 +75,37 @@ def fill_template(text: Column | str, values: dict[str, str]) -> Column:
     )
 
 
+NESTING = 50
+
+
+def any_of(words: Iterable[str]) -> str:
+    """A pattern that matches the longest of the words that start at a place.
+
+    Words share their beginnings, so a place is tried once per next character rather than once per
+    word. Words that nest too deeply for that are listed, longest first.
+    """
+    pattern, depth = _shared(sorted(words))
+    if depth <= NESTING:
+        return pattern
+    return "|".join(java_quote(w) for w in sorted(words, key=lambda w: (-len(w), w)))
+
+
+def _shared(words: list[str], level: int = 0) -> tuple[str, int]:
+    """The pattern of sorted words and how deep its groups nest."""
+    start = commonprefix(words)
+    rest = [w[len(start) :] for w in words]
+    if rest == [""] or level > NESTING:
+        return java_quote(start), level
+    branches = [_shared(list(same), level + 1) for _, same in groupby(filter(None, rest), key=lambda w: w[0])]
+    # Trying to go on comes before stopping here.
+    stop = "?" if "" in rest else ""
+    return f"{java_quote(start)}(?:{'|'.join(p for p, _ in branches)}){stop}", max(d for _, d in branches)
+
+
 def mask_expression(text: Column | str, secrets: list[str]) -> Column:
     """Every occurrence of a secret becomes ``***``; where two start together the longest wins."""
-    longest_first = sorted({s for s in secrets if s}, key=lambda s: (-len(s), s))
-    if not longest_first:
-        return _col(text)
-    return F.regexp_replace(_col(text), "|".join(java_quote(s) for s in longest_first), MASK)
+    words = {s for s in secrets if s}
+    return F.regexp_replace(_col(text), any_of(words), MASK) if words else _col(text)
 
 
 def canonical_name(prefix: Column | str, environment: Column | str, suffix: str = "") -> Column:

@@ -15,6 +15,7 @@ from lakewarden.functions import (
     resource_id_parts,
     storage_name,
 )
+from lakewarden.functions.columns import any_of
 from lakewarden.operators.text import expand_grid, index_range, mask_values, name_collisions
 
 FULL = "/subscriptions/s1/resourceGroups/g1/providers/P/accounts/acc"
@@ -90,6 +91,14 @@ def test_masking(spark, limit):
     assert got == {i: masked(t) for i, t in enumerate(TEXTS)}
 
 
+def test_patterns_of_shared_beginnings():
+    assert any_of(["the", "then", "tion", "e."]) == r"(?:e\.|t(?:he(?:n)?|ion))"
+    assert any_of(["a.b"]) == r"a\.b"
+    nested = ["a" * n for n in range(1, 200)]
+    assert any_of(nested).startswith("a" * 199 + "|")
+    assert re.sub(any_of(nested), "-", "b" + "a" * 250) == "b--"
+
+
 def test_masking_a_list(spark):
     df = spark.createDataFrame([("abcab",)], "t string")
     assert mask_values(df, "t", SECRETS).first()["t"] == "******"
