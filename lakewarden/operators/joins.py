@@ -198,8 +198,10 @@ def first_match(flows: DataFrame, rules: DataFrame, limit: int = RULE_LIMIT) ->
     rows = rows_at_most(rules, limit)
     if rows is None:
         return _first_match_joined(flows, rules)
-    access, priority = F.lit(NO_MATCH), F.lit(None).cast("int")
-    for r in sorted(rows, key=lambda r: (r["priority"], r["access"]), reverse=True):
+    ranked = sorted(rows, key=lambda r: (r["priority"], r["access"]))
+    # The number of the first rule that applies: branches are tried in order.
+    number = F.when(F.lit(False), F.lit(0))
+    for n, r in enumerate(ranked):
         hit = F.col("direction") == r["direction"]
         for name in FLOW_FIELDS[1:]:
             if r[name] != "*":
@@ -208,9 +210,14 @@ def first_match(flows: DataFrame, rules: DataFrame, limit: int = RULE_LIMIT) ->
             hit = hit & (F.col("port") >= r["port_lo"])
         if r["port_hi"] is not None:
             hit = hit & (F.col("port") <= r["port_hi"])
-        access = F.when(hit, F.lit(r["access"])).otherwise(access)
-        priority = F.when(hit, F.lit(r["priority"])).otherwise(priority)
-    return flows.select("*", access.alias("access"), priority.alias("matched_priority"))
+        number = number.when(hit, F.lit(n))
+    accesses = F.array(*[F.lit(r["access"]) for r in ranked]).cast("array<string>")
+    priorities = F.array(*[F.lit(r["priority"]) for r in ranked]).cast("array<int>")
+    return flows.withColumn("__rule", number).select(
+        *flows.columns,
+        F.coalesce(F.get(accesses, "__rule"), F.lit(NO_MATCH)).alias("access"),
+        F.get(priorities, "__rule").alias("matched_priority"),
+    )
 
 
 def _first_match_joined(flows: DataFrame, rules: DataFrame) -> DataFrame:

@@ -125,6 +125,16 @@ def test_first_match_known_answers(spark):
             assert (r["access"], r["matched_priority"]) == (r["want"], r["want_priority"]), (limit, r)
 
 
+def test_no_rules_match_nothing(spark):
+    flows = event_flows(spark.read.parquet("/root/testdata/sf0.001/events.parquet"))
+    rules = spark.createDataFrame([], RULE_COLUMNS)
+    got = first_match(flows, rules).select("access", "matched_priority").distinct().collect()
+    assert [tuple(r) for r in got] == [("NoMatch", None)]
+    ranges = spark.createDataFrame([], "name string, cidr string")
+    ips = spark.createDataFrame([("1.2.3.4",)], "ip string")
+    assert cidr_lookup(ips, "ip", ranges).first()["range_name"] is None
+
+
 def test_first_match_forms_agree(spark):
     flows = event_flows(spark.read.parquet("/root/testdata/sf0.001/events.parquet"))
     rules = spark.createDataFrame(FLOW_RULES, RULE_COLUMNS)
