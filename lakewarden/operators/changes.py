@@ -63,7 +63,9 @@ def insert_if_absent(target: DataFrame, source: DataFrame, key: str) -> DataFram
     return target.unionByName(new.select(*target.columns))
 
 
-def apply_replacements(rules: DataFrame, replacements: DataFrame, name: str = "name", value: str = "value") -> DataFrame:
+def apply_replacements(
+    rules: DataFrame, replacements: DataFrame, name: str = "name", value: str = "value"
+) -> DataFrame:
     """Set ``value`` where a replacement has exactly the row's name; other rows stay as they are."""
     new = unique_by(replacements.select(name, value), [name], "replacements").select(
         F.col(name).alias("__name"), F.col(value).alias("__value")

@@ -308,7 +308,8 @@ def apply_defaults_long(entities: DataFrame, rules: DataFrame) -> DataFrame:
     wanted = expected.agg(F.collect_list("path")).scalar()
     fills = expected.agg(F.map_from_entries(F.collect_list(F.struct("path", "fill")))).scalar()
     path = F.col("path")
-    present = entities.groupBy("entity_id").agg(F.collect_set(F.when(F.array_contains(wanted, path), path)).alias("has"))
+    is_wanted = F.array_contains(wanted, path)
+    present = entities.groupBy("entity_id").agg(F.collect_set(F.when(is_wanted, path)).alias("has"))
     added = present.select("entity_id", F.explode(F.array_except(wanted, F.col("has"))).alias("path"))
     filled = F.coalesce(F.col("value"), F.try_element_at(fills, path))
     return entities.select("entity_id", "path", filled.alias("value")).unionByName(
@@ -427,9 +428,8 @@ def policy_violations_long(entities: DataFrame, rules: DataFrame) -> DataFrame:
 def policy_summary(violations: DataFrame, entities: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Per rule and in total: entities checked, entities violating, share of them.
 
-    A violation counts for the most specific rule of its path.
-    ``entities`` has one row per entity. Rules nobody breaks are listed with zero; the total row
-    has path ``all`` and rule type ``any``.
+    ``entities`` has one row per entity. A violation counts for the most specific rule of its path.
+    Rules nobody breaks are listed with zero; the total row has path ``all`` and rule type ``any``.
     """
     if any("*" in r.path.split(".") for r in rules):
         named = _with_rule_path(violations, rules_frame(violations.sparkSession, rules))
@@ -444,7 +444,8 @@ def policy_summary(violations: DataFrame, entities: DataFrame, rules: Sequence[R
     ]
     per_entity = violations.groupBy("entity_id").agg(F.count(F.lit(1)).alias("__n"), *flags)
     counts = per_entity.agg(
-        F.count(F.lit(1)).alias("__all"), *[F.count_if(F.col(f"__rule_{n}")).alias(f"__rule_{n}") for n in range(len(listed))]
+        F.count(F.lit(1)).alias("__all"),
+        *[F.count_if(F.col(f"__rule_{n}")).alias(f"__rule_{n}") for n in range(len(listed))],
     )
     named = [("all", "any", "__all"), *[(path, kind, f"__rule_{n}") for n, (path, kind) in enumerate(listed)]]
     lines = F.array(
