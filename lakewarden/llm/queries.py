@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakewarden.llm import lexicon, packing
+from lakewarden.llm import lexicon, near_dedup, packing
 from lakewarden.llm.registry import query, table
 
 
@@ -18,6 +18,11 @@ def tokenizer_path(name: str) -> str:
 WORD_BPE = "word_bpe_49k.json"
 
 
+@query("op1_minhash_near_dedup")
+def minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.link_documents(table(spark, sf_dir, "documents"), shingle=3, percent=85)
+
+
 @query("op8_bpe_codec")
 def bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
