@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakewarden.llm import lexicon, near_dedup, packing
+from lakewarden.llm import lexicon, near_dedup, packing, substring_dedup
 from lakewarden.llm.registry import query, table
 
 
@@ -32,3 +32,9 @@ def bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_best_fit_packing")
 def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path(WORD_BPE))
+
+
+@query("op9_substring_dedup")
+def substring_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substring_dedup.remove_repeats(docs, window=35, outputs=("kept_sha256",))
