@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakewarden.llm import lexicon, near_dedup, packing, substring_dedup
+from lakewarden.llm import fertility, lexicon, near_dedup, packing, substring_dedup
 from lakewarden.llm.registry import query, table
 
 
@@ -15,7 +15,7 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-WORD_BPE = "word_bpe_49k.json"
+WORD_BPE, PIECE_BPE, BYTE_BPE = "word_bpe_49k.json", "piece_bpe_32k.model", "byte_bpe_multi_50k.tiktoken"
 
 
 @query("op1_minhash_near_dedup")
@@ -38,3 +38,9 @@ def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def substring_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return substring_dedup.remove_repeats(docs, window=35, outputs=("kept_sha256",))
+
+
+@query("op3_tokeniser_fertility")
+def tokeniser_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return fertility.judge(docs, tokenizer_path(PIECE_BPE), tokenizer_path(BYTE_BPE))
