@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakewarden.llm import fertility, lexicon, near_dedup, packing, substring_dedup
+from lakewarden.llm import fertility, lexicon, lm_automaton, near_dedup, packing, substring_dedup
 from lakewarden.llm.registry import query, table
 
 
@@ -44,3 +44,8 @@ def substring_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
 def tokeniser_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return fertility.judge(docs, tokenizer_path(PIECE_BPE), tokenizer_path(BYTE_BPE))
+
+
+@query("op6_backoff_automaton")
+def backoff_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_automaton.score_texts(table(spark, sf_dir, "documents"))
