@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakewarden.llm import fertility, lexicon, lm_automaton, near_dedup, packing, substring_dedup
+from lakewarden.llm import fertility, lexicon, lm_automaton, near_dedup, packing, substring_dedup, vector_dedup
 from lakewarden.llm.registry import query, table
 
 
@@ -49,3 +49,8 @@ def tokeniser_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_backoff_automaton")
 def backoff_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_automaton.score_texts(table(spark, sf_dir, "documents"))
+
+
+@query("op2_embedding_near_dedup")
+def embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_dedup.link_vectors(table(spark, sf_dir, "embeddings"), cosine=0.98)
