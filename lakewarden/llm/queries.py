@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakewarden.llm import fertility, lexicon, lm_automaton, near_dedup, packing, reply_trees, substring_dedup, vector_dedup
+from lakewarden.llm import fertility, lexicon, lm_automaton, near_dedup, packing, page_text, reply_trees, substring_dedup, vector_dedup
 from lakewarden.llm.registry import query, table
 
 
@@ -94,3 +94,8 @@ def reply_tree_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("loss_text", 256).alias("loss_sha256"),
         F.length("formatted").cast("bigint").alias("formatted_chars"),
     )
+
+
+@query("op5_crf_page_text")
+def crf_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_text.extract_main_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
