@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakewarden.llm import fertility, lexicon, lm_automaton, near_dedup, packing, page_text, reply_trees, substring_dedup, vector_dedup
+from lakewarden.llm import cotraining, fertility, lexicon, lm_automaton, near_dedup, packing, page_text, reply_trees, substring_dedup, vector_dedup
 from lakewarden.llm.registry import query, table
 
 
@@ -99,3 +99,9 @@ def reply_tree_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_crf_page_text")
 def crf_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_text.extract_main_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
+@query("op4_cotraining_quality")
+def cotraining_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return cotraining.score_documents(docs, cotraining.fit(docs, table(spark, sf_dir, "labels")), keep=["doc_id"])

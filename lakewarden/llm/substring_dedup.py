@@ -167,7 +167,8 @@ def search_shards(parts: DataFrame, words: int, window: int, block_segments: int
 
 
 def remove_repeats(docs: DataFrame, window: int = 35, doc_id: str = "doc_id", text: str = "text", outputs: tuple[str, ...] = ("kept_text",)) -> DataFrame:
-    """``docs`` with n_words, n_removed and the outputs asked for: kept_text (kept words joined by one space), kept_sha256.
+    """``docs`` with n_words, n_removed and the outputs asked for: kept_text (kept words joined by one space), kept_sha256,
+    cleaned (as kept_text, but a text that loses nothing stays as it is; null stays null).
 
     Each word covered by a window whose words also start anywhere else is removed.
     """
@@ -188,7 +189,7 @@ def remove_repeats(docs: DataFrame, window: int = 35, doc_id: str = "doc_id", te
         .select("d", "t", (F.col("s0") + F.col("low")).alias("low"), (F.col("s0") + F.col("high")).alias("high"))
     )
     spans = whole.unionByName(partly).groupBy("d", "t").agg(F.collect_set(F.struct("low", "high")).alias("spans"))
-    kinds = {"kept_text": T.StringType(), "kept_sha256": T.StringType()}
+    kinds = dict.fromkeys(("kept_text", "kept_sha256", "cleaned"), T.StringType())
     added = {"n_words": T.LongType(), "n_removed": T.LongType()} | {o: kinds[o] for o in outputs}
     kept_columns = [c for c in docs.columns if c not in added and c != text]
     schema = T.StructType([*[docs.schema[c] for c in kept_columns], *[T.StructField(c, k) for c, k in added.items()]])
@@ -209,13 +210,20 @@ def remove_repeats(docs: DataFrame, window: int = 35, doc_id: str = "doc_id", te
                     words = [words[j] for j in np.flatnonzero(stays)]
                 gone.append(sizes[-1] - len(words))
                 kept.append(b" ".join(words))
-            made = {"kept_text": lambda: [k.decode() for k in kept], "kept_sha256": lambda: [hashlib.sha256(k).hexdigest() for k in kept]}
+            made = {
+                "kept_text": lambda: [k.decode() for k in kept],
+                "kept_sha256": lambda: [hashlib.sha256(k).hexdigest() for k in kept],
+                "cleaned": lambda: [
+                    k.decode() if g else (None if absent else t.decode())
+                    for k, g, t, absent in zip(kept, gone, whole_texts, part.column(part.num_columns - 2).to_pylist(), strict=True)
+                ],
+            }
             arrays = [part.column(i) for i in range(len(kept_columns))] + [pa.array(sizes, pa.int64()), pa.array(gone, pa.int64())]
             arrays += [pa.array(made[o](), pa.string()) for o in outputs]
             yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
 
     body = F.coalesce(F.col(text), F.lit(""))
     key = [F.coalesce(F.col(doc_id).cast("bigint"), F.lit(0)).alias("__d"), F.xxhash64(body, F.col(doc_id)).alias("__t")]
-    rows = docs.select(*kept_columns, body.alias("__text"), *key)
-    joined = rows.join(spans.toDF("__d", "__t", "spans"), ["__d", "__t"], "left").select(*kept_columns, "__text", "spans")
+    rows = docs.select(*kept_columns, body.alias("__text"), F.col(text).isNull().alias("__absent"), *key)
+    joined = rows.join(spans.toDF("__d", "__t", "spans"), ["__d", "__t"], "left").select(*kept_columns, "__text", "__absent", "spans")
     return map_batches(joined, cover, schema)
