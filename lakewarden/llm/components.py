@@ -43,19 +43,15 @@ def components(edges: DataFrame) -> DataFrame:
     u, v = edges.columns[:2]
     pairs = edges.select(F.col(u).cast("bigint").alias("u"), F.col(v).cast("bigint").alias("v")).filter("u <> v")
     now = settled(map_batches(pairs, forest, EDGE).distinct())
-    mark = None
     while True:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = settled(
-            both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
-        )
+        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
         now = settled(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct())
-        state = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if state == mark:
-            return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
-                now.select("v", F.col("v").alias("root")).distinct().toDF("node", "root")
-            )
-        mark = state
+        # Done when every node hangs on a root: no node is both the lower and the upper end of an edge.
+        if now.join(now.select(F.col("v").alias("u")).distinct(), "u", "left_semi").isEmpty():
+            break
+    roots = now.select(F.col("v").alias("u"), "v").distinct()
+    return now.unionByName(roots).toDF("node", "root")
