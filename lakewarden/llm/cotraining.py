@@ -28,6 +28,10 @@ LABELLED, POOL = 4_000, 6_000
 ROUNDS, SURE, SHARE = 4, 0.95, 0.1
 WORD_BINS, META_BINS = 256, 64
 SIGNS = b"#*$%&|<>!?.,;:"
+#: Ridge of the columns of both views: single words weigh little unless many documents speak for them.
+RIDGES = (np.concatenate([np.full(12 + len(SIGNS), 0.5), np.full(WORD_BINS, 50.0)]), np.full(META_BINS + 2, 5.0))
+#: The columns both views are made from.
+NAMED = [f"{c} AS __{c}" for c in ("text", "lang", "source", "n_chars")]
 
 
 def text_view(text: bytes) -> np.ndarray:
@@ -74,13 +78,12 @@ def metadata_view(lang: str | None, source: str | None, n_chars: int | None) ->
 class Logistic:
     """Logistic regression on standardised columns, by Newton steps with a ridge."""
 
-    def __init__(self, x: np.ndarray, y: np.ndarray, ridge: float = 1.0):
+    def __init__(self, x: np.ndarray, y: np.ndarray, ridge: float | np.ndarray = 1.0):
         self.mean, self.scale = x.mean(0), x.std(0) + 1e-6
         z = np.clip((x - self.mean) / self.scale, -8, 8)
         z = np.column_stack([z, np.ones(len(z))])
         w = np.zeros(z.shape[1])
-        penalty = np.full(len(w), ridge)
-        penalty[-1] = 1e-3
+        penalty = np.append(np.broadcast_to(ridge, len(w) - 1), 1e-3)
         for _ in range(12):
             p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
             curve = (z * np.maximum(p * (1 - p), 1e-6)[:, None]).T @ z + np.diag(penalty)
@@ -108,7 +111,7 @@ class CoTrained:
         fit = ~aside
         rows = [[v[fit], labels[fit].astype(float)] for v in views]
         free = np.ones(len(pool[0]), bool)
-        self.models = [Logistic(x, y) for x, y in rows]
+        self.models = [Logistic(x, y, r) for (x, y), r in zip(rows, RIDGES, strict=True)]
         for _ in range(ROUNDS):
             for giver, taker in ((0, 1), (1, 0)):
                 left = np.flatnonzero(free)
@@ -123,7 +126,7 @@ class CoTrained:
                 rows[taker][0] = np.concatenate([rows[taker][0], pool[taker][left[chosen]]])
                 rows[taker][1] = np.concatenate([rows[taker][1], (p[chosen] > 0.5).astype(float)])
                 free[left[chosen]] = False
-            self.models = [Logistic(x, y) for x, y in rows]
+            self.models = [Logistic(x, y, r) for (x, y), r in zip(rows, RIDGES, strict=True)]
         check = aside if aside.any() else fit
         y = labels[check].astype(float)
         logits = [m.logit(v[check])[:, None] for m, v in zip(self.models, views, strict=True)]
@@ -159,7 +162,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", labelled: in
         .join(known, "doc_id", "left_anti").orderBy(order, "doc_id").limit(pool).withColumn("y", F.lit(None).cast("int"))
     )
     ids = F.broadcast(given.unionByName(other).withColumn("rank", order).withColumnRenamed("doc_id", "__id"))
-    rows = named(docs).join(ids, F.col("doc_id").cast("bigint") == F.col("__id")).select("__text", "__lang", "__source", "__n_chars", "y", "rank")
+    named = docs.selectExpr("cast(doc_id AS bigint) AS __doc", *NAMED)
+    rows = named.join(ids, F.col("__doc") == F.col("__id")).select("__text", "__lang", "__source", "__n_chars", "y", "rank")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in slices(batches, "__text"):
@@ -176,17 +180,12 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", labelled: in
     return CoTrained([v[at][has] for v in views], y[at][has].astype(int), [v[at][~has] for v in views])
 
 
-def named(docs: DataFrame) -> DataFrame:
-    columns = {"__text": "text", "__lang": "lang", "__source": "source", "__n_chars": "n_chars"}
-    return docs.select("*", *[F.col(c).alias(n) for n, c in columns.items()])
-
-
 def score_documents(docs: DataFrame, model: CoTrained, keep: list[str]) -> DataFrame:
     """The columns ``keep`` of every document with text_score, meta_score, score and kept (score of a half at least)."""
     added = ("text_score", "meta_score", "score")
     fields = [T.StructField(f"k{i}", docs.schema[c].dataType) for i, c in enumerate(keep)]
     schema = T.StructType([*fields, *[T.StructField(c, T.DoubleType()) for c in added], T.StructField("kept", T.BooleanType())])
-    renamed = named(docs).select(*[F.col(c).alias(f"k{i}") for i, c in enumerate(keep)], "__text", "__lang", "__source", "__n_chars")
+    renamed = docs.selectExpr(*[f"`{c}` AS k{i}" for i, c in enumerate(keep)], *NAMED)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in slices(batches, "__text"):

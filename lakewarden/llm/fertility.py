@@ -30,6 +30,8 @@ BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 MEASURES = ("chars_per_piece", "chars_per_byte_token", "byte_share", "token_entropy")
 #: Half-widths of a band: quartile distances from the median, and the least share of the median.
 SPREAD, LEAST = 6.0, {"chars_per_piece": 0.2, "chars_per_byte_token": 0.2, "token_entropy": 0.15}
+#: Columns of the result and of the bands; those of the same name in the input are replaced.
+MADE = {*BASE, *MEASURES, "base_failed", "kept", "band_of", *(f"{m}_{side}" for m in MEASURES for side in ("low", "high"))}
 #: Byte-fallback share above the language's upper quartile that is always allowed.
 BYTE_MARGIN = 0.05
 
@@ -92,7 +94,7 @@ CONTINUATION = [bytes([b]) for b in range(0x80, 0xC0)]
 
 def measure(docs: DataFrame, pieces: str, ranks: str, text: str = "text") -> DataFrame:
     """``docs`` without the text, with the plain counts and the token measures (null for a text without words)."""
-    keep = [c for c in docs.columns if c != text and c not in (*BASE, *MEASURES)]
+    keep = [c for c in docs.columns if c != text and c not in MADE]
     schema = T.StructType(
         [
             *[docs.schema[c] for c in keep],

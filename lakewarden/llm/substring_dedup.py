@@ -225,5 +225,5 @@ def remove_repeats(docs: DataFrame, window: int = 35, doc_id: str = "doc_id", te
     body = F.coalesce(F.col(text), F.lit(""))
     key = [F.coalesce(F.col(doc_id).cast("bigint"), F.lit(0)).alias("__d"), F.xxhash64(body, F.col(doc_id)).alias("__t")]
     rows = docs.select(*kept_columns, body.alias("__text"), F.col(text).isNull().alias("__absent"), *key)
-    joined = rows.join(spans.toDF("__d", "__t", "spans"), ["__d", "__t"], "left").select(*kept_columns, "__text", "__absent", "spans")
+    joined = rows.join(spans.toDF("__d", "__t", "__spans"), ["__d", "__t"], "left").select(*kept_columns, "__text", "__absent", "__spans")
     return map_batches(joined, cover, schema)
