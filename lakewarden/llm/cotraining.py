@@ -174,7 +174,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", labelled: in
     sample = map_batches(rows, run, "y int, rank bigint, text array<float>, meta array<float>").toArrow()
     # A document that is there twice counts twice; the order makes the result the same on every run.
     y = sample["y"].to_numpy(zero_copy_only=False).astype(float)
-    views = [np.array(sample[c].to_pylist(), float).reshape(len(y), -1) for c in ("text", "meta")]
+    views = [np.array(sample[c].to_pylist(), float).reshape(len(y), len(r)) for c, r in zip(("text", "meta"), RIDGES, strict=True)]
     at = np.lexsort((views[0][:, 0], sample["rank"].to_numpy())) if len(y) else np.zeros(0, int)
     has = ~np.isnan(y[at])
     return CoTrained([v[at][has] for v in views], y[at][has].astype(int), [v[at][~has] for v in views])
