@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from lakewarden.llm.base import HASHES, mixed, settled, ship_package, text_bytes
 
 #: Text in a chunk, n-grams in a shard, and the weight of the shorter context.
-CHUNK_BYTES, SHARD_ENTRIES, MASS = 16 << 20, 4_000_000, 2.0
+CHUNK_BYTES, SHARD_ENTRIES, MASS = 6 << 20, 2_000_000, 2.0
 #: Marks no word can equal, as words hold no space.
 START, END = (np.uint64(xxhash.xxh3_64_intdigest(m)) for m in (b" start", b" end"))
 
