@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakewarden.llm import cotraining, fertility, near_dedup, packing, substring_dedup
-from lakewarden.llm.base import scratch
+from lakewarden.llm.base import scratch, write_parquet
 from lakewarden.llm.queries import BYTE_BPE, PIECE_BPE, WORD_BPE, tokenizer_path
 from lakewarden.llm.registry import table
 
@@ -67,6 +67,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch(spark)
     for number, (name, stage) in enumerate(STAGES):
         path = f"{folder}/{number}_{name}"
-        stage(spark, docs, sf_dir).write.parquet(path)
+        write_parquet(stage(spark, docs, sf_dir), path)
         docs = spark.read.parquet(path)
     return docs

@@ -19,6 +19,8 @@ from lakewarden.session import shared_dir
 #: White space between words, as a class of a regular expression. ``bytes.split()`` cuts at the same six characters.
 SPACE = r"[\x20\x09-\x0D]"
 SLICE_BYTES = 4 << 20
+#: Spark's setting for dropping a query's shuffle files at its end, not when the driver next collects garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
@@ -81,10 +83,21 @@ def scratch(spark: SparkSession) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{uuid.uuid4().hex}"
 
 
+def write_parquet(df: DataFrame, path: str) -> None:
+    """Write ``df``, after which its shuffle files serve no one and go at once."""
+    conf = df.sparkSession.conf
+    before = conf.get(CLEANUP)
+    conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        conf.set(CLEANUP, before)
+
+
 def settled(df: DataFrame) -> DataFrame:
     """``df`` written once to the shared folder and read back: later uses neither compute it again nor lose it."""
     path = scratch(df.sparkSession)
-    df.write.option("compression", "zstd").parquet(path)
+    write_parquet(df, path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
