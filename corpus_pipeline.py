@@ -26,9 +26,8 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the plain rules and the bands of token measures accept."""
-    # The text travels beside the one that is measured, so that no join brings it back.
-    both = docs.select(*COLUMNS, F.col("text").alias("measured"))
-    judged = fertility.judge(both, tokenizer_path(PIECE_BPE), tokenizer_path(BYTE_BPE), text="measured")
+    # The text comes back from the measuring, so that no join brings it.
+    judged = fertility.judge(docs.select(*COLUMNS), tokenizer_path(PIECE_BPE), tokenizer_path(BYTE_BPE), keep_text=True)
     return judged.filter("kept").select(*COLUMNS)
 
 

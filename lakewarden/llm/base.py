@@ -10,6 +10,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,7 +28,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[tuple[pa.
     """Runs of rows holding about 4 MB of text (one row at least), with their texts in UTF-8; null is empty."""
     for batch in batches:
         texts = batch.column(batch.schema.get_field_index(column)).cast(pa.binary())
-        ends = np.cumsum([len(t) if t else 0 for t in texts.to_pylist()]) if batch.num_rows else np.zeros(0, int)
+        ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
         start = 0
         while start < batch.num_rows:
             done = ends[start - 1] if start else 0
@@ -40,7 +41,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[tuple[pa.
 class WordHashes(dict):
     """64-bit hashes of words; a memo that empties itself when it holds ``limit`` words."""
 
-    def __init__(self, limit: int = 400_000):
+    def __init__(self, limit: int = 150_000):
         super().__init__()
         self.limit = limit
 

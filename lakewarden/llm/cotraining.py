@@ -185,12 +185,15 @@ def score_documents(docs: DataFrame, model: CoTrained, keep: list[str]) -> DataF
     added = ("text_score", "meta_score", "score")
     fields = [T.StructField(f"k{i}", docs.schema[c].dataType) for i, c in enumerate(keep)]
     schema = T.StructType([*fields, *[T.StructField(c, T.DoubleType()) for c in added], T.StructField("kept", T.BooleanType())])
-    renamed = docs.selectExpr(*[f"`{c}` AS k{i}" for i, c in enumerate(keep)], *NAMED)
+    # A kept text is the one that is scored, and goes to Python once.
+    sent = [i for i, c in enumerate(keep) if c != "text"]
+    renamed = docs.selectExpr(*[f"`{keep[i]}` AS k{i}" for i in sent], *NAMED)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in slices(batches, "__text"):
             scores = model.scores(*views_of(part, texts))
-            arrays = [part.column(i) for i in range(len(keep))] + [pa.array(s) for s in scores] + [pa.array(scores[2] >= 0.5)]
+            kept = [part.column(part.schema.get_field_index(f"k{i}" if c != "text" else "__text")) for i, c in enumerate(keep)]
+            arrays = kept + [pa.array(s) for s in scores] + [pa.array(scores[2] >= 0.5)]
             yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
 
     return map_batches(renamed, run, schema).toDF(*keep, *added, "kept")

@@ -39,7 +39,7 @@ BYTE_MARGIN = 0.05
 class Fertility:
     """Token counts of words, by a vocabulary with byte fallback and by a byte-level one."""
 
-    def __init__(self, pieces: str, ranks: str, remember: int = 300_000):
+    def __init__(self, pieces: str, ranks: str, remember: int = 120_000):
         import sentencepiece
         import tiktoken
         from public_tokenizers import PATTERN
@@ -92,14 +92,15 @@ def base_measures(text: bytes, words: list[bytes]) -> tuple[int, int, int, int,
 CONTINUATION = [bytes([b]) for b in range(0x80, 0xC0)]
 
 
-def measure(docs: DataFrame, pieces: str, ranks: str, text: str = "text") -> DataFrame:
-    """``docs`` without the text, with the plain counts and the token measures (null for a text without words)."""
+def measure(docs: DataFrame, pieces: str, ranks: str, text: str = "text", keep_text: bool = False) -> DataFrame:
+    """``docs``, with the plain counts and the token measures (null for a text without words), and the text on demand."""
     keep = [c for c in docs.columns if c != text and c not in MADE]
     schema = T.StructType(
         [
             *[docs.schema[c] for c in keep],
             *[T.StructField(c, T.LongType()) for c in BASE],
             *[T.StructField(c, T.DoubleType()) for c in MEASURES],
+            *([docs.schema[text]] if keep_text else []),
         ]
     )
 
@@ -125,6 +126,7 @@ def measure(docs: DataFrame, pieces: str, ranks: str, text: str = "text") -> Dat
             arrays = [part.column(i) for i in range(len(keep))]
             arrays += [pa.array(c, pa.int64()) for c in zip(*plain, strict=True)]
             arrays += [pa.array(c, pa.float64()) for c in zip(*rates, strict=True)]
+            arrays += [part.column(len(keep))] if keep_text else []
             yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
 
     return map_batches(docs.select(*keep, F.col(text).alias("__text")), run, schema)
@@ -146,13 +148,13 @@ def bands(measured: DataFrame, language: str = "lang") -> DataFrame:
     return quartiles.select(*out)
 
 
-def judge(docs: DataFrame, pieces: str, ranks: str, text: str = "text", language: str = "lang") -> DataFrame:
-    """``docs`` without the text, with counts, measures, base_failed and kept.
+def judge(docs: DataFrame, pieces: str, ranks: str, text: str = "text", language: str = "lang", keep_text: bool = False) -> DataFrame:
+    """``docs``, with the text on demand only, with counts, measures, base_failed and kept.
 
     base_failed: fewer than 50 words, or more than half of the words in repeated three-word windows.
     """
     failed = F.expr("n_words < 50 or 100 * n_repeat_words > 50 * n_words")
-    measured = settled(measure(docs, pieces, ranks, text).withColumn("base_failed", failed))
+    measured = settled(measure(docs, pieces, ranks, text, keep_text).withColumn("base_failed", failed))
     limits = bands(measured, language)
     # One row per language; Spark measures it and decides how to join.
     joined = measured.join(limits, measured[language].eqNullSafe(limits["band_of"]), "left")
