@@ -55,8 +55,9 @@ def resource_id_parts(
 
 
 def deterministic_id(*cols: Column | str) -> Column:
-    """An id in UUID layout that depends on the values alone and tells null from empty text."""
-    text = F.concat_ws("\x1f", *[F.coalesce(_col(c).cast("string"), F.lit("\x00")) for c in cols])
+    """An id in UUID layout that depends on the values alone; each part is hashed with its length, null without one."""
+    parts = [_col(c).cast("string") for c in cols]
+    text = F.concat(*[F.coalesce(F.concat(F.length(p).cast("string"), F.lit(":"), p), F.lit("-")) for p in parts])
     digest = F.sha2(text, 256)
     cuts = [(1, 8), (9, 4), (13, 4), (17, 4), (21, 12)]
     return F.concat_ws("-", *[F.substring(digest, start, length) for start, length in cuts])

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from lakewarden.functions.columns import moment
 from lakewarden.plans.ordered import ordered_columns
-from lakewarden.plans.sizing import join_groups, unique_by
+from lakewarden.plans.sizing import join_groups, keyed_by, unique_by
 
 
 def sync_diff(source: DataFrame, target: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
@@ -18,10 +18,10 @@ def sync_diff(source: DataFrame, target: DataFrame, key: str, cols: Sequence[str
 
     ``create`` for keys only in the source, ``delete`` for keys only in the target, ``update`` where
     any of ``cols`` differs (null equals null) and ``unchanged``. Values are the source's, or the
-    target's for a delete. Keys are unique and not null on both sides.
+    target's for a delete. The job fails when a side has a key twice or a null one.
     """
-    s = source.select(F.col(key).alias("__s"), F.struct(*cols).alias("__sv"))
-    t = target.select(F.col(key).alias("__t"), F.struct(*cols).alias("__tv"))
+    s = keyed_by(source, [key], "source").select(F.col(key).alias("__s"), F.struct(*cols).alias("__sv"))
+    t = keyed_by(target, [key], "target").select(F.col(key).alias("__t"), F.struct(*cols).alias("__tv"))
     both = s.join(t, s["__s"] == t["__t"], "full")
     action = (
         F.when(F.col("__t").isNull(), "create")
@@ -45,21 +45,23 @@ def _same_columns(target: DataFrame, source: DataFrame) -> None:
 def upsert(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
     """``target`` with every row of ``source`` created, or replacing the row with the same key.
 
-    The job fails when the source has a key twice. A small source is broadcast after Spark has
+    The job fails when the source has a key twice or a null one. A small source is broadcast after Spark has
     checked its size, and then the target is not shuffled.
     """
     _same_columns(target, source)
     kept = target.join(source.select(key), key, "left_anti").select(*target.columns)
-    return kept.unionByName(unique_by(source, [key], "source"))
+    return kept.unionByName(keyed_by(source, [key], "source"))
 
 
 def insert_if_absent(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
     """``target`` unchanged, plus the rows of ``source`` whose key it does not have.
 
-    The job fails when the source has a key twice.
+    The job fails when the source has a key twice or a null one. Only the source's keys found in the
+    target take part in the second join, so a small source never moves the target.
     """
     _same_columns(target, source)
-    new = unique_by(source, [key], "source").join(target.select(key), key, "left_anti")
+    there = join_groups(target.select(F.col(key).alias("__there")), source.select(F.col(key).alias("__wanted")).distinct(), [("__there", "__wanted")], "left_semi")
+    new = keyed_by(source, [key], "source").join(there.distinct(), F.col(key) == F.col("__there"), "left_anti")
     return target.unionByName(new.select(*target.columns))
 
 

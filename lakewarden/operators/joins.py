@@ -65,36 +65,16 @@ def missing_references(required: DataFrame, registered: DataFrame, key: str, reg
     return join_groups(required, known, [(key, "__known")], "left_anti")
 
 
-PRODUCT_LIMIT = 1_000
-PRODUCT_BLOCKS = 64
+def assign_all(principals: DataFrame, resource: str, role: str) -> DataFrame:
+    """Every principal on one resource: ``principalId, resourceId, appRoleId, assignment_id``.
 
-
-def assign_all(principals: DataFrame, resources: DataFrame, role: str, limit: int = PRODUCT_LIMIT) -> DataFrame:
-    """Every principal on every resource: ``principalId, resourceId, appRoleId, assignment_id``.
-
-    ``principals`` has ``principalId`` and ``resources`` has ``resourceId``. A short list of
-    resources is exploded in place. A long one is dealt into blocks and every principal visits every
-    block, so that the product is spread over the cluster by an equality join.
+    ``principals`` has ``principalId``. For several resources call it once for each of them.
     """
-    rows = rows_at_most(resources.select("resourceId"), limit)
-    if rows is not None:
-        kind = T.ArrayType(resources.schema["resourceId"].dataType)
-        listed = F.array(*[F.lit(r["resourceId"]) for r in rows]).cast(kind)
-        pairs = principals.select("principalId", F.explode(listed).alias("resourceId"))
-    else:
-        visits = principals.select(
-            "principalId",
-            F.explode(F.sequence(F.lit(0), F.lit(PRODUCT_BLOCKS - 1))).alias("block"),
-        )
-        dealt = resources.select(
-            "resourceId", F.pmod(F.xxhash64("resourceId"), F.lit(PRODUCT_BLOCKS)).cast("int").alias("block")
-        )
-        pairs = visits.join(dealt, "block")
-    return pairs.select(
+    return principals.select(
         "principalId",
-        "resourceId",
+        F.lit(resource).alias("resourceId"),
         F.lit(role).alias("appRoleId"),
-        deterministic_id("principalId", "resourceId", F.lit(role)).alias("assignment_id"),
+        deterministic_id("principalId", F.lit(resource), F.lit(role)).alias("assignment_id"),
     )
 
 
@@ -105,11 +85,13 @@ def parse_ranges(ranges: DataFrame) -> DataFrame:
     """``name, prefix, network`` of ranges given as ``name, cidr``.
 
     ``network`` is the address shifted right by the free bits. Of ranges that are equal, the first
-    name in text order stays.
+    name in text order stays. The job fails on anything but an IPv4 address and a length of 0 to 32.
     """
     parts = F.split("cidr", "/")
-    prefix = F.get(parts, F.lit(1)).cast("int")
+    length = F.try_to_number(F.get(parts, F.lit(1)), F.lit("99")).cast("int")
     address = ipv4_to_long(F.get(parts, F.lit(0)))
+    valid = F.coalesce((F.size(parts) == 2) & address.isNotNull() & length.between(0, 32), F.lit(False))
+    prefix = F.when(valid, length).otherwise(F.raise_error(F.concat(F.lit("not an address range: "), F.coalesce("cidr", F.lit("null")))))
     return (
         ranges.select("name", prefix.alias("prefix"), _network(address, prefix).alias("network"))
         .groupBy("prefix", "network")
@@ -125,11 +107,12 @@ def cidr_lookup(df: DataFrame, ip_col: str, ranges: DataFrame, limit: int = RANG
     """Add ``range_name`` and ``range_prefix`` of the longest range that contains the address.
 
     The address is a number or a dotted quad; ``ranges`` has ``name`` and ``cidr``. An address no
-    range contains gets nulls.
+    range contains, or outside 0 to 2**32 - 1, gets nulls. ``limit`` chooses the plan, not the rows.
     """
     address = F.col(ip_col)
     if isinstance(df.schema[ip_col].dataType, T.StringType):
         address = ipv4_to_long(address)
+    address = F.when(address.between(0, 2**32 - 1), address.cast("bigint"))
     parsed = parse_ranges(ranges)
     rows = rows_at_most(parsed, limit)
     if rows is not None:
@@ -194,6 +177,7 @@ def first_match(flows: DataFrame, rules: DataFrame, limit: int = RULE_LIMIT) ->
     Rules are tried in ascending ``priority`` among those of the flow's direction. Protocol, source
     and destination match when equal or when the rule says ``*``; the port must lie within
     ``port_lo`` and ``port_hi``, where null means any port. Without a match access is ``NoMatch``.
+    ``matched_priority`` has the type of ``priority``; ``limit`` chooses the plan, not the rows.
     """
     rows = rows_at_most(rules, limit)
     if rows is None:
@@ -212,7 +196,8 @@ def first_match(flows: DataFrame, rules: DataFrame, limit: int = RULE_LIMIT) ->
             hit = hit & (F.col("port") <= r["port_hi"])
         number = number.when(hit, F.lit(n))
     accesses = F.array(*[F.lit(r["access"]) for r in ranked]).cast("array<string>")
-    priorities = F.array(*[F.lit(r["priority"]) for r in ranked]).cast("array<int>")
+    kind = T.ArrayType(rules.schema["priority"].dataType)
+    priorities = F.array(*[F.lit(r["priority"]) for r in ranked]).cast(kind)
     return flows.withColumn("__rule", number).select(
         *flows.columns,
         F.coalesce(F.get(accesses, "__rule"), F.lit(NO_MATCH)).alias("access"),

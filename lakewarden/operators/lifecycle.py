@@ -185,7 +185,7 @@ def file_size_limits(
 
     ``limits`` has ``dataset`` and ``max_bytes``. Added: ``bytes_before``, ``bytes_to_here``,
     ``max_bytes`` and ``crosses`` for the first object beyond the cap. Datasets within their cap, and
-    those without one, give no row.
+    those without one, give no row. An object of unknown size counts as empty and stays.
     """
     caps = unique_by(limits.select("dataset", "max_bytes"), ["dataset"], "limits").select(
         F.col("dataset").alias("__dataset"), "max_bytes"
@@ -200,7 +200,7 @@ def file_size_limits(
     running = ordered_columns(
         affected, [dataset], list(order), sum_before={"bytes_before": size}, rows_per_task=limit, groups=groups
     )
-    to_here = F.col("bytes_before") + F.col(size)
+    to_here = F.col("bytes_before") + F.coalesce(F.col(size), F.lit(0))
     beyond = running.withColumn("bytes_to_here", to_here).filter(F.col("bytes_to_here") > F.col("max_bytes"))
     return beyond.withColumn("crosses", F.col("bytes_before") <= F.col("max_bytes"))
 

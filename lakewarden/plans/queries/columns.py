@@ -36,8 +36,9 @@ def resource_id_parts_query(spark, sf_dir):
     """
     WITH hashed AS (
         SELECT c_custkey,
-               sha256(concat_ws(chr(31), c_custkey, n_name,
-                                CASE WHEN c_custkey % 3 = 0 THEN chr(0) ELSE c_mktsegment END)) AS h
+               sha256(concat(length(c_custkey::VARCHAR), ':', c_custkey, length(n_name), ':', n_name,
+                             CASE WHEN c_custkey % 3 = 0 THEN '-'
+                                  ELSE concat(length(c_mktsegment), ':', c_mktsegment) END)) AS h
         FROM customer JOIN nation ON c_nationkey = n_nationkey)
     SELECT c_custkey, concat_ws('-', h[1:8], h[9:12], h[13:16], h[17:20], h[21:32]) AS id FROM hashed
     """,

@@ -80,56 +80,42 @@ def missing_references_query(spark, sf_dir):
 @query(
     "assign_all",
     """
-    WITH pairs AS (
-        SELECT cast(s_suppkey AS varchar) AS "principalId", r_name AS "resourceId", 'user' AS "appRoleId"
-        FROM supplier CROSS JOIN region),
-    hashed AS (SELECT *, sha256(concat_ws(chr(31), "principalId", "resourceId", "appRoleId")) AS h FROM pairs)
-    SELECT "principalId", "resourceId", "appRoleId",
+    WITH pairs AS (SELECT cast(s_suppkey AS varchar) AS p, 'ledger' AS r, 'user' AS role FROM supplier),
+    hashed AS (SELECT *, sha256(concat(length(p), ':', p, length(r), ':', r, length(role), ':', role)) AS h FROM pairs)
+    SELECT p AS "principalId", r AS "resourceId", role AS "appRoleId",
            concat_ws('-', h[1:8], h[9:12], h[13:16], h[17:20], h[21:32]) AS assignment_id
     FROM hashed
     """,
 )
 def assign_all_query(spark, sf_dir):
     principals = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").cast("string").alias("principalId"))
-    resources = table(spark, sf_dir, "region").select(F.col("r_name").alias("resourceId"))
-    return assign_all(principals, resources, "user")
+    return assign_all(principals, "ledger", "user")
 
 
-# The address plan.
+# Invented ranges of four lengths that lie inside each other, from 172.20.0.0 on.
 ADDRESS_RANGES = [
-    ("default", "0.0.0.0/0"),
-    ("vnet", "10.1.0.0/16"),
-    ("services", "10.1.0.0/24"),
-    ("integration_public", "10.1.1.0/24"),
-    ("integration_private", "10.1.2.0/24"),
-    ("product_public", "10.1.3.0/24"),
-    ("product_private", "10.1.4.0/24"),
-    ("gateway", "10.1.5.0/24"),
-    ("data_integration_001", "10.1.6.0/24"),
-    ("data_integration_002", "10.1.7.0/24"),
-    ("data_product_001", "10.1.8.0/24"),
-    ("data_product_002", "10.1.9.0/24"),
+    ("anywhere", "0.0.0.0/0"),
+    ("campus", "172.20.0.0/15"),
+    ("labs", "172.20.128.0/17"),
+    ("lab_a", "172.20.160.0/20"),
+    ("lab_b", "172.20.200.0/22"),
+    ("annex", "172.21.16.0/20"),
 ]
 
 
 @query(
     "cidr_lookup",
     """
-    WITH ips AS (SELECT event_id, 167837696 + (user_id * 131 + event_id * 7) % 90000 AS ip FROM events),
-    ranges(name, lo, hi, prefix) AS (
-        SELECT 'default', 0, 4294967295, 0
-        UNION ALL SELECT 'vnet', 167837696, 167837696 + 65535, 16
-        UNION ALL
-        SELECT names[i + 1], 167837696 + 256 * i, 167837696 + 256 * i + 255, 24
-        FROM (SELECT ['services', 'integration_public', 'integration_private', 'product_public', 'product_private',
-                      'gateway', 'data_integration_001', 'data_integration_002', 'data_product_001',
-                      'data_product_002'] AS names, unnest(range(10)) AS i))
+    WITH ips AS (SELECT event_id, 2887000000 + (user_id * 131 + event_id * 7) % 170000 AS ip FROM events),
+    ranges(name, lo, prefix) AS (
+        VALUES ('anywhere', 0, 0), ('campus', 2886991872, 15), ('labs', 2887024640, 17), ('lab_a', 2887032832, 20),
+               ('lab_b', 2887043072, 22), ('annex', 2887061504, 20))
     SELECT event_id, ip, arg_max(name, prefix) AS range_name, cast(max(prefix) AS integer) AS range_prefix
-    FROM ips JOIN ranges ON ip BETWEEN lo AND hi GROUP BY event_id, ip
+    FROM ips JOIN ranges ON ip BETWEEN lo AND lo + (1::BIGINT << (32 - prefix)) - 1 GROUP BY event_id, ip
     """,
 )
 def cidr_lookup_query(spark, sf_dir):
-    ip = F.lit(167837696) + (F.col("user_id") * 131 + F.col("event_id") * 7) % 90000
+    ip = F.lit(2_887_000_000) + (F.col("user_id") * 131 + F.col("event_id") * 7) % 170_000
     events = table(spark, sf_dir, "events").select("event_id", ip.alias("ip"))
     return cidr_lookup(events, "ip", local_table(spark, ADDRESS_RANGES, "name string, cidr string"))
 
@@ -138,35 +124,30 @@ RULE_COLUMNS = (
     "direction string, priority int, protocol string, port_lo int, port_hi int, "
     "source string, destination string, access string"
 )
-# The network rules, null ports meaning any; the last one is ours, to see a denial.
+# Invented rules; null ports mean any.
 FLOW_RULES = [
-    ("Inbound", 100, "*", None, None, "VirtualNetwork", "VirtualNetwork", "Allow"),
-    ("Inbound", 120, "Tcp", 44224, 44224, "Training", "*", "Allow"),
-    ("Inbound", 130, "Tcp", 29876, 29877, "NodeManagement", "*", "Allow"),
-    ("Outbound", 100, "Tcp", 443, 443, "VirtualNetwork", "Compute", "Allow"),
-    ("Outbound", 101, "*", None, None, "VirtualNetwork", "VirtualNetwork", "Allow"),
-    ("Outbound", 102, "Tcp", 3306, 3306, "VirtualNetwork", "Sql", "Allow"),
-    ("Outbound", 103, "Tcp", 443, 443, "VirtualNetwork", "Storage", "Allow"),
-    ("Outbound", 104, "Tcp", 9093, 9093, "VirtualNetwork", "Stream", "Allow"),
-    ("Outbound", 200, "*", None, None, "*", "Stream", "Deny"),
+    ("In", 10, "tcp", 8080, 8089, "*", "web", "Allow"),
+    ("In", 20, "*", None, None, "partner", "*", "Deny"),
+    ("In", 30, "*", 5000, None, "web", "queue", "Allow"),
+    ("Out", 5, "udp", None, 1023, "*", "*", "Deny"),
+    ("Out", 15, "tcp", 7070, 7070, "batch", "store", "Allow"),
+    ("Out", 25, "*", None, None, "*", "queue", "Allow"),
+    ("Out", 35, "tcp", 8081, 9000, "partner", "*", "Deny"),
 ]
-FLOW_PORTS = [443, 3306, 9093, 44224, 29876, 22]
-FLOW_DESTINATIONS = {"purchase": "Sql", "view": "Storage", "click": "Stream", "error": "VirtualNetwork"}
+FLOW_PORTS = [8080, 7070, 514, 8085, 9001]
+FLOW_DESTINATIONS = {"purchase": "store", "view": "web", "click": "queue", "error": "batch"}
 
 
 def event_flows(events):
-    destination = F.lit("Compute")
+    destination = F.lit("archive")
     for event_type, label in FLOW_DESTINATIONS.items():
         destination = F.when(F.col("event_type") == event_type, F.lit(label)).otherwise(destination)
     return events.select(
         "event_id",
-        F.when(F.col("event_id") % 4 == 0, "Inbound").otherwise("Outbound").alias("direction"),
-        F.when(F.col("user_id") % 9 == 0, "Udp").otherwise("Tcp").alias("protocol"),
-        F.get(F.array(*[F.lit(p) for p in FLOW_PORTS]), (F.col("event_id") % 6).cast("int")).alias("port"),
-        F.when(F.col("user_id") % 10 == 0, "Training")
-        .when(F.col("user_id") % 10 == 1, "NodeManagement")
-        .otherwise("VirtualNetwork")
-        .alias("source"),
+        F.when(F.col("event_id") % 3 == 0, "In").otherwise("Out").alias("direction"),
+        F.when(F.col("user_id") % 7 == 0, "udp").otherwise("tcp").alias("protocol"),
+        F.get(F.array(*[F.lit(p) for p in FLOW_PORTS]), (F.col("event_id") % 5).cast("int")).alias("port"),
+        F.when(F.col("user_id") % 4 == 0, "partner").when(F.col("user_id") % 4 == 1, "web").otherwise("batch").alias("source"),
         destination.alias("destination"),
     )
 
@@ -176,24 +157,21 @@ def event_flows(events):
     """
     WITH flows AS (
         SELECT event_id,
-               CASE WHEN event_id % 4 = 0 THEN 'Inbound' ELSE 'Outbound' END AS direction,
-               CASE WHEN user_id % 9 = 0 THEN 'Udp' ELSE 'Tcp' END AS protocol,
-               ([443, 3306, 9093, 44224, 29876, 22])[event_id % 6 + 1] AS port,
-               CASE WHEN user_id % 10 = 0 THEN 'Training' WHEN user_id % 10 = 1 THEN 'NodeManagement'
-                    ELSE 'VirtualNetwork' END AS source,
-               CASE event_type WHEN 'purchase' THEN 'Sql' WHEN 'view' THEN 'Storage' WHEN 'click' THEN 'Stream'
-                    WHEN 'error' THEN 'VirtualNetwork' ELSE 'Compute' END AS destination
+               CASE WHEN event_id % 3 = 0 THEN 'In' ELSE 'Out' END AS direction,
+               CASE WHEN user_id % 7 = 0 THEN 'udp' ELSE 'tcp' END AS protocol,
+               ([8080, 7070, 514, 8085, 9001])[event_id % 5 + 1] AS port,
+               CASE user_id % 4 WHEN 0 THEN 'partner' WHEN 1 THEN 'web' ELSE 'batch' END AS source,
+               CASE event_type WHEN 'purchase' THEN 'store' WHEN 'view' THEN 'web' WHEN 'click' THEN 'queue'
+                    WHEN 'error' THEN 'batch' ELSE 'archive' END AS destination
         FROM events),
     rules(direction, priority, protocol, port_lo, port_hi, source, destination, access) AS (
-        VALUES ('Inbound', 100, '*', 0, 65535, 'VirtualNetwork', 'VirtualNetwork', 'Allow'),
-               ('Inbound', 120, 'Tcp', 44224, 44224, 'Training', '*', 'Allow'),
-               ('Inbound', 130, 'Tcp', 29876, 29877, 'NodeManagement', '*', 'Allow'),
-               ('Outbound', 100, 'Tcp', 443, 443, 'VirtualNetwork', 'Compute', 'Allow'),
-               ('Outbound', 101, '*', 0, 65535, 'VirtualNetwork', 'VirtualNetwork', 'Allow'),
-               ('Outbound', 102, 'Tcp', 3306, 3306, 'VirtualNetwork', 'Sql', 'Allow'),
-               ('Outbound', 103, 'Tcp', 443, 443, 'VirtualNetwork', 'Storage', 'Allow'),
-               ('Outbound', 104, 'Tcp', 9093, 9093, 'VirtualNetwork', 'Stream', 'Allow'),
-               ('Outbound', 200, '*', 0, 65535, '*', 'Stream', 'Deny'))
+        VALUES ('In', 10, 'tcp', 8080, 8089, '*', 'web', 'Allow'),
+               ('In', 20, '*', 0, 65535, 'partner', '*', 'Deny'),
+               ('In', 30, '*', 5000, 65535, 'web', 'queue', 'Allow'),
+               ('Out', 5, 'udp', 0, 1023, '*', '*', 'Deny'),
+               ('Out', 15, 'tcp', 7070, 7070, 'batch', 'store', 'Allow'),
+               ('Out', 25, '*', 0, 65535, '*', 'queue', 'Allow'),
+               ('Out', 35, 'tcp', 8081, 9000, 'partner', '*', 'Deny'))
     SELECT event_id, coalesce(arg_min(access, priority), 'NoMatch') AS access, min(priority) AS matched_priority
     FROM flows f LEFT JOIN rules r
       ON f.direction = r.direction AND (r.protocol = '*' OR r.protocol = f.protocol)

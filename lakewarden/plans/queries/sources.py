@@ -49,21 +49,35 @@ def write_zone_query(spark, sf_dir):
     "SELECT p_brand, count(*) AS parts, max(p_size) AS max_size FROM part GROUP BY p_brand",
 )
 def register_dataset_query(spark, sf_dir):
-    register_dataset(spark, f"{sf_dir}/part.parquet", "lakewarden_part")
+    root = scratch(spark)
+    write_zone(table(spark, sf_dir, "part"), root, "raw", "data", "part", partition_by=["p_brand"])
+    register_dataset(spark, f"{root}/raw/data/part", "lakewarden_part")
     return spark.sql("SELECT p_brand, count(*) AS parts, max(p_size) AS max_size FROM lakewarden_part GROUP BY p_brand")
 
 
-@query("object_inventory")
+@query(
+    "object_inventory",
+    "SELECT concat('o_orderstatus=', o_orderstatus) AS container, 1::BIGINT AS objects FROM orders GROUP BY o_orderstatus",
+)
 def object_inventory_query(spark, sf_dir):
-    return object_inventory(spark, sf_dir)
+    root = scratch(spark)
+    one_each = table(spark, sf_dir, "orders").repartition(8, "o_orderstatus")
+    one_each.write.partitionBy("o_orderstatus").parquet(root)
+    found = object_inventory(spark, root).filter(F.col("path").endswith(".parquet") & (F.col("bytes") > 0))
+    return found.groupBy("container").agg(F.count(F.lit(1)).alias("objects"))
 
 
 @query(
     "flatten_documents",
-    "SELECT event_id, 'k' AS path, json_extract_string(props, '$.k') AS value FROM events",
+    """
+    SELECT event_id, 'a.0.k' AS path, json_extract_string(props, '$.k') AS value FROM events
+    UNION ALL SELECT event_id, 'b\\.c.d', event_type FROM events WHERE event_id % 2 = 0
+    """,
 )
 def flatten_documents_query(spark, sf_dir):
-    return flatten_documents(table(spark, sf_dir, "events"), "event_id", "props")
+    more = F.when(F.col("event_id") % 2 == 0, F.concat(F.lit(',"b.c":{"d":"'), "event_type", F.lit('"}'))).otherwise(F.lit(',"b.c":{}'))
+    nested = F.concat(F.lit('{"a":['), "props", F.lit("]"), more, F.lit("}"))
+    return flatten_documents(table(spark, sf_dir, "events").withColumn("nested", nested), "event_id", "nested")
 
 
 @query("read_event_stream", "SELECT event_type, count(*) AS events FROM events GROUP BY event_type")

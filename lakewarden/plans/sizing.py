@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Row, SparkSession
@@ -37,6 +38,13 @@ def unique_by(df: DataFrame, keys: list[str], what: str) -> DataFrame:
     return df.filter(F.when(number > 0, F.raise_error(message).cast("boolean")).otherwise(F.lit(True)))
 
 
+def keyed_by(df: DataFrame, keys: list[str], what: str) -> DataFrame:
+    """``df`` itself; the job fails when a key occurs twice or is null."""
+    missing = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    message = F.lit(f"{what}: null key ({', '.join(keys)})")
+    return unique_by(df, keys, what).filter(F.when(missing, F.raise_error(message).cast("boolean")).otherwise(F.lit(True)))
+
+
 def join_groups(
     left: DataFrame, groups: DataFrame, pairs: list[tuple[str, str]], how: str = "inner", nulls: bool = False
 ) -> DataFrame:

@@ -2,46 +2,55 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_DEPTH = 8
+def flatten_documents(df: DataFrame, id_col: str, json_col: str) -> DataFrame:
+    """One row (id, path, value) per leaf of each JSON document, however deep.
 
+    Object keys and array positions are joined by dots (``init_scripts.0.store.destination``); a dot
+    or backslash inside a key is preceded by a backslash. Text that is not JSON and empty containers
+    give no row. Every level is one narrow step over the same rows, and nothing is shuffled. How many
+    levels there are is found first, by looking for containers below one level, two, four and so on.
+    """
+    depth = 1
+    while not _opened(df, id_col, json_col, depth).filter(_nested() & ~F.to_json("node").isin("{}", "[]")).isEmpty():
+        depth *= 2
+    level = _opened(df, id_col, json_col, depth)
+    leaf = F.struct(
+        F.coalesce(F.col("path"), F.lit("")).alias("path"),
+        F.try_variant_get("node", "$", "string").alias("value"),
+        _nested().alias("empty"),
+    )
+    # Exploding one value keeps later filters on it from repeating the expressions.
+    leaves = level.select(F.col(id_col), F.inline_outer(F.array(leaf)))
+    return leaves.filter(~F.col("empty")).drop("empty")
 
-def flatten_documents(df: DataFrame, id_col: str, json_col: str, max_depth: int = MAX_DEPTH) -> DataFrame:
-    """One row (id, path, value) per leaf of each JSON document.
 
-    Object keys and array positions are joined by dots (``init_scripts.0.store.destination``). Text
-    that is not JSON and empty containers give no row; whatever lies deeper than ``max_depth`` stays
-    one JSON text. Every level is one narrow step over the same rows, so the input is scanned once
-    and nothing is shuffled.
-    """
+def _nested() -> Column:
+    kind = F.schema_of_variant("node")
+    return kind.like("OBJECT<%") | kind.like("ARRAY<%")
+
+
+def _opened(df: DataFrame, id_col: str, json_col: str, depth: int) -> DataFrame:
+    """Rows (id, path, node) with ``depth`` levels of containers opened."""
     spark = df.sparkSession
     level = df.select(
         F.col(id_col),
         F.lit(None).cast("string").alias("path"),
         F.try_parse_json(json_col).alias("node"),
     ).filter(F.col("node").isNotNull())
-    for _ in range(max_depth):
+    for _ in range(depth):
         # A leaf passes through as one row without key and position.
         level = spark.sql(
-            f"""
+            rf"""
             SELECT l.`{id_col}`,
                    CASE WHEN c.pos IS NULL THEN l.path
-                        ELSE concat_ws('.', l.path, coalesce(c.key, cast(c.pos AS string))) END AS path,
+                        ELSE concat_ws('.', l.path, coalesce(
+                            replace(replace(c.key, r'\', r'\\'), '.', r'\.'), cast(c.pos AS string))) END AS path,
                    CASE WHEN c.pos IS NULL THEN l.node ELSE c.value END AS node
             FROM {{level}} l, LATERAL variant_explode_outer(l.node) c
             """,
             level=level,
         )
-    kind = F.schema_of_variant("node")
-    nested = kind.like("OBJECT<%") | kind.like("ARRAY<%")
-    text = F.to_json("node")
-    leaf = F.struct(
-        F.coalesce(F.col("path"), F.lit("")).alias("path"),
-        F.when(nested, text).otherwise(F.try_variant_get("node", "$", "string")).alias("value"),
-        (nested & text.isin("{}", "[]")).alias("empty"),
-    )
-    # Exploding one value keeps later filters on it from repeating the expressions.
-    leaves = level.select(F.col(id_col), F.inline_outer(F.array(leaf)))
-    return leaves.filter(~F.col("empty")).drop("empty")
+    return level

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,8 +20,11 @@ def object_inventory(spark: SparkSession, root: str) -> DataFrame:
         .load(root)
         .select("path", "modificationTime", "length")
     )
-    base = root.split("://")[-1].rstrip("/") + "/"
-    relative = F.substring_index(F.col("path"), base, -1)
+    place = spark._jvm.org.apache.hadoop.fs.Path(root)
+    base = place.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(place).toString().rstrip("/") + "/"
+    # Both sides name the same store; the root is cut off once, at the front.
+    plain = F.regexp_replace("path", r"^[a-z0-9]+:/+", "/")
+    relative = F.substr(plain, F.lit(len(re.sub(r"^[a-z0-9]+:/+", "/", base)) + 1))
     return files.select(
         relative.alias("path"),
         F.when(relative.contains("/"), F.substring_index(relative, "/", 1)).alias("container"),

@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from lakewarden.operators.joins import (
     assign_all,
@@ -49,29 +48,23 @@ def test_scope_and_missing(spark):
     assert rows(missing_references(members, assigned, "group_id", "principalId")) == [("u2", "g2")]
 
 
-def test_two_groups_one_application(spark):
+def test_groups_of_one_application(spark):
     groups = spark.createDataFrame([("g1",), ("g2",)], "principalId string")
-    app = spark.createDataFrame([("app",)], "resourceId string")
-    got = assign_all(groups, app, "user")
-    assert [(r[0], r[1], r[2]) for r in got.sort("principalId").collect()] == [("g1", "app", "user"), ("g2", "app", "user")]
-
-
-def test_long_resource_list_gives_the_same_product(spark):
-    groups = spark.range(7).select(F.col("id").cast("string").alias("principalId"))
-    apps = spark.range(200).select(F.col("id").cast("string").alias("resourceId"))
-    short, long = assign_all(groups, apps, "r"), assign_all(groups, apps, "r", limit=10)
-    assert short.count() == 1400 and rows(short) == rows(long)
-    assert "NestedLoop" not in long._jdf.queryExecution().toString()
+    got = assign_all(groups, "app", "user").sort("principalId").collect()
+    assert [(r[0], r[1], r[2]) for r in got] == [("g1", "app", "user"), ("g2", "app", "user")]
+    assert len({r["assignment_id"] for r in got}) == 2
 
 
 ADDRESSES = [
-    ("10.1.6.7", "data_integration_001"),
-    ("10.1.200.1", "vnet"),
-    ("8.8.8.8", "default"),
-    ("10.1.0.0", "services"),
-    ("10.1.9.255", "data_product_002"),
-    ("10.1.10.0", "vnet"),
-    ("255.255.255.255", "default"),
+    ("172.20.160.5", "lab_a"),
+    ("172.20.129.1", "labs"),
+    ("172.20.5.5", "campus"),
+    ("172.20.203.255", "lab_b"),
+    ("172.20.204.0", "labs"),
+    ("172.21.31.255", "annex"),
+    ("172.21.32.0", "campus"),
+    ("8.8.8.8", "anywhere"),
+    ("255.255.255.255", "anywhere"),
     ("not an address", None),
     (None, None),
 ]
@@ -110,12 +103,14 @@ def test_ranges_against_brute_force(spark):
 def test_first_match_known_answers(spark):
     flows = spark.createDataFrame(
         [
-            ("Inbound", "Tcp", 1, "VirtualNetwork", "VirtualNetwork", "Allow", 100),
-            ("Outbound", "Tcp", 443, "VirtualNetwork", "Storage", "Allow", 103),
-            ("Outbound", "Udp", 443, "VirtualNetwork", "Storage", "NoMatch", None),
-            ("Inbound", "Tcp", 29877, "NodeManagement", "anything", "Allow", 130),
-            ("Inbound", "Tcp", 29878, "NodeManagement", "anything", "NoMatch", None),
-            ("Outbound", None, None, "VirtualNetwork", "VirtualNetwork", "Allow", 101),
+            ("In", "tcp", 8085, "batch", "web", "Allow", 10),
+            ("In", "tcp", 8090, "partner", "web", "Deny", 20),
+            ("In", "udp", 5000, "web", "queue", "Allow", 30),
+            ("In", "udp", 4999, "web", "queue", "NoMatch", None),
+            ("Out", "udp", 514, "web", "store", "Deny", 5),
+            ("Out", "tcp", 7070, "batch", "store", "Allow", 15),
+            ("Out", "tcp", 7071, "batch", "store", "NoMatch", None),
+            ("Out", None, None, "batch", "queue", "Allow", 25),
         ],
         "direction string, protocol string, port int, source string, destination string, want string, want_priority int",
     )

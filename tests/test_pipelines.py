@@ -80,8 +80,7 @@ def test_identities_from_members_to_statistics(spark):
         [("u1", "g1", "Ann"), ("u2", "g2", "Bea"), ("u3", "g9", "Cem")], "user_id string, group_id string, name string"
     )
     groups = spark.createDataFrame([("g1",), ("g2",)], "principalId string")
-    application = spark.createDataFrame([("app",)], "resourceId string")
-    assignments = assign_all(groups, application, "user")
+    assignments = assign_all(groups, "app", "user")
     assert assignments.count() == 2
     source = in_scope(members, assignments, "group_id", "principalId").select("user_id", "name")
     target = spark.createDataFrame([("u2", "Bee"), ("u7", "Dan")], "user_id string, name string")

@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as driver
 from lakewarden.operators import joins
+from lakewarden.plans.registry import QUERIES
 from tests.oracle import compare, connect
 
 SF_DIR = "/root/testdata/sf0.01"
@@ -14,7 +15,7 @@ def duck():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name):
     result = driver.queries()[name](spark, SF_DIR)
     plan = result._jdf.queryExecution().executedPlan().toString()

@@ -106,7 +106,7 @@ def test_collisions(spark):
 
 @pytest.mark.parametrize("limit", [1])
 def test_addresses(spark, limit):
-    df = hot(spark).select("id", (F.col("k") * 65_537 + 167_837_696).alias("ip"))
+    df = hot(spark).select("id", (F.col("k") * 65_537 + 2_886_991_872).alias("ip"))
     ranges = local_table(spark, ADDRESS_RANGES, "name string, cidr string")
     split_rows(
         spark, lambda: cidr_lookup(df, "ip", ranges), lambda: cidr_lookup(df, "ip", ranges, limit=limit)
@@ -116,11 +116,11 @@ def test_addresses(spark, limit):
 def test_flows(spark):
     flows = hot(spark).select(
         "id",
-        F.lit("Outbound").alias("direction"),
-        F.lit("Tcp").alias("protocol"),
+        F.lit("Out").alias("direction"),
+        F.lit("tcp").alias("protocol"),
         F.col("k").cast("int").alias("port"),
-        F.lit("VirtualNetwork").alias("source"),
-        F.lit("Storage").alias("destination"),
+        F.lit("batch").alias("source"),
+        F.lit("store").alias("destination"),
     )
     rules = local_table(spark, FLOW_RULES, RULE_COLUMNS)
     split_rows(spark, lambda: first_match(flows, rules), lambda: first_match(flows, rules, limit=1))
