@@ -53,12 +53,12 @@ def fan_out(stream: DataFrame, paths: Sequence[str], checkpoint: str, fmt: str =
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            for path in paths:
-                batch.write.format(fmt).mode("overwrite").save(f"{path}/batch_id={batch_id}")
-        finally:
-            batch.unpersist()
+        # The first sink's files feed the others: the batch is computed once and cached nowhere.
+        first, *others = [f"{path}/batch_id={batch_id}" for path in paths]
+        batch.write.format(fmt).mode("overwrite").save(first)
+        for other in others:
+            written = batch.sparkSession.read.format(fmt).schema(batch.schema).load(first)
+            written.write.format(fmt).mode("overwrite").save(other)
 
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
 
