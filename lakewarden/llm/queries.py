@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakewarden.llm import cotraining, fertility, lexicon, lm_automaton, near_dedup, packing, page_text, reply_trees, substring_dedup, vector_dedup
+from lakewarden.llm import cotraining, fertility, lexicon, lm_automaton, manifest, near_dedup, packing, page_text, reply_trees, substring_dedup, vector_dedup
 from lakewarden.llm.registry import query, table
 
 
@@ -105,3 +105,65 @@ def crf_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def cotraining_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return cotraining.score_documents(docs, cotraining.fit(docs, table(spark, sf_dir, "labels")), keep=["doc_id"])
+
+
+#: Leaves, trees by source and over the sources, proofs and refolding. The CRC-32 of a text of digits is a fold over its
+#: bytes, each followed by seven zeros, for eight shifts a byte.
+MERKLE_SQL = r"""
+WITH RECURSIVE digits AS (
+  SELECT *, list_reduce(list_concat([4294967295::BIGINT],
+    flatten(list_transform(string_split(doc_id::VARCHAR, ''), lambda d: [ascii(d)::BIGINT, 0, 0, 0, 0, 0, 0, 0]))),
+    lambda c, b: xor(xor(c, b) >> 1, 3988292384 * (xor(c, b) & 1))) AS crc FROM documents
+), leaves AS (
+  SELECT doc_id, coalesce('=' || source, '') AS name,
+    coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+      || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS head,
+    text, CASE WHEN doc_id IS NOT NULL AND (crc & 1) = 1 THEN replace(text, chr(10), '') ELSE text END AS now FROM digits
+), hashed AS (
+  SELECT doc_id, name, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+    sha256(head || coalesce(strlen(now) || ':' || now, '-')) AS present FROM leaves
+), numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY name ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY name) AS n FROM hashed
+), low AS (
+  SELECT name, 0 AS lvl, pos, n, leaf AS node FROM numbered
+  UNION ALL
+  SELECT name, lvl + 1, pos // 3, any_value((n + 2) // 3), sha256(string_agg(node, '' ORDER BY pos)) FROM low WHERE n > 1 GROUP BY name, lvl, pos // 3
+), subroots AS (
+  SELECT name, lvl, node, row_number() OVER (ORDER BY name) - 1 AS pos, count(*) OVER () AS n FROM low WHERE n = 1
+), high AS (
+  SELECT 0 AS lvl, pos, n, node FROM subroots
+  UNION ALL
+  SELECT lvl + 1, pos // 3, any_value((n + 2) // 3), sha256(string_agg(node, '' ORDER BY pos)) FROM high WHERE n > 1 GROUP BY lvl, pos // 3
+), low_sides AS (
+  SELECT a.name, a.lvl, a.pos, coalesce(string_agg(b.node, '' ORDER BY b.pos) FILTER (b.pos < a.pos), '') AS l,
+    coalesce(string_agg(b.node, '' ORDER BY b.pos) FILTER (b.pos > a.pos), '') AS r
+  FROM low a JOIN low b ON a.name = b.name AND a.lvl = b.lvl AND a.pos // 3 = b.pos // 3 WHERE a.n > 1 GROUP BY a.name, a.lvl, a.pos
+), high_sides AS (
+  SELECT a.lvl, a.pos, coalesce(string_agg(b.node, '' ORDER BY b.pos) FILTER (b.pos < a.pos), '') AS l,
+    coalesce(string_agg(b.node, '' ORDER BY b.pos) FILTER (b.pos > a.pos), '') AS r
+  FROM high a JOIN high b ON a.lvl = b.lvl AND a.pos // 3 = b.pos // 3 WHERE a.n > 1 GROUP BY a.lvl, a.pos
+), steps AS (
+  SELECT x.name, x.pos, s.lvl AS step, s.l, s.r FROM numbered x JOIN low_sides s ON s.name = x.name AND s.pos = x.pos // (3 ** s.lvl)::BIGINT
+  UNION ALL
+  SELECT x.name, x.pos, t.lvl + s.lvl, s.l, s.r FROM numbered x JOIN subroots t ON t.name = x.name JOIN high_sides s ON s.pos = t.pos // (3 ** s.lvl)::BIGINT
+), proofs AS (
+  SELECT name, pos, count(*) AS steps, sha256(string_agg(l || r, '' ORDER BY step)) AS proof FROM steps GROUP BY name, pos
+), folded AS (
+  SELECT name, pos, 0 AS step, present AS node FROM numbered
+  UNION ALL
+  SELECT f.name, f.pos, f.step + 1, sha256(s.l || f.node || s.r) FROM folded f JOIN steps s ON s.name = f.name AND s.pos = f.pos AND s.step = f.step
+)
+SELECT x.doc_id, x.leaf, t.node AS subroot, h.node AS root, coalesce(p.proof, sha256('')) AS proof_sha256, f.node AS folded_root,
+  f.node = h.node AS verified
+FROM numbered x JOIN subroots t ON t.name = x.name JOIN high h ON h.n = 1
+LEFT JOIN proofs p ON p.name = x.name AND p.pos = x.pos
+JOIN folded f ON f.name = x.name AND f.pos = x.pos AND f.step = coalesce(p.steps, 0)
+"""
+
+
+@query("op11_merkle_manifest", MERKLE_SQL)
+def merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    touched = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    tampered = F.when(touched, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    return manifest.manifest(docs, list(manifest.FIELDS), "doc_id", "source", {"text": tampered})
