@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakewarden.llm import cotraining, fertility, lexicon, lm_automaton, manifest, near_dedup, packing, page_text, reply_trees, substring_dedup, vector_dedup
+from lakewarden.llm import cotraining, fertility, lexicon, lm_automaton, manifest, near_dedup, packing, page_text, reply_trees, substring_dedup, vector_dedup, vector_graph
 from lakewarden.llm.registry import query, table
 
 
@@ -167,3 +167,9 @@ def merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     touched = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
     tampered = F.when(touched, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
     return manifest.manifest(docs, list(manifest.FIELDS), "doc_id", "source", {"text": tampered})
+
+
+@query("op12_pruned_graph_search")
+def pruned_graph_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return vector_graph.nearest(vectors, vectors.filter("vec_id % 50 = 0"), k=5)
