@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakewarden.llm import cotraining, fertility, lexicon, lm_automaton, manifest, near_dedup, packing, page_text, reply_trees, substring_dedup, vector_dedup, vector_graph
+from lakewarden.llm import cotraining, fertility, lexicon, lm_automaton, manifest, near_dedup, packing, page_text, reply_trees, substring_dedup, vector_dedup, vector_graph, whitening
 from lakewarden.llm.registry import query, table
 
 
@@ -173,3 +173,8 @@ def merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def pruned_graph_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return vector_graph.nearest(vectors, vectors.filter("vec_id % 50 = 0"), k=5)
+
+
+@query("op13_exact_whitening")
+def exact_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
