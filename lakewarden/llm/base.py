@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import io
 import uuid
 import zipfile
@@ -39,24 +40,59 @@ def slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[tuple[pa.
 
 
 class WordHashes(dict):
-    """64-bit hashes of words; a memo that empties itself when it holds ``limit`` words."""
+    """64-bit hashes of words; a memo that empties itself when it holds about ``limit`` bytes."""
 
-    def __init__(self, limit: int = 150_000):
+    def __init__(self, limit: int = 12 << 20):
         super().__init__()
-        self.limit = limit
+        self.limit, self.held = limit, 0
 
     def __missing__(self, word: bytes) -> int:
         value = self[word] = xxhash.xxh3_64_intdigest(word)
+        self.held += len(word) + 160
         return value
 
     def of(self, words: list[bytes]) -> np.ndarray:
-        if len(self) > self.limit:
-            self.clear()
+        if self.held > self.limit:
+            self.forget()
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
+    def forget(self) -> None:
+        self.clear()
+        self.held = 0
+
 
 HASHES = WordHashes()
 
+#: What a Python worker keeps between tasks, and the module whose work it did last. Workers outlive a stage.
+_kept: dict[tuple, object] = {}
+_owner = ""
+
+
+def kept_tool(make: Callable, *options):
+    """``make(*options)``, kept in this process as long as it works for the same module."""
+    key = (make, options)
+    if key not in _kept:
+        _kept[key] = make(*options)
+    return _kept[key]
+
+
+def start_work(owner: str) -> None:
+    """Drop the tools of another module."""
+    global _owner
+    if _owner != owner:
+        _kept.clear()
+        _owner = owner
+
+
+def end_work() -> None:
+    """Forget words and hand free memory back, so that idle workers hold little."""
+    HASHES.forget()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
 
@@ -95,6 +131,40 @@ def write_parquet(df: DataFrame, path: str) -> None:
         conf.set(CLEANUP, before)
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+class Workspace:
+    """Tables written to the shared folder while an operator works; all go when it is done, or earlier by ``drop``.
+
+    ``settled`` as a function of this module is for results that others go on reading.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.folder, self.paths = spark, scratch(spark), {}
+
+    def __enter__(self) -> Workspace:
+        return self
+
+    def __exit__(self, *_) -> None:
+        remove_folder(self.spark, self.folder)
+
+    def settled(self, df: DataFrame) -> DataFrame:
+        path = f"{self.folder}/{len(self.paths)}"
+        write_parquet(df, path)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        self.paths[len(self.paths)] = (out, path)
+        return out
+
+    def drop(self, *tables: DataFrame) -> None:
+        for number, (table, path) in self.paths.items():
+            if any(table is t for t in tables):
+                remove_folder(self.spark, path)
+                self.paths[number] = (None, path)
+
+
 def settled(df: DataFrame) -> DataFrame:
     """``df`` written once to the shared folder and read back: later uses neither compute it again nor lose it."""
     path = scratch(df.sparkSession)
@@ -137,6 +207,15 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def map_batches(df: DataFrame, run: Callable, schema) -> DataFrame:
-    """``mapInArrow`` with this package at hand on the executors."""
+    """``mapInArrow`` with this package at hand on the executors; what a worker kept for other modules is dropped."""
     ship_package(df.sparkSession)
-    return df.mapInArrow(run, schema)
+    owner = run.__module__
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        start_work(owner)
+        try:
+            yield from run(batches)
+        finally:
+            end_work()
+
+    return df.mapInArrow(work, schema)

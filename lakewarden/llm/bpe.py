@@ -8,12 +8,13 @@ words per step; words with other characters, very long words and words that hold
 from __future__ import annotations
 
 import os
-from functools import lru_cache
 from unicodedata import normalize
 
 import numpy as np
 import regex
 
+from lakewarden.llm.base import kept_tool
+
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: Fixed by the vocabulary file: how it cuts lower-cased text.
@@ -156,6 +157,5 @@ class WordBpe:
         return self.words
 
 
-@lru_cache(maxsize=2)
 def word_bpe(path: str) -> WordBpe:
-    return WordBpe(path)
+    return kept_tool(WordBpe, path)

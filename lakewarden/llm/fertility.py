@@ -15,7 +15,6 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakewarden.llm.base import HASHES, map_batches, settled, slices, window_hashes
+from lakewarden.llm.base import HASHES, kept_tool, map_batches, settled, slices, window_hashes
 
 SYMBOLS = b"#*$%&|<>"
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -65,11 +64,6 @@ class Fertility:
         return self.known
 
 
-@lru_cache(maxsize=2)
-def fertility(pieces: str, ranks: str) -> Fertility:
-    return Fertility(pieces, ranks)
-
-
 def base_measures(text: bytes, words: list[bytes]) -> tuple[int, int, int, int, int]:
     """The five plain counts of one text."""
     joined = b"".join(words)
@@ -105,7 +99,7 @@ def measure(docs: DataFrame, pieces: str, ranks: str, text: str = "text", keep_t
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tool = fertility(pieces, ranks)
+        tool = kept_tool(Fertility, pieces, ranks)
         for part, texts in slices(batches, "__text"):
             cut = [t.split() for t in texts]
             table = tool.table({w for words in cut for w in words})

@@ -15,7 +15,6 @@ import hashlib
 import json
 from collections import Counter
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakewarden.llm.base import map_batches, scratch, slices, write_bytes
+from lakewarden.llm.base import kept_tool, map_batches, scratch, slices, write_bytes
 from lakewarden.llm.bpe import word_bpe
 
 #: A word is frequent if it makes up this share of the words of some slice of a few MB, so that a slice names few words.
@@ -177,7 +176,6 @@ class Automaton:
         return cls(arrays)
 
 
-@lru_cache(maxsize=2)
 def mapped_automaton(name: str) -> Automaton:
     return Automaton.mapped(SparkFiles.get(name))
 
@@ -195,7 +193,7 @@ class Encoder:
     """Ids of words from the mapped lexicon first, then by exact merging."""
 
     def __init__(self, tokenizer: str, lexicon: str):
-        self.bpe, self.lexicon = word_bpe(tokenizer), mapped_automaton(lexicon)
+        self.bpe, self.lexicon = word_bpe(tokenizer), kept_tool(mapped_automaton, lexicon)
         vocabulary = self.bpe.library.get_vocab_size(with_added_tokens=True)
         self.numbers = [str(i) for i in range(vocabulary)]
         self.tokens = [self.bpe.library.id_to_token(i) or "" for i in range(vocabulary)]
@@ -218,11 +216,6 @@ class Encoder:
         return " ".join(map(self.tokens.__getitem__, ids))
 
 
-@lru_cache(maxsize=2)
-def encoder(tokenizer: str, lexicon: str) -> Encoder:
-    return Encoder(tokenizer, lexicon)
-
-
 def encode_texts(
     docs: DataFrame, tokenizer: str, outputs: list[str], keep: list[str], text: str = "text", words: list[bytes] | None = None
 ) -> DataFrame:
@@ -239,7 +232,7 @@ def encode_texts(
     schema = T.StructType([*fields, *[T.StructField(f"o{i}", OUTPUTS[o]) for i, o in enumerate(outputs)]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = encoder(tokenizer, lexicon)
+        coder = kept_tool(Encoder, tokenizer, lexicon)
         make = {
             "n_tokens": len,
             "ids": lambda ids: ids,
