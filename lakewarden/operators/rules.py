@@ -3,12 +3,18 @@
 A rule speaks about one dotted path. Rules are checked after defaults are filled in; a missing
 (null) value breaks only ``required``. Values compare as text for ``fixed`` and ``allowlist``, as
 double for ``range`` (inclusive bounds; a value that is no number breaks the rule), and a ``regex``
-must match the whole value. Each check returns one row per violation:
+must match the whole value. Bounds on a rule's length hold for present values as ``length``, and
+for needed ones as a part of ``required``. Each check returns one row per violation:
 ``entity_id, path, rule_type, expected, actual``.
 
+Several rules may speak about one path; the order of rules never matters and rules given twice count
+once. Paths may contain ``*``; of the paths that match, the most specific one's rules hold, all of
+them. A path is filled with its default, else with the value of its fixed rule; two different ones
+are an error.
+
 Two input forms exist. In the wide form every path is a column and the rules are compiled into one
-projection: one scan, no shuffle, no join. In the long form (``entity_id, path, value``) the rules
-are a table, paths may contain ``*`` and all matching is done by equality joins.
+projection: one scan, no shuffle, no join. A path without a column is missing everywhere. In the
+long form (``entity_id, path, value``) the rules are a table of any length.
 """
 
 from __future__ import annotations
@@ -36,13 +42,18 @@ RULE_SCHEMA = T.StructType(
         T.StructField("default_value", T.StringType()),
         T.StructField("is_optional", T.BooleanType()),
         T.StructField("hidden", T.BooleanType()),
+        T.StructField("min_length", T.IntegerType()),
+        T.StructField("max_length", T.IntegerType()),
     ]
 )
 
 
 @dataclass(frozen=True)
 class Rule:
-    """One rule; ``type`` is fixed, range, regex, allowlist, forbidden, unlimited or required."""
+    """One rule; ``type`` is fixed, range, regex, allowlist, forbidden, unlimited or required.
+
+    Bounds on the length go with any type.
+    """
 
     path: str
     type: str
@@ -54,6 +65,15 @@ class Rule:
     default_value: str | None = None
     is_optional: bool = True
     hidden: bool = False
+    min_length: int | None = None
+    max_length: int | None = None
+
+    @property
+    def needed(self) -> bool:
+        return self.type == "required" or not self.is_optional
+
+
+TYPES = ("fixed", "range", "regex", "allowlist", "forbidden", "unlimited", "required")
 
 
 def rules_from_policy(policy: str) -> list[Rule]:
@@ -76,6 +96,8 @@ def rules_from_policy(policy: str) -> list[Rule]:
             default_value=text(spec.get("defaultValue")),
             is_optional=spec.get("isOptional", True),
             hidden=spec.get("hidden", False),
+            min_length=spec.get("minLength"),
+            max_length=spec.get("maxLength"),
         )
         for path, spec in json.loads(policy).items()
     ]
@@ -89,23 +111,18 @@ def rules_frame(spark: SparkSession, rules: Iterable[Rule]) -> DataFrame:
 
     rows = [
         (r.path, r.type, r.value, list(r.values) if r.values is not None else None, r.pattern,
-         number(r.min_value), number(r.max_value), r.default_value, r.is_optional, r.hidden)
+         number(r.min_value), number(r.max_value), r.default_value, r.is_optional, r.hidden,
+         r.min_length, r.max_length)
         for r in rules
     ]
     return local_table(spark, rows, RULE_SCHEMA)
 
 
-DOCUMENT_ROWS = 10_000
-
-
 def rules_from_frame(rules: DataFrame) -> list[Rule]:
-    """The rules of a table of ``RULE_SCHEMA``, for the wide form."""
-    rows = rows_at_most(rules.select(*RULE_SCHEMA.names), DOCUMENT_ROWS)
-    if rows is None:
-        raise ValueError(f"more than {DOCUMENT_ROWS} rows are no policy document; use the long form")
+    """The rules of a table of ``RULE_SCHEMA``, for the wide form, whose plan names each of them."""
     return [
         Rule(**{**row.asDict(), "is_optional": row["is_optional"] is not False, "hidden": bool(row["hidden"])})
-        for row in rows
+        for row in rules.select(*RULE_SCHEMA.names).collect()
     ]
 
 
@@ -196,6 +213,7 @@ def _masks(pattern: Column) -> Column:
     return F.filter(positions, lambda p: p.isNotNull())
 
 
+# Up to so many rules or patterns become literals of the plan; more are joined, with equal rows.
 COMPILED_RULES = 500
 COMPILED_MASKS = 64
 
@@ -272,80 +290,103 @@ def match_rule_paths(paths: DataFrame, rules: DataFrame) -> DataFrame:
     return _with_rule_path(paths, rules).filter(F.col("rule_path").isNotNull())
 
 
+def _fills(rules: Sequence[Rule]) -> dict[str, str]:
+    """What each path is filled with: its default, else the value of its fixed rule."""
+    given: dict[str, tuple[set, set]] = {}
+    for rule in rules:
+        if "*" not in rule.path.split("."):
+            defaults, fixed = given.setdefault(rule.path, (set(), set()))
+            defaults |= {rule.default_value} - {None}
+            fixed |= {rule.value} - {None} if rule.type == "fixed" else set()
+    fills = {path: defaults or fixed for path, (defaults, fixed) in given.items() if defaults or fixed}
+    for path, values in fills.items():
+        if len(values) > 1:
+            raise ValueError(f"two fills for {path}: {', '.join(sorted(values))}")
+    return {path: values.pop() for path, values in fills.items()}
+
+
 def apply_defaults(entities: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """Wide form: fill nulls with the default, or with the value of a fixed rule."""
-    fills = {r.path: _fill(r) for r in rules if _fill(r) is not None}
+    """Wide form: fill nulls with the default, or with the value of a fixed rule.
+
+    A path with a fill but without a column becomes one, of text.
+    """
+    fills = _fills(rules)
     return entities.select(
         *[
             F.coalesce(F.col(f"`{c}`"), F.lit(fills[c]).cast(entities.schema[c].dataType)).alias(c)
             if c in fills
             else F.col(f"`{c}`")
             for c in entities.columns
-        ]
+        ],
+        *[F.lit(fill).alias(path) for path, fill in sorted(fills.items()) if path not in entities.columns],
     )
 
 
-def _fill(rule: Rule) -> str | None:
-    if rule.default_value is not None:
-        return rule.default_value
-    return rule.value if rule.type == "fixed" else None
+def _expected_paths(rules: DataFrame) -> DataFrame:
+    """Paths every entity is to have: ``path`` and ``fill``, null for a needed path without one."""
+    fixed = F.when(F.col("type") == "fixed", F.col("value"))
+    needed = (F.col("type") == "required") | ~F.coalesce("is_optional", F.lit(True))
+    named = rules.filter(~F.array_contains(F.split("path", r"\."), "*"))
+    per_path = named.groupBy("path").agg(
+        F.min("default_value").alias("default"), F.max("default_value").alias("other_default"),
+        F.min(fixed).alias("fixed"), F.max(fixed).alias("other_fixed"), F.bool_or(needed).alias("needed"),
+    )
+    two = (F.col("default") != F.col("other_default")) | (
+        F.col("default").isNull() & (F.col("fixed") != F.col("other_fixed"))
+    )
+    error = F.raise_error(F.concat(F.lit("two fills for "), "path")).cast("string")
+    fill = F.when(F.coalesce(two, F.lit(False)), error).otherwise(F.coalesce("default", "fixed"))
+    filled = per_path.select("path", fill.alias("fill"), "needed")
+    return filled.filter(F.col("fill").isNotNull() | F.col("needed")).select("path", "fill")
 
 
-def apply_defaults_long(entities: DataFrame, rules: DataFrame) -> DataFrame:
+def apply_defaults_long(entities: DataFrame, rules: DataFrame, entity_ids: DataFrame | None = None) -> DataFrame:
     """Long form: like ``apply_defaults``, also adding the rows of paths an entity lacks.
 
-    Paths of ``required`` rules (``is_optional = false``) without default are added with a null
-    value. Only rules without ``*`` name a path that can be added.
+    Needed paths without a fill are added with a null value. Only rules without ``*`` name a path
+    that can be added. ``entity_ids`` (``entity_id``) names entities that may have no row at all.
     """
-    fill = F.coalesce("default_value", F.when(F.col("type") == "fixed", F.col("value")))
-    expected = rules.filter(
-        ~F.array_contains(F.split("path", r"\."), "*") & (fill.isNotNull() | ~F.coalesce("is_optional", F.lit(True)))
-    ).select("path", fill.alias("fill"))
+    expected = _expected_paths(rules)
+    path = F.col("path")
+    has = entities.select("entity_id", "path")
+    if entity_ids is not None:
+        has = has.unionByName(entity_ids.select("entity_id", F.lit(None).cast("string").alias("path")))
     rows = rows_at_most(expected, COMPILED_RULES)
     if rows is not None:
-        return _fill_compiled(entities, {r["path"]: r["fill"] for r in rows})
-    # Two values, as long as the rule document, computed once.
-    wanted = expected.agg(F.collect_list("path")).scalar()
-    fills = expected.agg(F.map_from_entries(F.collect_list(F.struct("path", "fill")))).scalar()
-    path = F.col("path")
-    is_wanted = F.array_contains(wanted, path)
-    present = entities.groupBy("entity_id").agg(F.collect_set(F.when(is_wanted, path)).alias("has"))
+        if not rows:
+            return entities.select("entity_id", "path", "value")
+        names = [r["path"] for r in rows]
+        wanted, is_wanted = F.array(*map(F.lit, names)), path.isin(names)
+        pairs = [F.lit(x).cast("string") for r in rows for x in r]
+        fills = F.create_map(*pairs)
+    else:
+        # Two values, as long as the rule table, computed once.
+        wanted = expected.agg(F.collect_list("path")).scalar()
+        fills = expected.agg(F.map_from_entries(F.collect_list(F.struct("path", "fill")))).scalar()
+        is_wanted = F.array_contains(wanted, path)
+    # An entity has at most as many wanted paths as there are; they are combined before the shuffle.
+    present = has.groupBy("entity_id").agg(F.collect_set(F.when(is_wanted, path)).alias("has"))
     added = present.select("entity_id", F.explode(F.array_except(wanted, F.col("has"))).alias("path"))
-    filled = F.coalesce(F.col("value"), F.try_element_at(fills, path))
+    filled = F.coalesce(F.col("value"), F.when(is_wanted, F.try_element_at(fills, path)))
     return entities.select("entity_id", "path", filled.alias("value")).unionByName(
         added.select("entity_id", "path", F.try_element_at(fills, path).alias("value"))
     )
 
 
-def _fill_compiled(entities: DataFrame, fills: dict[str, str | None]) -> DataFrame:
-    """The same with the fills as literals and one flag per fill, so that all steps are plain code."""
-    if not fills:
-        return entities.select("entity_id", "path", "value")
-    default = F.lit(None).cast("string")
-    for path, fill in fills.items():
-        if fill is not None:
-            default = F.when(F.col("path") == path, F.lit(fill)).otherwise(default)
-    filled = entities.select("entity_id", "path", F.coalesce("value", default).alias("value"))
-    flags = entities.groupBy("entity_id").agg(
-        *[F.max(F.col("path") == path).alias(f"__has_{n}") for n, path in enumerate(fills)]
-    )
-    lacking = F.array(*[F.when(~F.col(f"__has_{n}"), F.lit(n)) for n in range(len(fills))])
-    added = flags.select("entity_id", F.explode_outer(lacking).alias("n")).filter(F.col("n").isNotNull())
-    paths, values = F.array(*map(F.lit, fills)), F.array(*[F.lit(v).cast("string") for v in fills.values()])
-    return filled.unionByName(
-        added.select("entity_id", F.get(paths, "n").alias("path"), F.get(values, "n").alias("value"))
-    )
+def _length_bounds(rule: Rule) -> str:
+    low = 1 if rule.min_length is None and rule.needed else rule.min_length
+    return f"length {_bounds(low, rule.max_length)}"
 
 
-def _compiled(rule: Rule) -> list[tuple[str, str, Column]]:
-    """The checks of one rule on its column: type, what it expects and whether it is broken."""
-    value = F.col(f"`{rule.path}`").cast("string")
+def _compiled(rule: Rule, path: str) -> list[tuple[str, str, Column]]:
+    """The checks of one rule on a column: type, what it expects and whether it is broken."""
+    value = F.col(f"`{path}`").cast("string")
     checks = []
     if rule.type == "fixed":
         checks.append(("fixed", rule.value, value != F.lit(rule.value)))
     elif rule.type == "range":
         low, high = rule.min_value, rule.max_value
-        checks.append(("range", _bounds(low, high), _outside(F.col(f"`{rule.path}`"), low, high)))
+        checks.append(("range", _bounds(low, high), _outside(F.col(f"`{path}`"), low, high)))
     elif rule.type == "regex":
         checks.append(("regex", rule.pattern, ~value.rlike(_whole(rule.pattern))))
     elif rule.type == "allowlist":
@@ -353,40 +394,98 @@ def _compiled(rule: Rule) -> list[tuple[str, str, Column]]:
         checks.append(("allowlist", ",".join(listed), ~value.isin(listed)))
     elif rule.type == "forbidden":
         checks.append(("forbidden", "absent", value.isNotNull()))
-    elif rule.type not in ("required", "unlimited"):
-        raise ValueError(f"unknown rule type {rule.type!r} for {rule.path}")
-    if rule.type == "required" or not rule.is_optional:
-        checks.append(("required", "length 1..", value.isNull() | (F.length(value) < 1)))
+    length = F.length(value)
+    wrong = F.lit(False)
+    if rule.min_length is not None or rule.needed:
+        wrong = wrong | (length < (1 if rule.min_length is None else rule.min_length))
+    if rule.max_length is not None:
+        wrong = wrong | (length > rule.max_length)
+    if rule.needed:
+        checks.append(("required", _length_bounds(rule), value.isNull() | wrong))
+    elif rule.min_length is not None or rule.max_length is not None:
+        checks.append(("length", _length_bounds(rule), wrong))
     return checks
 
 
+def _by_column(columns: Sequence[str], rules: Sequence[Rule]) -> list[tuple[str, Rule]]:
+    """The rules that hold for each path: of a column, those of its most specific rule path."""
+    unique = {repr(r): r for r in rules}.values()
+    for rule in unique:
+        if rule.type not in TYPES:
+            raise ValueError(f"unknown rule type {rule.type!r} for {rule.path}")
+    by_path: dict[str, list[Rule]] = {}
+    for rule in unique:
+        by_path.setdefault(rule.path, []).append(rule)
+    starred = {p: p.split(".") for p in by_path if "*" in p.split(".")}
+    out = [(path, rule) for path, own in by_path.items() if path not in starred for rule in own]
+    for column in columns:
+        if column in by_path and column not in starred:
+            continue
+        parts = column.split(".")
+        fits = [
+            p for p, s in starred.items()
+            if len(s) == len(parts) and all(a in ("*", b) for a, b in zip(s, parts, strict=True))
+        ]
+        if fits:
+            best = max(fits, key=lambda p: (-starred[p].count("*"), p))
+            out += [(column, rule) for rule in by_path[best]]
+    return out
+
+
 def policy_violations(entities: DataFrame, id_col: str, rules: Sequence[Rule]) -> DataFrame:
     """Wide form: every violation of every rule in one projection over one scan."""
+    held = _by_column([c for c in entities.columns if c != id_col], rules)
     filled = apply_defaults(entities, rules)
-    checks = [(rule.path, *check) for rule in rules for check in _compiled(rule)]
+    absent = sorted({path for path, _ in held} - set(filled.columns))
+    filled = filled.select("*", *[F.lit(None).cast("string").alias(path) for path in absent])
+    checks = [(path, *check) for path, rule in held for check in _compiled(rule, path)]
     # Only the numbers of broken checks are exploded. Not a plain explode: for that Spark adds a
     # filter which runs all checks a second time.
-    broken = F.array(*[F.when(check[3], F.lit(n)) for n, check in enumerate(checks)])
+    broken = F.array(*[F.when(check[3], F.lit(n)) for n, check in enumerate(checks)]).cast("array<int>")
     found = filled.select("*", F.explode_outer(broken).alias("__n")).filter(F.col("__n").isNotNull())
 
     def described(position: int, name: str) -> Column:
-        return F.get(F.array(*[F.lit(check[position]) for check in checks]), "__n").alias(name)
+        return F.get(F.array(*[F.lit(check[position]) for check in checks]).cast("array<string>"), "__n").alias(name)
 
+    actual = F.array(*[F.col(f"`{check[0]}`").cast("string") for check in checks]).cast("array<string>")
     return found.select(
         F.col(f"`{id_col}`").cast("string").alias("entity_id"),
         described(0, "path"),
         described(1, "rule_type"),
         described(2, "expected"),
-        F.get(F.array(*[F.col(f"`{check[0]}`").cast("string") for check in checks]), "__n").alias("actual"),
+        F.get(actual, "__n").alias("actual"),
     )
 
 
-def policy_violations_long(entities: DataFrame, rules: DataFrame) -> DataFrame:
-    """Long form: defaults, path matching and every check, with the rules as a table."""
-    filled = apply_defaults_long(entities, rules)
+def _breaks_pattern(rules: DataFrame, value: Column, pattern: Column) -> Column:
+    """Whether ``value`` doesn't match ``pattern`` as a whole.
+
+    Patterns of a rule table of ordinary size are literals, so that each is compiled once per task.
+    """
+    rows = rows_at_most(rules.filter("type = 'regex'").select("pattern").distinct(), COMPILED_RULES)
+    if rows is None:
+        return ~F.rlike(value, F.concat(F.lit(r"\A(?:"), pattern, F.lit(r")\z")))
+    broken = F.lit(None).cast("boolean")
+    for row in rows:
+        if row["pattern"] is not None:
+            broken = F.when(pattern == row["pattern"], ~value.rlike(_whole(row["pattern"]))).otherwise(broken)
+    return broken
+
+
+def policy_violations_long(entities: DataFrame, rules: DataFrame, entity_ids: DataFrame | None = None) -> DataFrame:
+    """Long form: defaults, path matching and every check, with the rules as a table.
+
+    ``entity_ids`` (``entity_id``) names entities that may have no row at all.
+    """
+    rules = rules.select(*RULE_SCHEMA.names).distinct()
+    filled = apply_defaults_long(entities, rules, entity_ids)
+    unknown = F.raise_error(F.concat(F.lit("unknown rule type "), "type")).cast("string")
+    known = F.when(F.col("type").isin(*TYPES), F.col("type")).otherwise(unknown)
     rule_columns = rules.select(
         F.col("path").alias("rule_path"),
-        F.struct("type", "value", "values", "pattern", "min_value", "max_value", "is_optional").alias("rule"),
+        F.struct(
+            known.alias("type"), "value", "values", "pattern", "min_value", "max_value", "is_optional", "min_length", "max_length"
+        ).alias("rule"),
     )
     checked = match_rule_paths(filled, rules).join(rule_columns, "rule_path")
     value, rule = F.col("value"), F.col("rule")
@@ -397,17 +496,20 @@ def policy_violations_long(entities: DataFrame, rules: DataFrame) -> DataFrame:
         | F.coalesce(number < rule["min_value"], F.lit(False))
         | F.coalesce(number > rule["max_value"], F.lit(False))
     )
-    whole = F.concat(F.lit(r"\A(?:"), rule["pattern"], F.lit(r")\z"))
     content = (
         F.when(kind == "fixed", value != rule["value"])
         .when(kind == "range", value.isNotNull() & outside)
-        .when(kind == "regex", ~F.rlike(value, whole))
-        .when(kind == "allowlist", ~F.array_contains(rule["values"], value))
+        .when(kind == "regex", _breaks_pattern(rules, value, rule["pattern"]))
+        .when(kind == "allowlist", ~F.array_contains(F.coalesce(rule["values"], F.array().cast("array<string>")), value))
         .when(kind == "forbidden", value.isNotNull())
     )
     needed = (kind == "required") | ~F.coalesce(rule["is_optional"], F.lit(True))
-    empty = needed & (value.isNull() | (F.length(value) < 1))
-    types = F.array(F.when(content, kind), F.when(empty, F.lit("required")))
+    low = F.coalesce(rule["min_length"], F.when(needed, 1))
+    wrong = F.coalesce(F.length(value) < low, F.lit(False)) | F.coalesce(F.length(value) > rule["max_length"], F.lit(False))
+    types = F.array(
+        F.when(content, kind),
+        F.when(needed & (value.isNull() | wrong), F.lit("required")).when(~needed & wrong, F.lit("length")),
+    )
     found = checked.select("*", F.explode_outer(types).alias("rule_type")).filter(F.col("rule_type").isNotNull())
 
     def end(bound):
@@ -418,9 +520,9 @@ def policy_violations_long(entities: DataFrame, rules: DataFrame) -> DataFrame:
         F.when(kind == "fixed", rule["value"])
         .when(kind == "range", F.concat(end(rule["min_value"]), F.lit(".."), end(rule["max_value"])))
         .when(kind == "regex", rule["pattern"])
-        .when(kind == "allowlist", F.array_join(rule["values"], ","))
+        .when(kind == "allowlist", F.coalesce(F.array_join(rule["values"], ","), F.lit("")))
         .when(kind == "forbidden", "absent")
-        .when(kind == "required", "length 1..")
+        .otherwise(F.concat(F.lit("length "), end(low), F.lit(".."), end(rule["max_length"])))
     )
     return found.select("entity_id", "path", "rule_type", expected.alias("expected"), value.alias("actual"))
 
@@ -435,7 +537,8 @@ def policy_summary(violations: DataFrame, entities: DataFrame, rules: Sequence[R
         named = _with_rule_path(violations, rules_frame(violations.sparkSession, rules))
         violations = named.drop("path").withColumnRenamed("rule_path", "path")
     kinds = {(r.path, r.type) for r in rules if r.type not in ("required", "unlimited")}
-    kinds |= {(r.path, "required") for r in rules if r.type == "required" or not r.is_optional}
+    kinds |= {(r.path, "required") for r in rules if r.needed}
+    kinds |= {(r.path, "length") for r in rules if not r.needed and (r.min_length, r.max_length) != (None, None)}
     listed = sorted(kinds)
     # First one row per violating entity with a flag per rule, then one row with a count per rule.
     flags = [

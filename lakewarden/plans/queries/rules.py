@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from lakewarden.operators.rules import (
     Rule,
     apply_defaults,
+    apply_defaults_long,
     hide_attributes,
     lease_status,
     match_rule_paths,
@@ -146,11 +147,30 @@ def apply_defaults_query(spark, sf_dir):
     return apply_defaults(_labelled(spark, sf_dir), rules)
 
 
+@query(
+    "apply_defaults_long",
+    """
+    WITH labelled AS (SELECT cast(doc_id AS varchar) AS entity_id, quality, toxic FROM documents LEFT JOIN labels USING (doc_id))
+    SELECT entity_id, 'quality' AS path, coalesce(cast(quality AS varchar), '0') AS value FROM labelled
+    UNION ALL SELECT entity_id, 'toxic', coalesce(cast(toxic AS varchar), '1') FROM labelled
+    UNION ALL SELECT entity_id, 'reviewer', NULL FROM labelled
+    """,
+)
+def apply_defaults_long_query(spark, sf_dir):
+    labels = table(spark, sf_dir, "labels").withColumn("entity_id", F.col("doc_id").cast("string"))
+    values = F.map_from_arrays(F.array(F.lit("quality"), F.lit("toxic")), F.array("quality", "toxic").cast("array<string>"))
+    long = labels.select("entity_id", F.explode(values).alias("path", "value")).filter("value IS NOT NULL")
+    rules = [Rule("quality", "range", max_value=1, default_value="0"), Rule("toxic", "fixed", value="1"), Rule("reviewer", "required")]
+    ids = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("entity_id"))
+    return apply_defaults_long(long, rules_frame(spark, rules), ids)
+
+
 ORDER_RULES = [
     Rule("o_orderstatus", "fixed", value="F"),
     Rule("o_totalprice", "range", min_value=1000, max_value=400000),
     Rule("o_orderpriority", "regex", pattern="[1-3]-.*"),
     Rule("c_mktsegment", "allowlist", values=["BUILDING", "HOUSEHOLD", "MACHINERY"]),
+    Rule("c_mktsegment", "unlimited", max_length=8),
     Rule("hold", "forbidden"),
     Rule("owner", "unlimited", is_optional=False),
 ]
@@ -173,6 +193,8 @@ ORDER_VIOLATIONS = """
         SELECT o_orderkey, 'c_mktsegment', 'allowlist', 'BUILDING,HOUSEHOLD,MACHINERY', c_mktsegment
         FROM entities WHERE c_mktsegment NOT IN ('BUILDING', 'HOUSEHOLD', 'MACHINERY')
         UNION ALL
+        SELECT o_orderkey, 'c_mktsegment', 'length', 'length ..8', c_mktsegment FROM entities WHERE length(c_mktsegment) > 8
+        UNION ALL
         SELECT o_orderkey, 'hold', 'forbidden', 'absent', hold FROM entities WHERE hold IS NOT NULL
         UNION ALL
         SELECT o_orderkey, 'owner', 'required', 'length 1..', owner FROM entities WHERE owner IS NULL OR owner = '')
@@ -207,10 +229,8 @@ def policy_violations_query(spark, sf_dir):
 @query("policy_violations_long", ORDER_VIOLATION_ROWS)
 def policy_violations_long_query(spark, sf_dir):
     wide = _order_entities(spark, sf_dir)
-    values = F.map_from_arrays(
-        F.array(*[F.lit(r.path) for r in ORDER_RULES]),
-        F.array(*[F.col(r.path).cast("string") for r in ORDER_RULES]),
-    )
+    paths = list(dict.fromkeys(r.path for r in ORDER_RULES))
+    values = F.map_from_arrays(F.array(*map(F.lit, paths)), F.array(*[F.col(p).cast("string") for p in paths]))
     long = wide.select(
         F.col("o_orderkey").cast("string").alias("entity_id"), F.explode(values).alias("path", "value")
     ).filter(F.col("value").isNotNull())
@@ -223,7 +243,7 @@ def policy_violations_long_query(spark, sf_dir):
     + """
     , listed(path, rule_type) AS (
         VALUES ('o_orderstatus', 'fixed'), ('o_totalprice', 'range'), ('o_orderpriority', 'regex'),
-               ('c_mktsegment', 'allowlist'), ('hold', 'forbidden'), ('owner', 'required'),
+               ('c_mktsegment', 'allowlist'), ('c_mktsegment', 'length'), ('hold', 'forbidden'), ('owner', 'required'),
                ('region', 'forbidden')),
     counted AS (
         SELECT path, rule_type, count(DISTINCT o_orderkey) AS violating FROM violations GROUP BY path, rule_type

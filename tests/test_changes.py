@@ -88,23 +88,23 @@ def test_replacements(spark):
 
 def test_drift_between_environments(spark):
     values = {
-        "location": ("canadacentral", "northeurope", "northeurope"),
-        "environment": ("dev", "tst", "prd"),
-        "prefix": ("lake1101", "lake01", "lake01"),
-        "vnetAddressPrefix": ("10.1.0.0/16",) * 3,
-        "onlyInTest": (None, "x", None),
+        "harbour": ("lisbon", "oslo", "oslo"),
+        "stage": ("dev", "tst", "prd"),
+        "berths": ("12", "40", "40"),
+        "tide_table": ("spring",) * 3,
+        "only_in_test": (None, "x", None),
     }
     docs = spark.createDataFrame(
         [(e, p, v) for p, vs in values.items() for e, v in zip(("dev", "tst", "prd"), vs, strict=True) if v],
         "env string, path string, value string",
     )
-    result = config_drift(docs, ["dev", "tst", "prd"], "dev", ignore=["environment"])
+    result = config_drift(docs, ["dev", "tst", "prd"], "dev", ignore=["stage"])
     got = {r["path"]: (r["drift"], r["missing"]) for r in result.collect()}
     assert got == {
-        "location": (True, ""),
-        "prefix": (True, ""),
-        "vnetAddressPrefix": (False, ""),
-        "onlyInTest": (True, "dev,prd"),
+        "harbour": (True, ""),
+        "berths": (True, ""),
+        "tide_table": (False, ""),
+        "only_in_test": (True, "dev,prd"),
     }
 
 

@@ -12,61 +12,55 @@ from lakewarden.operators.rules import Rule, policy_summary, policy_violations_l
 from lakewarden.sources import flatten_documents
 
 PARAMETERS = {
-    "dev": {"location": "canadacentral", "environment": "dev", "prefix": "lake1101"},
-    "tst": {"location": "northeurope", "environment": "tst", "prefix": "lake01"},
-    "prd": {"location": "northeurope", "environment": "prd", "prefix": "lake01"},
+    "dev": {"harbour": "lisbon by the sea", "stage": "dev", "berths": "12"},
+    "tst": {"harbour": "oslo", "stage": "tst", "berths": "40"},
+    "prd": {"harbour": "oslo", "stage": "prd", "berths": "40"},
 }
 
 
 def documents(spark):
     rows = []
     for env, values in PARAMETERS.items():
-        values = {**values, "vnetAddressPrefix": "10.1.0.0/16", "dnsServerAdresses": ["10.0.0.4"]}
-        rows.append((env, json.dumps({"parameters": {k: {"value": v} for k, v in values.items()}})))
+        values = {**values, "tide": "spring", "pilots": ["mira"]}
+        rows.append((env, json.dumps({"settings": {k: {"is": v} for k, v in values.items()}})))
     return spark.createDataFrame(rows, "env string, doc string")
 
 
 def test_parameter_documents_to_drift_and_constraints(spark):
     leaves = flatten_documents(documents(spark), "env", "doc")
     drift = config_drift(leaves, ["dev", "tst", "prd"], "dev")
-    got = {r["path"].removeprefix("parameters."): r["drift"] for r in drift.collect()}
-    assert got == {
-        "location.value": True,
-        "environment.value": True,
-        "prefix.value": True,
-        "vnetAddressPrefix.value": False,
-        "dnsServerAdresses.value.0": False,
-    }
+    got = {r["path"].removeprefix("settings."): r["drift"] for r in drift.collect()}
+    assert got == {"harbour.is": True, "stage.is": True, "berths.is": True, "tide.is": False, "pilots.is.0": False}
     rules = [
-        Rule("parameters.environment.value", "allowlist", values=["dev", "prd"]),
-        Rule("parameters.*.value", "regex", pattern=".{2,11}"),
-        Rule("parameters.owner.value", "unlimited", is_optional=False),
+        Rule("settings.stage.is", "allowlist", values=["dev", "prd"]),
+        Rule("settings.*.is", "unlimited", min_length=2, max_length=9),
+        Rule("settings.owner.is", "unlimited", is_optional=False),
     ]
     entities = leaves.withColumnRenamed("env", "entity_id")
     violations = policy_violations_long(entities, rules_frame(spark, rules))
     got = {(r["entity_id"], r["path"].split(".")[1], r["rule_type"]) for r in violations.collect()}
     assert got == {
-        ("tst", "environment", "allowlist"),
+        ("tst", "stage", "allowlist"),
         *[(e, "owner", "required") for e in PARAMETERS],
-        ("dev", "location", "regex"),
+        ("dev", "harbour", "length"),
     }
     summary = policy_summary(violations, documents(spark), rules[:1])
-    assert {(r["path"], r["violating"]) for r in summary.collect()} == {("all", 3), ("parameters.environment.value", 1)}
+    assert {(r["path"], r["violating"]) for r in summary.collect()} == {("all", 3), ("settings.stage.is", 1)}
 
 
 def test_policies_from_templates_to_resolved_values(spark):
     policy = spark.createDataFrame(
-        [("env.SQL_USER", "old"), ("env.HIVE_VERSION", "2.3.7"), ("cluster_type", "job")], "name string, value string"
+        [("env.PUMP_USER", "old"), ("env.PUMP_FIRMWARE", "f-7"), ("mode", "eco")], "name string, value string"
     )
     values = spark.createDataFrame(
-        [("env.SQL_USER", "{{secrets/hive/user}}"), ("env.HIVE_VERSION", "3.1.0")], "name string, value string"
+        [("env.PUMP_USER", "{{secrets/pumps/user}}"), ("env.PUMP_FIRMWARE", "f-9")], "name string, value string"
     )
-    secrets = spark.createDataFrame([("hive", "user", "sa")], "scope string, key string, value string")
+    secrets = spark.createDataFrame([("pumps", "user", "mira")], "scope string, key string, value string")
     resolved = resolve_references(apply_replacements(policy, values), "value", secrets)
     assert {r["name"]: r["resolved"] for r in resolved.collect()} == {
-        "env.SQL_USER": "sa",
-        "env.HIVE_VERSION": "3.1.0",
-        "cluster_type": "job",
+        "env.PUMP_USER": "mira",
+        "env.PUMP_FIRMWARE": "f-9",
+        "mode": "eco",
     }
     runs = spark.sql(
         "SELECT 1 AS run_id, 1 AS ts, 1 AS seq, 0L AS end_time, struct(cast(null AS string) AS result_state) AS state "
