@@ -5,17 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+
 def flatten_documents(df: DataFrame, id_col: str, json_col: str) -> DataFrame:
     """One row (id, path, value) per leaf of each JSON document, however deep.
 
     Object keys and array positions are joined by dots (``init_scripts.0.store.destination``); a dot
     or backslash inside a key is preceded by a backslash. Text that is not JSON and empty containers
     give no row. Every level is one narrow step over the same rows, and nothing is shuffled. How many
-    levels there are is found first, by looking for containers below one level, two, four and so on.
+    levels there are is found in one pass over the text, which gives one number.
     """
-    depth = 1
-    while not _opened(df, id_col, json_col, depth).filter(_nested() & ~F.to_json("node").isin("{}", "[]")).isEmpty():
-        depth *= 2
+    parsed = df.filter(F.try_parse_json(json_col).isNotNull())
+    depth = parsed.agg(F.max(_nesting(F.col(json_col)))).first()[0] or 0
     level = _opened(df, id_col, json_col, depth)
     leaf = F.struct(
         F.coalesce(F.col("path"), F.lit("")).alias("path"),
@@ -27,6 +27,22 @@ def flatten_documents(df: DataFrame, id_col: str, json_col: str) -> DataFrame:
     return leaves.filter(~F.col("empty")).drop("empty")
 
 
+def _nesting(text: Column) -> Column:
+    """How deep the containers of JSON text are nested: brackets open at once, outside strings."""
+    plain = F.replace(F.replace(text, F.lit(r"\\"), F.lit("")), F.lit(r"\""), F.lit(""))
+    brackets = F.regexp_replace(F.regexp_replace(plain, '"[^"]*"', ""), r"[^\[\]{}]", "")
+    steps = F.split(F.translate(brackets, "[{]}", "(())"), "")
+    deepest = F.aggregate(
+        steps,
+        F.struct(F.lit(0).alias("open"), F.lit(0).alias("most")),
+        lambda at, c: F.struct(
+            (at["open"] + F.when(c == "(", 1).when(c == ")", -1).otherwise(0)).alias("open"),
+            F.greatest(at["most"], at["open"] + F.when(c == "(", 1).otherwise(0)).alias("most"),
+        ),
+    )
+    return deepest["most"]
+
+
 def _nested() -> Column:
     kind = F.schema_of_variant("node")
     return kind.like("OBJECT<%") | kind.like("ARRAY<%")

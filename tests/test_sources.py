@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakewarden.sources import (
+    documents,
     flatten_documents,
     object_inventory,
     read_event_stream,
@@ -97,14 +98,33 @@ def test_flattening(spark):
         (1, "n", "1.5"),
         (1, "t", "true"),
         (3, "", "5"),
-        (5, "k.l.*", "s"),
+        (5, "k\\.l.*", "s"),
     }
 
 
-def test_flattening_keeps_what_lies_too_deep(spark):
-    df = spark.createDataFrame(DOCUMENTS[:1], "id int, j string")
-    got = {(r["path"], r["value"]) for r in flatten_documents(df, "id", "j", max_depth=2).collect()}
-    assert ("a.b", '[1,{"c":null}]') in got and not any(p in ("a.e", "a.f") for p, _ in got)
+def test_flattening_of_deep_documents(spark, monkeypatch):
+    """Every leaf of twelve levels, of mixed containers, with brackets and quotes inside strings."""
+    deep = '"[[{\\\\\\"{"'
+    for i in range(12):
+        deep = f'{{"k{i}": {deep}, "e": {{}}}}' if i % 2 else f"[{i}, {deep}, []]"
+    rows = [(1, deep), (2, '{"a": "' + "[" * 50 + '"}'), (3, "[" * 40)]
+    opened = []
+    original = documents._opened
+    monkeypatch.setattr(documents, "_opened", lambda *a: opened.append(a[-1]) or original(*a))
+    got = {tuple(r) for r in flatten_documents(spark.createDataFrame(rows, "id int, j string"), "id", "j").collect()}
+    path = ".".join(f"k{i}" if i % 2 else "1" for i in reversed(range(12)))
+    want = {(1, path, '[[{\\"{'), (2, "a", "[" * 50)}
+    for i in range(0, 12, 2):
+        want.add((1, ".".join([*(f"k{j}" if j % 2 else "1" for j in reversed(range(i + 1, 12))), "0"]), str(i)))
+    assert got == want
+    # Twelve levels and the empty list inside the innermost one; the brackets in strings add none.
+    assert opened == [13]
+
+
+def test_documents_without_containers(spark):
+    df = spark.createDataFrame([(1, "7"), (2, "bad"), (3, None)], "id int, j string")
+    assert [tuple(r) for r in flatten_documents(df, "id", "j").collect()] == [(1, "", "7")]
+    assert flatten_documents(df.limit(0), "id", "j").count() == 0
 
 
 def test_flattening_scans_once_without_shuffle(spark, tmp_path):
