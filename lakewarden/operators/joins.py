@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from itertools import product
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -205,31 +205,81 @@ def first_match(flows: DataFrame, rules: DataFrame, limit: int = RULE_LIMIT) ->
     )
 
 
+# Ports as places: 0 for a missing port, then all 32-bit numbers; blocks of 2 ** level places.
+PORT_LEVELS = 33
+_LOWEST, _TOP = -(2**31), 2**32
+
+
+def _place(port: Column) -> Column:
+    inside = F.greatest(F.lit(_LOWEST), F.least(port.cast("bigint"), F.lit(2**31 - 1)))
+    return F.when(port.isNotNull(), inside - _LOWEST + 1)
+
+
+def _port_intervals(rules: DataFrame, mask: list[str]) -> DataFrame:
+    """Where the ports of each mask are cut, and the first rule from each cut to the next: mask, ``at``, ``best``.
+
+    A rule's ports are covered by at most two blocks of each size, whose numbers are plain arithmetic. A cut lies
+    in one block of each size. So the rules over a cut are found by equality, and each block keeps its first rule only.
+    """
+    free = F.col("port_lo").isNull() & F.col("port_hi").isNull()
+    low = F.when(free, F.lit(0)).otherwise(F.coalesce(_place(F.col("port_lo")), F.lit(1)))
+    high = F.coalesce(_place(F.col("port_hi")), F.lit(_TOP)) + 1  # the first place after
+    ranged = rules.withColumns({"low": low.cast("bigint"), "high": high.cast("bigint")}).filter("low < high")
+    blocks = []
+    for level in range(PORT_LEVELS + 1):
+        size = 2**level
+        first, after = F.expr(f"(low + {size - 1}) DIV {size}"), F.expr(f"high DIV {size}")
+        for number, odd in ((first, first), (after - 1, after)):
+            taken = (first < after) & (odd % 2 == 1)
+            blocks.append(F.when(taken, F.struct(F.lit(level).alias("level"), number.alias("block"))))
+    covered = ranged.select(*mask, "rule", F.explode(F.array(*blocks)).alias("b")).filter(F.col("b").isNotNull())
+    firsts = covered.groupBy(*mask, "b.level", "b.block").agg(F.min("rule").alias("rule"))
+    cuts = ranged.select(*mask, F.explode(F.array(F.lit(0).cast("bigint"), "low", "high")).alias("at")).distinct()
+    inside = F.explode(
+        F.transform(
+            F.sequence(F.lit(0), F.lit(PORT_LEVELS)),
+            lambda level: F.struct(level.alias("level"), F.call_function("shiftright", F.col("at"), level).alias("block")),
+        )
+    )
+    looked_up = cuts.select(*mask, "at", inside.alias("b")).select(*mask, "at", "b.*")
+    return looked_up.join(firsts, [*mask, "level", "block"], "left").groupBy(*mask, "at").agg(F.min("rule").alias("best"))
+
+
 def _first_match_joined(flows: DataFrame, rules: DataFrame) -> DataFrame:
-    """The same for long rule tables: each distinct flow is looked up under its eight masks."""
+    """The same for long rule tables: each distinct flow is looked up under its eight masks.
+
+    What holds for a mask and a port is found once, from the mask's cuts: the last cut before the port. So no flow
+    meets a rule, only the result of its mask and port, and a mask never has more rows than ports and cuts.
+    """
     signature = [*FLOW_FIELDS, "port"]
+    mask = ["__direction", *[f"__{f}" for f in FLOW_FIELDS[1:]]]
     masks = [
         F.struct(*[(F.lit("*") if star else F.col(f)).alias(f"__{f}") for f, star in zip(FLOW_FIELDS[1:], stars)])
         for stars in product([False, True], repeat=3)
     ]
     distinct = flows.select(*signature).distinct()
-    offered = distinct.select(*signature, F.explode(F.array_distinct(F.array(*masks))).alias("m")).select(
-        *signature, "m.*"
-    )
-    named = rules.select(
+    offered = distinct.select(
+        *signature,
         F.col("direction").alias("__direction"),
-        *[F.col(f).alias(f"__rule_{f}") for f in FLOW_FIELDS[1:]],
-        "port_lo",
-        "port_hi",
-        F.struct("priority", "access").alias("__rule"),
+        F.coalesce(_place(F.col("port")), F.lit(0)).alias("__at"),
+        F.explode(F.array_distinct(F.array(*masks))).alias("m"),
+    ).select(*signature, "__direction", "__at", "m.*")
+    named = rules.select(
+        *[F.col(f).alias(f"__{f}") for f in FLOW_FIELDS], "port_lo", "port_hi", F.struct("priority", "access").alias("rule")
     )
-    condition = offered["direction"] == named["__direction"]
-    for f in FLOW_FIELDS[1:]:
-        condition = condition & (offered[f"__{f}"] == named[f"__rule_{f}"])
-    in_range = (F.col("port_lo").isNull() | F.coalesce(F.col("port") >= F.col("port_lo"), F.lit(False))) & (
-        F.col("port_hi").isNull() | F.coalesce(F.col("port") <= F.col("port_hi"), F.lit(False))
+    intervals = _port_intervals(named, mask)
+    asked = offered.select(*mask, "__at").distinct()
+    used = named.select(*mask).distinct()
+    asked = join_groups(asked, used.toDF(*[f"{m}_used" for m in mask]), [(m, f"{m}_used") for m in mask], "left_semi")
+    both = intervals.select(*mask, F.col("at").alias("__at"), F.struct("best").alias("cut")).unionByName(
+        asked, allowMissingColumns=True
     )
-    best = offered.join(named, condition & in_range).groupBy(*signature).agg(F.min("__rule").alias("__best"))
+    # Cuts come before the ports at the same place.
+    upwards = Window.partitionBy(*mask).orderBy("__at", F.col("cut").isNull()).rowsBetween(Window.unboundedPreceding, 0)
+    found = both.withColumn("held", F.last("cut", ignorenulls=True).over(upwards)).filter("cut IS NULL AND held.best IS NOT NULL")
+    answers = found.select(*[F.col(m).alias(f"{m}_key") for m in [*mask, "__at"]], F.col("held.best").alias("__rule"))
+    keys = [(m, f"{m}_key") for m in [*mask, "__at"]]
+    best = join_groups(offered, answers, keys).groupBy(*signature).agg(F.min("__rule").alias("__best"))
     best = best.select(*[F.col(c).alias(f"__key_{c}") for c in signature], "__best")
     joined = join_groups(flows, best, [(c, f"__key_{c}") for c in signature], "left", nulls=True)
     return joined.select(

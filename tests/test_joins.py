@@ -1,3 +1,5 @@
+import random
+
 import pytest
 
 from lakewarden.operators.joins import (
@@ -139,6 +141,32 @@ def test_first_match_forms_agree(spark):
     assert "Exchange" not in short._jdf.queryExecution().toString()
 
 
+def test_many_rules_of_one_mask(spark):
+    """Ten thousand overlapping ranges under one mask: as many joined rows as flows and masks, not rules."""
+    rng = random.Random(3)
+    ranges = [sorted(rng.choices(range(65_536), k=2)) for _ in range(9_990)]
+    rules = [("In", 20_000 - i, "tcp", lo, hi, "a", "*", f"r{i}") for i, (lo, hi) in enumerate(ranges)]
+    rules += [("In", 50 + i, "*", lo, hi, "a", "b", f"s{i}") for i, (lo, hi) in enumerate([(5, 4), (100, 200), (None, 20), (65_000, None)])]
+    rules += [("In", 90_000, "*", None, None, "*", "*", "any"), ("Out", 1, "tcp", -5, 0, "a", "b", "low")]
+    flows = [("In", rng.choice(["tcp", "udp", None]), rng.choice([None, -3, 0, *range(0, 66_000, 37)]), "a", "b") for _ in range(400)]
+    flows += [("Out", "tcp", p, "a", "b") for p in (-6, -5, 0, 1, None)] + [(None, "tcp", 5, "a", "b")]
+    frame = spark.createDataFrame(list(enumerate(flows)), "id int, f struct<direction: string, protocol: string, port: int, source: string, destination: string>")
+    frame = frame.select("id", "f.*")
+    result = first_match(frame, spark.createDataFrame(rules, RULE_COLUMNS))
+    want = {}
+    for i, (direction, protocol, port, source, destination) in enumerate(flows):
+        fits = [
+            (r[1], r[7]) for r in rules
+            if r[0] == direction and r[2] in ("*", protocol) and r[5] in ("*", source) and r[6] in ("*", destination)
+            and (r[3] is None or (port is not None and port >= r[3])) and (r[4] is None or (port is not None and port <= r[4]))
+        ]
+        want[i] = min(fits, default=(None, "NoMatch"))
+    assert {r["id"]: (r["matched_priority"], r["access"]) for r in result.collect()} == want
+    # No rule column meets the flows: joins are equalities, without conditions on ports.
+    plan = result._jdf.queryExecution().optimizedPlan().toString()
+    assert "port_lo" not in " ".join(line for line in plan.split("\n") if "Join" in line)
+
+
 def test_collation(spark):
     a = spark.createDataFrame([("ABC",), ("é",)], "x string")
     b = spark.createDataFrame([("abc",), ("e",), ("É",)], "y string")

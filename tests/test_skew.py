@@ -120,7 +120,8 @@ def test_flows(spark):
         F.lit("tcp").alias("protocol"),
         F.col("k").cast("int").alias("port"),
         F.lit("batch").alias("source"),
-        F.lit("store").alias("destination"),
+        F.lit("queue").alias("destination"),
     )
     rules = local_table(spark, FLOW_RULES, RULE_COLUMNS)
-    split_rows(spark, lambda: first_match(flows, rules), lambda: first_match(flows, rules, limit=1))
+    got = split_rows(spark, lambda: first_match(flows, rules), lambda: first_match(flows, rules, limit=1))
+    assert got is not None and first_match(flows, rules).filter("access = 'Allow'").count() == 40_000
