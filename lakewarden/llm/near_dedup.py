@@ -2,14 +2,19 @@
 
 A document's set of word shingles is hashed once. The hashes fall into bins by their first bits; the least of each bin
 is the bin's value, and an empty bin takes that of another, found by a fixed sequence of bins of its own (optimal
-densification). Bands of bins are bucket keys. Documents with equal sets are one from the start. In each bucket one
-member, the hub, is compared with the members that it isn't yet connected to: a star, not all pairs. Links are confirmed
-on the full sets. Buckets whose members are not all connected go on with other hubs, four times as many each
-round, until every two members are connected or were compared. So no link that shares a bucket is lost, and with 32
-bands of 4 bins two documents of similarity 0.85 share none with a probability below 1e-10 (0.8: below 1e-7).
-
-A text without words has the empty set and no links. A null id takes part in no link; its row keeps a null component.
-Rows with the same id count as one document: their links are joined.
+densification). Bands of four bins are bucket keys. Documents with equal sets are one from the start. Each bucket gives
+one star: its hub is compared with the members that links don't connect to it yet, so a round makes at most one pair per
+member and bucket, and no pair is compared twice. Links are confirmed on the full sets. Three rounds go through the 32
+bands; documents that are alike only somewhat may share buckets with very many others there, so three more rounds
+lengthen the keys to 8, 12 and 16 bins, which parts them, and give the smaller buckets hubs that were none before.
+
+Two documents of similarity 0.85 share none of the 32 buckets with a probability below 1e-10 (0.8: below 1e-7). A link can
+be missed only if in every bucket that its documents share, of all rounds, some third one is the hub and isn't linked to
+both, directly or through others. The README has the recall measured against all pairs.
+
+A text without words, null or empty, has the empty set and no links; very long texts are hashed whole. A null id takes
+part in no link; its row keeps a null component. Rows with the same id count as one document: their links are joined.
+An empty table gives no rows. Columns of the input other than the id and the text play no part, whatever their names.
 """
 
 from __future__ import annotations
@@ -18,10 +23,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakewarden.llm.base import HASHES, map_batches, mixed, settled, slices, window_hashes
+from lakewarden.llm.base import HASHES, Workspace, map_batches, mixed, settled, slices, window_hashes
 from lakewarden.llm.components import components
 
 BINS, ROWS = 128, 4
@@ -32,6 +37,17 @@ _draw = np.random.default_rng(2017)
 PROBES = np.concatenate([_draw.integers(0, BINS, (BINS, 256)), np.stack([_draw.permutation(BINS) for _ in range(BINS)])], axis=1)
 BAND_SEEDS = mixed(np.arange(1, BANDS + 1, dtype=np.uint64))
 
+#: The bands that make the buckets of each round, and which others lengthen their keys. Three rounds go through the bands;
+#: more go on with longer keys, which part documents that are only somewhat alike.
+ROUNDS = (
+    (range(0, 4), (0,)),
+    (range(4, 12), (0,)),
+    (range(12, BANDS), (0,)),
+    (range(0, BANDS), (0, 1)),
+    (range(0, BANDS), (0, 3, 10)),
+    (range(0, BANDS), (0, 5, 11, 18)),
+)
+
 SIGNATURE = "doc_id bigint, n_shingles bigint, f1 bigint, bands array<bigint>"
 
 
@@ -123,46 +139,61 @@ def labels(links: DataFrame) -> DataFrame:
     return near.join(far, "a").select(F.col("a").alias("doc"), F.least("m", "far").alias("root"), "degree")
 
 
-def star_links(classes: DataFrame, sets: DataFrame, members: DataFrame, percent: int) -> DataFrame:
-    """Confirmed links (a, b) that connect all members of shared buckets which links connect at all.
+def bucket_keys(bands: range, steps: tuple[int, ...]) -> Column:
+    """Bucket keys of a round: each of some bands together with those ``steps`` further on, so the more steps, the longer."""
+    if steps == (0,):
+        return F.array(*[F.col("bands")[b] for b in bands])
+    return F.array(*[F.xxhash64(*[F.col("bands")[(b + s) % BANDS] for s in steps]) for b in bands])
+
+
+def still_apart(work: Workspace, nodes: DataFrame, links: DataFrame) -> DataFrame:
+    """The nodes that share a bucket with one that links don't connect them to."""
+    rooted = nodes.join(labels(links), "doc", "left").select("doc", F.explode("bands").alias("key"), F.coalesce("root", "doc").alias("root"))
+    apart = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high")
+    docs = rooted.join(work.settled(apart.select("key")), "key").select("doc").distinct()
+    return work.settled(nodes.join(docs, "doc", "left_semi"))
+
 
-    Members with the same label are connected already and are not compared again; a label may miss that two members
-    are connected, which costs a comparison and no link.
+def star_links(work: Workspace, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Confirmed links (a, b), a < b, from one star per bucket and round.
+
+    ``nodes`` has doc, rep, size, weight and bands. Members of a bucket that links connect already are not compared, nor
+    are two documents compared twice. The hub of a bucket is the member whose buckets hold most documents; later on it
+    is one that was no hub yet and has few links.
     """
-    sizes = classes.select("doc", F.col("n_shingles").alias("size"))
-    links = members.sparkSession.createDataFrame([], "a bigint, b bigint")
-    hubs = 1
-    while not members.isEmpty():
-        if hubs == 1:
-            # All are apart still. The least id is often the original, and the same in every band.
-            rooted = members.withColumn("root", F.col("doc"))
-            hub = members.groupBy("key").agg(F.min_by("doc", F.struct("rep", "doc")).alias("a")).withColumn("root_a", F.col("a"))
-        else:
-            marked = members.join(labels(links), "doc", "left").withColumns(
-                {"root": F.coalesce("root", "doc"), "degree": F.coalesce("degree", F.lit(0))}
-            )
-            marked = settled(marked)
-            apart = marked.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high")
-            rooted = settled(marked.join(apart.select("key"), "key"))
-            # Spark keeps the first ``hubs`` per key of each task before the shuffle.
-            order = Window.partitionBy("key").orderBy(F.desc("degree"), "rep", "doc")
-            first = rooted.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= hubs)
-            hub = first.select("key", F.col("doc").alias("a"), F.col("root").alias("root_a"))
+    links = work.settled(work.spark.createDataFrame([], "a bigint, b bigint"))
+    seen = hubs_so_far = None
+    for number, (bands, steps) in enumerate(ROUNDS):
+        if len(steps) > 1 and len(ROUNDS[number - 1][1]) == 1:
+            nodes = still_apart(work, nodes, links)
+        state = nodes.select("doc", "rep", "size", "weight", bucket_keys(bands, steps).alias("keys"))
+        root, rank = F.col("doc"), [F.col("weight"), -F.col("rep"), F.col("doc")]
+        if number:
+            state = work.settled(state.join(labels(links), "doc", "left").join(hubs_so_far, "doc", "left"))
+            root = F.coalesce("root", "doc")
+            rank = [F.coalesce(-F.col("used"), F.lit(0)), -F.coalesce("degree", F.lit(0)), *rank]
+        entries = state.select(F.explode("keys").alias("key"), "doc", "size", root.alias("root"), F.struct(*rank).alias("rank"))
+        chosen = entries.groupBy("key").agg(
+            F.max(F.struct("rank", "doc", "size", "root")).alias("hub"), F.min("root").alias("low"), F.max("root").alias("high")
+        )
+        # Written, so that the join below gets both sides from plain shuffles and Spark can split a large bucket.
+        hubs = work.settled(chosen.filter("low < high").select("key", F.col("hub.doc").alias("hub"), F.col("hub.size").alias("hub_size"), F.col("hub.root").alias("hub_root")))
         pairs = (
-            rooted.select("key", F.col("doc").alias("b"), F.col("root").alias("root_b"))
-            .join(hub, "key")
-            .filter("root_a <> root_b")
-            .select("a", "b")
+            entries.join(hubs, "key")
+            .filter("root <> hub_root")
+            .filter(f"100 * least(size, hub_size) >= {percent} * greatest(size, hub_size)")
+            .select(F.least("doc", "hub").alias("a"), F.greatest("doc", "hub").alias("b"))
             .distinct()
-            .join(sizes.toDF("a", "size_a"), "a")
-            .join(sizes.toDF("b", "size_b"), "b")
-            .filter(f"100 * least(size_a, size_b) >= {percent} * greatest(size_a, size_b)")
-            .select("a", "b")
         )
-        links = settled(links.unionByName(confirmed(pairs, sets, percent)))
-        used = hub.select("key", F.col("a").alias("doc"))
-        members = settled(rooted.select("key", "doc", "rep").join(used, ["key", "doc"], "left_anti"))
-        hubs *= 4
+        if seen is not None:
+            pairs = pairs.join(seen, ["a", "b"], "left_anti")
+        pairs = work.settled(pairs)
+        before = links
+        links = work.settled(links.unionByName(confirmed(pairs, sets, percent)))
+        seen = pairs if seen is None else work.settled(seen.unionByName(pairs))
+        used = hubs.select(F.col("hub").alias("doc"), F.lit(1).alias("used"))
+        hubs_so_far = work.settled((used if hubs_so_far is None else hubs_so_far.unionByName(used)).distinct())
+        work.drop(before, hubs, state, *([pairs] if number else []))
     return links
 
 
@@ -172,26 +203,28 @@ def link_documents(docs: DataFrame, shingle: int = 5, percent: int = 80, doc_id:
     Two documents are linked if their sets of ``shingle``-word shingles, words lower-cased, have
     100 * |intersection| >= percent * |union|.
     """
-    signed = settled(signatures(docs, shingle, doc_id, text))
-    able = signed.filter("doc_id is not null and n_shingles > 0")
-    classes = settled(
-        able.groupBy(F.col("f1").alias("doc"), "n_shingles").agg(F.min("doc_id").alias("rep"), F.any_value("bands").alias("bands"))
-    )
-    entries = classes.select(F.explode("bands").alias("key"), "doc", "rep")
-    shared = entries.groupBy("key").agg(F.count(F.lit(1)).alias("members")).filter("members > 1").select("key")
-    members = settled(entries.join(shared, "key"))
-    sets = settled(full_sets(docs, members.select(F.col("rep").alias("doc_id")).distinct(), shingle, doc_id, text))
-    links = star_links(classes, sets, members, percent)
-    reps = classes.select("doc", "rep")
-    between = links.join(reps.toDF("a", "u"), "a").join(reps.toDF("b", "v"), "b").select("u", "v")
-    within = able.join(reps, F.col("f1") == F.col("doc")).filter("doc_id <> rep").select("doc_id", "rep")
-    found = components(between.unionByName(within.toDF("u", "v")))
-    component = F.coalesce("root", "doc_id")
-    return (
-        signed.select("doc_id", "n_shingles")
-        .join(found.toDF("doc_id", "root"), "doc_id", "left")
-        .select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
-    )
+    with Workspace(docs.sparkSession) as work:
+        signed = work.settled(signatures(docs, shingle, doc_id, text))
+        able = signed.filter("doc_id is not null and n_shingles > 0")
+        classes = work.settled(
+            able.groupBy(F.col("f1").alias("doc"), "n_shingles").agg(F.min("doc_id").alias("rep"), F.any_value("bands").alias("bands"))
+        )
+        entries = classes.select(F.explode("bands").alias("key"), "doc")
+        shared = entries.groupBy("key").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
+        weights = entries.join(work.settled(shared), "key").groupBy("doc").agg(F.sum("members").alias("weight"))
+        nodes = work.settled(classes.withColumnRenamed("n_shingles", "size").join(weights, "doc"))
+        sets = work.settled(full_sets(docs, nodes.select(F.col("rep").alias("doc_id")), shingle, doc_id, text))
+        links = star_links(work, nodes, sets, percent)
+        reps = classes.select("doc", "rep")
+        between = links.join(reps.toDF("a", "u"), "a").join(reps.toDF("b", "v"), "b").select("u", "v")
+        within = able.join(reps, F.col("f1") == F.col("doc")).filter("doc_id <> rep").select("doc_id", "rep")
+        found = components(between.unionByName(within.toDF("u", "v")), work)
+        component = F.coalesce("root", "doc_id")
+        return settled(
+            signed.select("doc_id", "n_shingles")
+            .join(found.toDF("doc_id", "root"), "doc_id", "left")
+            .select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+        )
 
 
 def drop_near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -68,6 +68,29 @@ def test_hub_of_a_chain_of_near_copies(spark):
     assert {r.doc_id: r.component_id for r in got} == low
 
 
+@pytest.mark.parametrize("share", [0.75, 0.88])
+def test_stars_bound_pairs_and_keep_links(spark, monkeypatch, share):
+    """Of 400 documents made from one text, unlike each other, few pairs are compared; copies among them are still found."""
+    rng = np.random.default_rng(0)
+    base = rng.integers(0, 1 << 60, 300)
+    texts = []
+    for _ in range(400):
+        words = np.where(rng.random(300) < share, base, rng.integers(0, 1 << 60, 300))
+        texts.append(words)
+    for i in range(60):
+        texts.append(np.where(rng.random(300) < 0.95, texts[i], rng.integers(0, 1 << 60, 300)))
+    docs = spark.createDataFrame([(i, " ".join(map(str, words))) for i, words in enumerate(texts)], "doc_id long, text string")
+    compared = []
+    confirm = near_dedup.confirmed
+    monkeypatch.setattr(near_dedup, "confirmed", lambda pairs, *rest: compared.append(pairs.count()) or confirm(pairs, *rest))
+    got = {r.doc_id: r.component_id for r in near_dedup.link_documents(docs, 1, 80).collect()}
+    assert sum(compared) <= 32 * len(texts)
+    sets = [set(words.tolist()) for words in texts]
+    near = [(a, b) for a in range(460) for b in range(a) if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    assert len(near) > 50
+    assert np.mean([got[a] == got[b] for a, b in near]) >= 0.95
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(60)] + [(100, 101), (101, 100), (7, 7), (200, 150), (None, 3)]
     found = {r.node: r.root for r in components(spark.createDataFrame(chain, "a long, b long").repartition(5)).collect()}
