@@ -10,9 +10,11 @@ from lakewarden.plans.registry import events_path, query, scratch, table
 from lakewarden.sources import read_event_stream
 from lakewarden.streaming import (
     ROCKSDB,
+    capture_files,
     capture_stream,
     capture_windows,
     fan_out,
+    read_captured,
     read_latest,
     run_available,
     split_capture_stream,
@@ -78,6 +80,64 @@ def capture_windows_query(spark, sf_dir):
     return capture_windows(events, "partition", "ts", "event_id", _size(), max_bytes=MAX_BYTES)
 
 
+# Odd times, so that batches end inside windows.
+BATCH_ENDS = ["2024-01-06 03:07:11", "2024-01-06 03:09:00", "2024-01-17 22:52:30"]
+
+
+def _arriving(spark, events, root, run):
+    """Feed the events to a stream in batches, by time, one after the other."""
+    ends = [F.lit(e).cast("timestamp_ntz") for e in BATCH_ENDS]
+    number = sum((F.col("ts") >= e).cast("int") for e in ends)
+    for batch in range(len(ends) + 1):
+        events.filter(number == batch).coalesce(1).write.mode("append").parquet(f"{root}/in")
+        run(read_event_stream(spark, f"{root}/in", events.schema, fmt="parquet"))
+
+
+# Five days and a few kilobytes: few files, as every file of a window is one of the file system.
+FILE_SECONDS, FILE_BYTES = 432_000, 4_096
+
+
+@query(
+    "capture_files",
+    """
+    WITH marked AS (
+        SELECT cast(user_id % 4 AS varchar) AS partition_key,
+               make_timestamp(epoch_us(ts) // 432000000000 * 432000000000) AS window_start, ts, event_id,
+               length(props) + 8 AS bytes
+        FROM events),
+    running AS (
+        SELECT *, sum(bytes) OVER (PARTITION BY partition_key, window_start ORDER BY ts, event_id
+                                   ROWS UNBOUNDED PRECEDING) - bytes AS bytes_before
+        FROM marked)
+    SELECT partition_key, window_start, cast(bytes_before // 4096 AS bigint) AS file_no, count(*) AS events,
+           cast(sum(bytes) AS bigint) AS bytes, sum(bytes) < 4096 + max(bytes) AS bounded
+    FROM running GROUP BY 1, 2, 3
+    """,
+)
+def capture_files_query(spark, sf_dir):
+    root = scratch(spark)
+    events = table(spark, sf_dir, "events")
+
+    def run(stream):
+        writer = capture_files(
+            _partitioned(stream), f"{root}/out", f"{root}/progress", "partition", "ts", "event_id", _size(),
+            interval_seconds=FILE_SECONDS, max_bytes=FILE_BYTES, trigger=None,
+        )
+        writer.start().awaitTermination()
+
+    _arriving(spark, events, root, run)
+    schema = _partitioned(events.withColumn("ts", F.col("ts").cast("timestamp"))).schema
+    return (
+        read_captured(spark, f"{root}/out", schema)
+        .groupBy("partition_key", F.col("window_start").cast("timestamp_ntz").alias("window_start"), "file_no")
+        .agg(
+            F.count(F.lit(1)).alias("events"),
+            F.sum("bytes").alias("bytes"),
+            (F.sum("bytes") < FILE_BYTES + F.max("bytes")).alias("bounded"),
+        )
+    )
+
+
 @query(
     "split_capture_stream",
     """

@@ -3,8 +3,10 @@
 from lakewarden.streaming.capture import (
     ROCKSDB,
     assign_capture_files,
+    capture_files,
     capture_stream,
     capture_windows,
+    read_captured,
     split_capture_stream,
 )
 from lakewarden.streaming.live import (
@@ -20,9 +22,11 @@ from lakewarden.streaming.live import (
 __all__ = [
     "ROCKSDB",
     "assign_capture_files",
+    "capture_files",
     "capture_stream",
     "capture_windows",
     "fan_out",
+    "read_captured",
     "read_latest",
     "run_available",
     "split_capture_stream",

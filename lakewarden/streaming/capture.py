@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -16,6 +16,8 @@ from lakewarden.plans.ordered import ordered_columns
 # Fixed values.
 CAPTURE_SECONDS = 900
 CAPTURE_BYTES = 10_485_760
+#: Stand for what a folder name can't say: an event without a time, and one without a partition.
+NO_WINDOW, NO_PARTITION = -(2**62), "__no_partition__"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -165,6 +167,132 @@ def split_capture_stream(
     return split.drop("window_ms").withColumn("window_start", start)
 
 
+def _carried(spark: SparkSession, folder: str, batch_id: int) -> DataFrame | None:
+    """What the batch before this one left: bytes so far of each carried window, and the newest window seen."""
+    if batch_id == 0:
+        return None
+    return spark.read.parquet(f"{folder}/batch_id={batch_id - 1}")
+
+
+def capture_files(
+    stream: DataFrame,
+    path: str,
+    checkpoint: str,
+    partition: str,
+    ts: str,
+    seq: str,
+    size: Column,
+    *,
+    interval_seconds: int = CAPTURE_SECONDS,
+    max_bytes: int = CAPTURE_BYTES,
+    carry_seconds: int = 3 * 86_400,
+    trigger: str | None = f"{CAPTURE_SECONDS} seconds",
+) -> DataStreamWriter:
+    """A writer that cuts each partition's events into files by time and by size, across batches.
+
+    Windows are ``interval_seconds`` long and aligned to the epoch. Within a window of a partition the events, in
+    order of arrival (within a batch by ``ts, seq``), go to file ``floor(bytes before them / max_bytes)``, so a file
+    exceeds ``max_bytes`` by less than its last event. The bytes so far are carried from batch to batch beside the
+    checkpoint, for the windows that began at most ``carry_seconds`` before the newest one. An event of an older
+    window opens files of its own, numbered from ``(batch id + 1) * 2**32``, as the old files' fill is not known.
+
+    ``path`` gets folders ``batch_id=/partition=/window_start=/file_no=``; a file that goes on in the next batch has a
+    part in each. A batch that runs again replaces its own folders only, so every event is there once. All steps are
+    Spark's own; ``read_captured`` reads the events back. Null partitions and sizes are allowed (a null size is 0); an
+    event without a time is in a window of its own, ``null``, which is carried for ever.
+    """
+    state = f"{checkpoint}/carried"
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        start = F.window(ts, f"{interval_seconds} seconds")["start"]
+        # ``window`` drops rows without a time.
+        timed = batch.filter(F.col(ts).isNotNull()).withColumn("__window", start)
+        timed = timed.unionByName(batch.filter(F.col(ts).isNull()).withColumn("__window", F.lit(None).cast("timestamp")))
+        marked = timed.withColumns({
+            "__bytes": F.coalesce(size.cast("bigint"), F.lit(0)),
+            "__epoch": F.coalesce(F.unix_seconds("__window"), F.lit(NO_WINDOW)),
+            "__partition": F.coalesce(F.col(partition).cast("string"), F.lit(NO_PARTITION)),
+            "__time": F.coalesce(ts, F.lit("1970-01-01").cast("timestamp")),
+        })
+        running = ordered_columns(marked, ["__partition", "__epoch"], ["__time", seq], sum_before={"__before": "__bytes"})
+        carried = _carried(spark, state, batch_id)
+        base, old = F.lit(0).cast("bigint"), F.lit(False)
+        if carried is not None:
+            newest = carried.agg(F.max("newest")).scalar()
+            known = carried.filter("epoch IS NOT NULL").select("partition_key", "epoch", F.col("bytes").alias("__carried"))
+            # One row per carried window; Spark decides how to join.
+            running = running.join(
+                known, (F.col("__partition") == F.col("partition_key")) & (F.col("__epoch") == F.col("epoch")), "left"
+            )
+            base = F.coalesce("__carried", F.lit(0))
+            old = (F.col("__epoch") != NO_WINDOW) & (F.col("__epoch") < newest - carry_seconds)
+        total = base + F.col("__before")
+        number = F.when(old, F.lit((batch_id + 1) << 32)).otherwise(F.lit(0)) + F.expr("__total DIV __most")
+        files = running.withColumns({"__total": total, "__most": F.lit(int(max_bytes))}).select(
+            *batch.columns,
+            F.col("__bytes").alias("bytes"),
+            F.col("__partition").alias("partition_key"),
+            F.col("__epoch").alias("window_epoch"),
+            number.alias("file_no"),
+        )
+        keys = ["partition_key", "window_epoch", "file_no"]
+        # Each file's events go to one task, at most ``max_bytes`` and an event.
+        target = f"{path}/batch_id={batch_id}"
+        files.repartition(*keys).write.partitionBy(*keys).mode("overwrite").parquet(target)
+        # The new carry comes from what was written: the batch is computed once.
+        schema = T.StructType([*[f for f in files.schema if f.name not in keys], *[files.schema[k] for k in keys]])
+        written = spark.read.schema(schema).parquet(target) if not _is_empty(spark, target) else spark.createDataFrame([], schema)
+        touched = written.groupBy("partition_key", F.col("window_epoch").alias("epoch")).agg(F.sum("bytes").alias("bytes"))
+        if carried is not None:
+            touched = touched.unionByName(carried.filter("epoch IS NOT NULL").select("partition_key", "epoch", "bytes"))
+        summed = touched.groupBy("partition_key", "epoch").agg(F.sum("bytes").alias("bytes"))
+        timed_only = F.when(F.col("epoch") != NO_WINDOW, F.col("epoch"))
+        top = [summed.agg(F.max(timed_only)).scalar()] + ([carried.agg(F.max("newest")).scalar()] if carried is not None else [])
+        latest = top[0] if len(top) == 1 else F.greatest(*top)
+        kept = summed.filter((F.col("epoch") == NO_WINDOW) | (F.col("epoch") >= latest - carry_seconds)).withColumn("newest", latest)
+        # One row without a window keeps the newest time even when no window is carried.
+        marker = spark.range(1).select(
+            F.lit(None).cast("string").alias("partition_key"), F.lit(None).cast("bigint").alias("epoch"), F.lit(None).cast("bigint").alias("bytes"), latest.alias("newest")
+        )
+        kept.unionByName(marker).coalesce(1).write.mode("overwrite").parquet(f"{state}/batch_id={batch_id}")
+        if batch_id >= 2:
+            _remove(spark, f"{state}/batch_id={batch_id - 2}")
+
+    writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return writer.trigger(availableNow=True) if trigger is None else writer.trigger(processingTime=trigger)
+
+
+def read_captured(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The events ``capture_files`` wrote, of ``schema``, with bytes, partition_key, window_start and file_no."""
+    keys = [("batch_id", T.LongType()), ("partition_key", T.StringType()), ("window_epoch", T.LongType()), ("file_no", T.LongType())]
+    full = T.StructType([*schema, T.StructField("bytes", T.LongType()), *[T.StructField(n, t) for n, t in keys]])
+    stored = spark.read.schema(full).parquet(path)
+    return stored.select(
+        *schema.names,
+        "bytes",
+        F.when(F.col("partition_key") != NO_PARTITION, F.col("partition_key")).alias("partition_key"),
+        F.when(F.col("window_epoch") != NO_WINDOW, F.timestamp_seconds("window_epoch")).alias("window_start"),
+        "file_no",
+    )
+
+
+def _place(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    store, target = _place(spark, path)
+    store.delete(target, True)
+
+
+def _is_empty(spark: SparkSession, path: str) -> bool:
+    """Whether a written folder holds no data folders (a batch without events)."""
+    store, target = _place(spark, path)
+    return not any(s.isDirectory() for s in store.listStatus(target))
+
+
 def capture_stream(
     stream: DataFrame,
     path: str,

@@ -8,9 +8,12 @@ from lakewarden.sources import read_event_stream
 from lakewarden.streaming import (
     ROCKSDB,
     assign_capture_files,
+    capture,
+    capture_files,
     capture_stream,
     capture_windows,
     fan_out,
+    read_captured,
     read_latest,
     run_available,
     split_capture_stream,
@@ -104,6 +107,64 @@ def test_capture_is_exactly_once_and_skips_empty_batches(spark, feed, tmp_path):
     assert sorted(r["event_id"] for r in spark.read.parquet(f"{feed.root}/out").collect()) == [1, 2, 3]
 
 
+def captured(spark, feed, batches, **options):
+    """File numbers by event after feeding the batches one by one."""
+    for batch in batches:
+        feed.add(batch)
+        stream = feed.stream()
+        options = {"max_bytes": 25, **options}
+        capture_files(stream, f"{feed.root}/files", f"{feed.root}/at", "key", "ts", "event_id", F.col("size"), trigger=None, **options).start().awaitTermination()
+    return read_captured(spark, f"{feed.root}/files", stream.schema)
+
+
+def test_files_go_on_in_the_next_batch(spark, feed, tmp_path, monkeypatch):
+    plans = []
+    ordered = capture.ordered_columns
+    monkeypatch.setattr(capture, "ordered_columns", lambda df, *a, **k: plans.append(df) or ordered(df, *a, **k))
+    events = [event(i, 53 * i, key=i % 2, size=4 + i % 9) for i in range(60)]
+    events += [(99, None, 1, 30, 1.0), (98, START, None, 24, 1.0), (97, START, None, None, 1.0), (96, None, 1, 30, 1.0)]
+    cuts = [events[:7], events[7:8], events[8:45], [], events[45:]]
+    got = {r["event_id"]: r for r in captured(spark, feed, [c for c in cuts if c]).collect()}
+    before, want = {}, {}
+    for i, at, key, size, _ in sorted(events[:60], key=lambda e: e[0]):
+        window = (key, int((at - START).total_seconds()) // 900)
+        want[i] = before.get(window, 0) // 25
+        before[window] = before.get(window, 0) + size
+    assert {i: got[i]["file_no"] for i in want} == want
+    # An event without a time, partition or size is kept, too.
+    assert (got[96]["file_no"], got[99]["file_no"], got[99]["window_start"]) == (0, 1, None)
+    assert (got[97]["file_no"], got[98]["file_no"], got[97]["partition_key"], got[97]["bytes"]) == (0, 0, None, 0)
+    assert len(got) == 64
+    # Each part of a file is one file of the file system, and exceeds the bound by less than an event.
+    for folder in tmp_path.glob("files/batch_id=*/*/*/*"):
+        assert len(list(folder.glob("*.parquet"))) == 1
+    sizes = {}
+    for r in got.values():
+        sizes.setdefault((r["partition_key"], r["window_start"], r["file_no"]), []).append(r["bytes"])
+    assert all(sum(s) < 25 + max(s) for s in sizes.values() if sum(s))
+    physical = plans[-1]._jdf.queryExecution().optimizedPlan().toString()
+    assert not any(word in physical for word in ("Python", "Pandas", "Arrow"))
+
+
+def test_files_of_windows_no_longer_carried(spark, feed):
+    """An event that comes when its window's fill is forgotten opens a file of its own."""
+    batches = [[event(1, 0, size=20)], [event(2, 10 * 900, size=1)], [event(3, 1, size=20), event(4, 2, size=20)], [event(5, 3, size=20), event(6, 10 * 900 + 1, size=30), event(7, 10 * 900 + 2)]]
+    got = {r["event_id"]: r["file_no"] for r in captured(spark, feed, batches, carry_seconds=1800).collect()}
+    assert got == {1: 0, 2: 0, 3: 3 << 32, 4: 3 << 32, 5: 4 << 32, 6: 0, 7: 1}
+
+
+def test_a_batch_that_runs_again_replaces_itself(spark, feed, tmp_path):
+    events = [event(i, i, size=10) for i in range(9)]
+    first = captured(spark, feed, [events[:5], events[5:]]).collect()
+    # As if the last batch had failed after writing: its commit goes, and it runs again.
+    (tmp_path / "at" / "commits" / "1").unlink()
+    (tmp_path / "at" / "commits" / ".1.crc").unlink(missing_ok=True)
+    capture_files(feed.stream(), f"{feed.root}/files", f"{feed.root}/at", "key", "ts", "event_id", F.col("size"), trigger=None, max_bytes=25).start().awaitTermination()
+    again = read_captured(spark, f"{feed.root}/files", feed.stream().schema).collect()
+    assert sorted(map(tuple, again)) == sorted(map(tuple, first)) and len(again) == 9
+    assert {r["event_id"]: r["file_no"] for r in again} == {i: i * 10 // 25 for i in range(9)}
+
+
 def test_resampled_stream_equals_closed_batch_windows(spark, feed):
     rows = [event(i, 7 * i, key=i % 3, value=float(i % 5)) for i in range(200)]
     feed.add(rows)
