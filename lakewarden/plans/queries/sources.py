@@ -1,7 +1,10 @@
 """Queries over sources and sinks."""
 
+from datetime import datetime, timedelta, timezone
+
 from pyspark.sql import functions as F
 
+from lakewarden.operators.lifecycle import COOL_DAYS, default_rules, lifecycle_action
 from lakewarden.plans.registry import events_path, query, scratch, table
 from lakewarden.sources import (
     flatten_documents,
@@ -67,6 +70,27 @@ def object_inventory_query(spark, sf_dir):
     return found.groupBy("container").agg(F.count(F.lit(1)).alias("objects"))
 
 
+@query(
+    "inventory_lifecycle",
+    """
+    SELECT concat('o_orderstatus=', o_orderstatus) AS container, 'base' AS kind, 'cool' AS action, 1::BIGINT AS objects
+    FROM orders GROUP BY o_orderstatus
+    UNION ALL SELECT '.snapshot', 'snapshot', 'delete', count(DISTINCT o_orderstatus) FROM orders
+    UNION ALL SELECT '.version', 'version', 'cool', count(DISTINCT o_orderstatus) FROM orders
+    """,
+)
+def inventory_lifecycle_query(spark, sf_dir):
+    root = scratch(spark)
+    one_each = table(spark, sf_dir, "orders").repartition(8, "o_orderstatus")
+    # Objects of today, snapshots of an old day, and versions without a time in their names.
+    for place in ("", "/.snapshot/20200101T000000", "/.version/first"):
+        one_each.write.partitionBy("o_orderstatus").mode("append").parquet(root + place)
+    found = object_inventory(spark, root).filter(F.col("path").endswith(".parquet") & (F.col("bytes") > 0))
+    as_of = datetime.now(timezone.utc).replace(tzinfo=None) + timedelta(days=COOL_DAYS + 10)
+    actions = lifecycle_action(found, default_rules(archive=True, delete=True), as_of)
+    return actions.groupBy("container", "kind", "action").agg(F.count(F.lit(1)).alias("objects"))
+
+
 @query(
     "flatten_documents",
     """

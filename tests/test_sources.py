@@ -1,3 +1,5 @@
+from datetime import datetime
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -68,15 +70,41 @@ def test_registered_dataset_keeps_its_files(spark, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/d").count() == 4
 
 
-def test_inventory_never_reads_content(spark, tmp_path):
-    (tmp_path / "di001" / "deep").mkdir(parents=True)
-    (tmp_path / "di001" / "deep" / "a.bin").write_bytes(b"12345")
-    (tmp_path / "top.bin").write_bytes(b"1")
-    inventory = object_inventory(spark, str(tmp_path))
-    got = {(r["path"], r["container"], r["bytes"]) for r in inventory.collect()}
-    assert got == {("di001/deep/a.bin", "di001", 5), ("top.bin", None, 1)}
-    plan = inventory._jdf.queryExecution().executedPlan().toString()
-    assert "content" not in plan
+@pytest.mark.parametrize("folders", [1, 3, 512])
+def test_inventory_by_folders(spark, tmp_path, folders):
+    """Every file once, whatever the level at which tasks take over; folders are tasks."""
+    sizes = {}
+    for i in range(40):
+        parts = [f"d{i % 3}", f"e{i % 7}", f"f{i}"][: i % 4]
+        name = "/".join([*parts, f"file{i}.bin"])
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_bytes(b"x" * i)
+        sizes[name] = i
+    (tmp_path / "empty" / "folder").mkdir(parents=True)
+    inventory = object_inventory(spark, f"file://{tmp_path}", folders=folders)
+    got = {r["path"]: (r["container"], r["bytes"], r["kind"], r["blob_type"]) for r in inventory.collect()}
+    assert got == {p: (p.split("/")[0] if "/" in p else None, n, "base", "blockBlob") for p, n in sizes.items()}
+    assert inventory.count() == 40
+    tasks = inventory.rdd.getNumPartitions()
+    assert tasks == 1 if folders == 1 else tasks > 3
+    plain = object_inventory(spark, str(tmp_path), by_spark=True)
+    assert plain.columns == inventory.columns and plain.dtypes == inventory.dtypes
+    assert sorted(map(tuple, plain.select("path", "bytes", "container").collect()), key=repr) == sorted(
+        map(tuple, inventory.filter("bytes > 0").select("path", "bytes", "container").collect()), key=repr
+    )
+    assert "content" not in plain._jdf.queryExecution().executedPlan().toString()
+
+
+def test_inventory_of_snapshots_and_versions(spark, tmp_path):
+    names = ["a/x", "a/.snapshot/20240131T235959/x", ".snapshot/s1/y", ".version/20240201T000000/deep/z", "a.snapshot/x"]
+    for name in names:
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_bytes(b"1")
+    got = {r["path"]: r for r in object_inventory(spark, str(tmp_path)).collect()}
+    assert {p: r["kind"] for p, r in got.items()} == dict(zip(names, ["base", "snapshot", "snapshot", "version", "base"], strict=True))
+    assert got[names[1]]["created_at"] == datetime(2024, 1, 31, 23, 59, 59)
+    assert got[names[3]]["created_at"] == datetime(2024, 2, 1)
+    assert all(got[n]["created_at"] == got[n]["modified_at"] for n in (names[0], names[2], names[4]))
 
 
 DOCUMENTS = [
