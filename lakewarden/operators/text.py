@@ -11,21 +11,16 @@ from lakewarden.functions import mask_expression
 from lakewarden.functions.columns import MASK
 from lakewarden.plans.sizing import join_groups, rows_at_most
 
+# Up to so many secrets become one pattern of the plan; more are joined, with equal rows.
 SECRET_LIMIT = 1_000
 
 
-def mask_values(
-    df: DataFrame,
-    col: str,
-    secrets: Sequence[str] | DataFrame,
-    id_col: str | None = None,
-    limit: int = SECRET_LIMIT,
-) -> DataFrame:
+def mask_values(df: DataFrame, col: str, secrets: Sequence[str] | DataFrame, limit: int = SECRET_LIMIT) -> DataFrame:
     """Replace every occurrence of a secret in ``col`` by ``***``, scanning from the left.
 
-    Where several secrets start at one place the longest is taken. Up to ``limit`` secrets are one
-    regular expression. A longer table of secrets is joined to the texts' substrings of the lengths
-    that occur among the secrets; that needs ``id_col``, unique per row.
+    Where several secrets start at one place the longest is taken. The secrets are a list or the
+    first column of a table, of any length; empty and null ones are left out. ``limit`` chooses the
+    plan, not the rows: one regular expression, or a lookup of the places at which secrets begin.
     """
     if not isinstance(secrets, DataFrame):
         return df.withColumn(col, mask_expression(col, list(secrets)))
@@ -33,32 +28,42 @@ def mask_values(
     rows = rows_at_most(words, limit)
     if rows is not None:
         return df.withColumn(col, mask_expression(col, [r["secret"] for r in rows]))
-    if id_col is None:
-        raise ValueError("a long table of secrets needs id_col")
-    return _mask_joined(df, col, words, id_col)
+    return _mask_joined(df, col, words)
 
 
-def _mask_joined(df: DataFrame, col: str, words: DataFrame, id_col: str) -> DataFrame:
-    lengths = words.agg(F.collect_set(F.length("secret"))).scalar()  # as many as the longest secret is long
-    chars = F.split(F.col(col), "")
-    split = df.select(F.col(id_col).alias("__id"), chars.alias("chars"), F.explode(lengths).alias("len")).filter(
-        F.size("chars") >= F.col("len")
+TEXT_KEYS = ["__key", "__check"]
+
+
+def _mask_joined(df: DataFrame, col: str, words: DataFrame) -> DataFrame:
+    """The same for long tables of secrets, once per distinct text.
+
+    The first characters of a secret, as many as the shortest secret has, are its anchor. A place of
+    a text is looked up by the characters there, once. Only where they are an anchor the lengths of
+    the secrets behind it are tried, and what stands there is looked up among the secrets.
+    """
+    k = words.agg(F.min(F.length("secret"))).first()[0]
+    anchors = words.groupBy(F.left("secret", F.lit(k)).alias("anchor")).agg(F.collect_set(F.length("secret")).alias("lengths"))
+    text = F.col("__text")
+    texts = df.select(F.col(col).alias("__text")).filter(F.length(col) >= k).distinct()
+    # Two hashes stand for a text until the end, where the text itself is compared.
+    keyed = texts.select("__text", F.xxhash64(text).alias("__key"), F.xxhash64(F.lit(1), text).alias("__check"))
+    # Exploding the one array keeps it from being split again for every place.
+    chars = keyed.select(*TEXT_KEYS, F.explode(F.array(F.split(text, ""))).alias("chars"))
+    places = F.transform(
+        F.sequence(F.lit(1), F.size("chars") - k + 1), lambda p: F.array_join(F.slice("chars", p, F.lit(k)), "")
     )
-    pieces = split.select(
-        "__id",
-        "len",
-        F.posexplode(
-            F.transform(
-                F.sequence(F.lit(1), F.size("chars") - F.col("len") + 1),
-                lambda p: F.array_join(F.slice("chars", p, F.col("len")), ""),
-            )
-        ).alias("pos", "piece"),
+    grams = chars.select(*TEXT_KEYS, F.posexplode(places).alias("pos", "gram"))
+    begun = join_groups(grams, anchors, [("gram", "anchor")]).groupBy(*TEXT_KEYS)
+    begun = begun.agg(F.collect_list(F.struct("pos", "lengths")).alias("begun"))
+    tried = keyed.join(begun, TEXT_KEYS).select("__text", *TEXT_KEYS, F.inline("begun"))
+    pieces = tried.select(*TEXT_KEYS, "pos", "__text", F.explode("lengths").alias("len")).select(
+        *TEXT_KEYS, "pos", "len", F.substr("__text", F.col("pos") + 1, F.col("len")).alias("piece")
     )
-    hits = pieces.join(words, pieces["piece"] == words["secret"], "left_semi")
+    # At the end of a text a piece may be short, and equal a shorter secret that is tried anyway.
+    whole = pieces.filter(F.length("piece") == F.col("len"))
+    hits = join_groups(whole, words, [("piece", "secret")], "left_semi")
     # Longest first among hits at one place; at most one hit per place and length.
-    found = hits.groupBy("__id").agg(
-        F.array_sort(F.collect_list(F.struct("pos", (-F.col("len")).alias("back")))).alias("hits")
-    )
+    found = hits.groupBy(*TEXT_KEYS).agg(F.array_sort(F.collect_list(F.struct("pos", (-F.col("len")).alias("back")))).alias("hits"))
     kept = F.aggregate(
         "hits",
         F.struct(F.lit(0).alias("end"), F.array().cast("array<struct<start:int,stop:int>>").alias("cuts")),
@@ -72,11 +77,11 @@ def _mask_joined(df: DataFrame, col: str, words: DataFrame, id_col: str) -> Data
             ),
         ).otherwise(acc),
     )["cuts"]
-    joined = df.join(found.select("__id", kept.alias("cuts")), df[id_col] == F.col("__id"), "left")
-    return joined.select(
-        *[F.when(F.col("cuts").isNull(), df[c]).otherwise(_cut(chars, F.col("cuts"))).alias(c) if c == col else df[c]
-          for c in df.columns]
-    )
+    cut = keyed.join(found.select(*TEXT_KEYS, kept.alias("cuts")), TEXT_KEYS)
+    split = cut.select("__text", "cuts", F.explode(F.array(F.split(text, ""))).alias("chars"))
+    masked = split.select("__text", _cut(F.col("chars"), F.col("cuts")).alias("__masked"))
+    joined = join_groups(df, masked, [(col, "__text")], "left")
+    return joined.select(*[F.coalesce("__masked", df[c]).alias(c) if c == col else df[c] for c in df.columns])
 
 
 def _cut(chars: Column, cuts: Column) -> Column:
