@@ -10,8 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakewarden.functions.columns import moment
-from lakewarden.plans.ordered import ROWS_PER_TASK, large_groups, ordered_columns
-from lakewarden.plans.sizing import join_groups, rows_at_most, unique_by
+from lakewarden.plans.ordered import ordered_columns
+from lakewarden.plans.sizing import join_groups, unique_by
 
 # The actions in rising severity, and the days after which each applies.
 ACTIONS = ("hot", "cool", "archive", "delete")
@@ -47,17 +47,14 @@ def default_rules(archive: bool = False, delete: bool = False) -> list[Lifecycle
     ]
 
 
-DOCUMENT_ROWS = 10_000
-
-
 def lifecycle_rules(rules: DataFrame) -> list[LifecycleRule]:
-    """The rules of a table with the columns of ``LifecycleRule``; lists may be null."""
-    rows = rows_at_most(rules, DOCUMENT_ROWS)
-    if rows is None:
-        raise ValueError(f"more than {DOCUMENT_ROWS} rows are no policy document")
+    """The rules of a table with the columns of ``LifecycleRule``, of any length; lists may be null.
+
+    The plan names each rule; ``lifecycle_action`` puts them into columns of a few rules each.
+    """
     lists = {"blob_types", "prefix_match"}
     return [
-        LifecycleRule(**{k: tuple(v or ()) if k in lists else v for k, v in row.asDict().items()}) for row in rows
+        LifecycleRule(**{k: tuple(v or ()) if k in lists else v for k, v in row.asDict().items()}) for row in rules.collect()
     ]
 
 
@@ -190,15 +187,11 @@ def file_size_limits(
     caps = unique_by(limits.select("dataset", "max_bytes"), ["dataset"], "limits").select(
         F.col("dataset").alias("__dataset"), "max_bytes"
     )
-    totals = inventory.groupBy(F.col(dataset).alias("__dataset")).agg(
-        F.sum(size).alias("__total"), F.count(F.lit(1)).alias("__rows")
-    )
+    totals = inventory.groupBy(F.col(dataset).alias("__dataset")).agg(F.sum(size).alias("__total"))
     over = totals.join(caps, "__dataset").filter(F.col("__total") > F.col("max_bytes"))
-    limit = ROWS_PER_TASK if rows_per_task is None else rows_per_task
-    groups = large_groups(over.select(F.col("__dataset").alias(dataset), "__rows"), limit)
     affected = join_groups(inventory, over.select("__dataset", "max_bytes"), [(dataset, "__dataset")]).drop("__dataset")
     running = ordered_columns(
-        affected, [dataset], list(order), sum_before={"bytes_before": size}, rows_per_task=limit, groups=groups
+        affected, [dataset], list(order), sum_before={"bytes_before": size}, rows_per_task=rows_per_task
     )
     to_here = F.col("bytes_before") + F.coalesce(F.col(size), F.lit(0))
     beyond = running.withColumn("bytes_to_here", to_here).filter(F.col("bytes_to_here") > F.col("max_bytes"))

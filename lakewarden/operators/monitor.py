@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakewarden.plans.ordered import ordered_columns
 from lakewarden.plans.sizing import unique_by
 
 # Fixed values.
@@ -71,6 +72,7 @@ def provisioning_stats(
     cycle: str = "cycle_id",
     object_types: Sequence[str] = ("user", "group"),
     actions: Sequence[str] = USER_ACTIONS,
+    rows_per_task: int | None = None,
 ) -> DataFrame:
     """Per cycle, the number of each action on each object type, and the totals to date.
 
@@ -79,8 +81,11 @@ def provisioning_stats(
     """
     pairs = {f"{t}_{a}": (F.col("object_type") == t) & (F.col("action") == a) for t in object_types for a in actions}
     per_cycle = audit.groupBy(cycle).agg(*[F.count_if(c).alias(name) for name, c in pairs.items()])
-    to_date = Window.partitionBy(F.lit(0)).orderBy(cycle).rowsBetween(Window.unboundedPreceding, 0)
-    return per_cycle.select("*", *[F.sum(name).over(to_date).alias(f"{name}_to_date") for name in pairs])
+    # All cycles are one group, which is cut into stretches when it is large.
+    one = per_cycle.withColumn("__all", F.lit(0))
+    before = {f"{name}_to_date": name for name in pairs}
+    running = ordered_columns(one, ["__all"], [cycle], sum_before=before, rows_per_task=rows_per_task)
+    return running.select(cycle, *pairs, *[(F.col(out) + F.col(name)).alias(out) for out, name in before.items()])
 
 
 def run_outcomes(run_events: DataFrame, run: str = "run_id", ts: str = "ts", seq: str = "seq") -> DataFrame:

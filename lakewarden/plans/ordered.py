@@ -1,35 +1,37 @@
 """Running sums, row numbers and next values per group, safe for groups of any size.
 
-A plain window sends each group to one task. Here only ordinary groups go that way. Groups above
-``rows_per_task`` rows are range-partitioned on (keys, order), so that one group spans many tasks;
-each task works on its own stretch, and the few per-stretch totals are summed up afterwards.
+A plain window sends each group to one task. Here groups are cut into stretches of their order: a fixed share of all rows,
+chosen by a hash of key and order, are the cuts, so large groups get many and small ones none. A row's stretch is the
+number of its group's cuts up to it, found by halving. Rows are shuffled once, by key and stretch; each task works on its
+own stretches, and the few totals per stretch are summed up beside it. How many groups there are, and how large, is never
+asked: it is all one plan.
 """
 
 from __future__ import annotations
 
 from functools import reduce
-from math import ceil
 
-from pyspark.sql import DataFrame, Row, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from lakewarden.plans.sizing import local_table, null_safe
-from lakewarden.session import shared_dir
+from lakewarden.plans.sizing import null_safe
 
+#: Rows of a stretch, about: a few times as many are very unlikely.
 ROWS_PER_TASK = 5_000_000
-# Any group left out of the largest 10,000 holds less than 1/10,000 of the rows, so the plain
-# window can take it; this also bounds the list of large groups kept on the driver.
-LARGE_GROUPS = 10_000
+#: Cuts per ``ROWS_PER_TASK`` rows of a group.
+CUTS = 4
+#: The steps of halving; a group has fewer cuts than twice the first.
+HALVING = [2**i for i in reversed(range(24))]
 
 
-def large_groups(counts: DataFrame, rows_per_task: int) -> list[Row]:
-    """Groups with more than ``rows_per_task`` rows, largest first; ``counts`` has the keys and ``__rows``."""
-    return (
-        counts.filter(F.col("__rows") > rows_per_task)
-        .orderBy(F.col("__rows").desc())
-        .limit(LARGE_GROUPS)
-        .collect()
+def _cuts_before(cuts: Column, at: Column) -> Column:
+    """How many of the sorted ``cuts`` are at or before ``at``."""
+    return F.aggregate(
+        F.array(*map(F.lit, HALVING)),
+        F.lit(0),
+        lambda low, step: F.when(
+            (low + step <= F.size(cuts)) & (F.try_element_at(cuts, low + step) <= at), low + step
+        ).otherwise(low),
     )
 
 
@@ -42,73 +44,56 @@ def ordered_columns(
     number: str | None = None,
     following: dict[str, str] | None = None,
     rows_per_task: int | None = None,
-    groups: list[Row] | None = None,
 ) -> DataFrame:
     """Add order-dependent columns per group.
 
     ``sum_before`` maps an output column to the column whose sum over all earlier rows it gets,
     ``number`` names a 1-based row number, ``following`` maps an output column to the column whose
-    value in the next row it gets. ``order`` must be a total order within a group, without nulls.
-    ``groups`` saves the counting pass when the caller knows the result of ``large_groups``.
+    value in the next row it gets. ``order`` must be a total order within a group; null keys are a
+    group. ``df`` is read more than once and must give the same rows each time.
     """
     sums, nexts = sum_before or {}, following or {}
-    limit = ROWS_PER_TASK if rows_per_task is None else rows_per_task
-    if groups is None:
-        groups = large_groups(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows")), limit)
-    if not groups:
-        return _within(df, keys, order, sums, number, nexts)
-
-    spark = df.sparkSession
+    share = max(1, (ROWS_PER_TASK if rows_per_task is None else rows_per_task) // CUTS)
+    at = F.struct(*order)
     renamed = [f"__key_{i}" for i in range(len(keys))]
-    schema = T.StructType(
-        [T.StructField(r, df.schema[k].dataType) for r, k in zip(renamed, keys, strict=True)]
-    )
-    # At most LARGE_GROUPS rows.
-    large = F.broadcast(local_table(spark, [tuple(g[k] for k in keys) for g in groups], schema))
-    is_large = null_safe(df, large, list(zip(keys, renamed, strict=True)))
-    plain = _within(df.join(large, is_large, "left_anti"), keys, order, sums, number, nexts)
+    pairs = list(zip(keys, renamed, strict=True))
+    chosen = df.filter(F.pmod(F.xxhash64(*keys, *order), F.lit(share)) == 0)
+    cuts = chosen.groupBy(*[F.col(k).alias(r) for k, r in pairs]).agg(F.sort_array(F.collect_list(at)).alias("__cuts"))
 
-    stretches = ceil(sum(g["__rows"] for g in groups) / limit) + 1
-    shared_dir(spark)
-    # Checkpointed, so that every later use sees the same stretch numbers.
-    ranged = (
-        df.join(large, is_large, "left_semi")
-        .repartitionByRange(stretches, *keys, *order)
-        .withColumn("__stretch", F.spark_partition_id())
-        .checkpoint()
-    )
-    local = _within(ranged, [*keys, "__stretch"], order, sums, number, nexts)
-    totals = ranged.groupBy(*keys, "__stretch").agg(
+    def placed(rows: DataFrame, how: str) -> DataFrame:
+        """Rows with their stretch; with ``inner``, only those of groups that are cut."""
+        joined = rows.join(cuts, null_safe(rows, cuts, pairs), how)
+        stretch = F.when(F.col("__cuts").isNull(), F.lit(0)).otherwise(_cuts_before(F.col("__cuts"), at))
+        return joined.select(*[rows[c] for c in rows.columns], stretch.alias("__stretch"))
+
+    local = _within(placed(df, "left"), [*keys, "__stretch"], order, sums, number, nexts)
+    needed = list(dict.fromkeys([*keys, *order, *sums.values(), *nexts.values()]))
+    totals = placed(df.select(*needed), "inner").groupBy(*[F.col(k).alias(r) for k, r in pairs], F.col("__stretch").alias("__at")).agg(
         F.count(F.lit(1)).alias("__count"),
-        F.max(F.struct(*order)).alias("__last"),
+        F.max(at).alias("__last"),
         *[F.sum(c).alias(f"__sum_{out}") for out, c in sums.items()],
-        *[F.min_by(c, F.struct(*order)).alias(f"__first_{out}") for out, c in nexts.items()],
+        *[F.min_by(F.struct(c), at).alias(f"__first_{out}") for out, c in nexts.items()],
     )
-    by_stretch = Window.partitionBy(*keys).orderBy("__stretch")
+    by_stretch = Window.partitionBy(*renamed).orderBy("__at")
     earlier = by_stretch.rowsBetween(Window.unboundedPreceding, -1)
-    # One row per stretch and group in it: at most stretches + LARGE_GROUPS rows.
-    carried = F.broadcast(
-        totals.select(
-            *[F.col(k).alias(r) for k, r in zip(keys, renamed, strict=True)],
-            F.col("__stretch").alias("__at"),
-            "__last",
-            F.coalesce(F.sum("__count").over(earlier), F.lit(0)).alias("__before"),
-            *[F.coalesce(F.sum(f"__sum_{o}").over(earlier), F.lit(0)).alias(f"__carry_{o}") for o in sums],
-            *[F.lead(f"__first_{o}").over(by_stretch).alias(f"__next_{o}") for o in nexts],
-        )
-    )
-    joined = local.join(
-        carried,
-        null_safe(local, carried, [*zip(keys, renamed, strict=True), ("__stretch", "__at")]),
+    # One row per stretch of a group that is cut.
+    carried = totals.select(
+        *renamed,
+        "__at",
+        "__last",
+        F.sum("__count").over(earlier).alias("__before"),
+        *[F.sum(f"__sum_{o}").over(earlier).alias(f"__carry_{o}") for o in sums],
+        *[F.lead(f"__first_{o}").over(by_stretch).getItem(c).alias(f"__next_{o}") for o, c in nexts.items()],
     )
-    is_last = F.struct(*order) == F.col("__last")
-    spread = joined.select(
-        *[joined[c] for c in df.columns],
-        *[(F.col(o) + F.col(f"__carry_{o}")).cast(plain.schema[o].dataType).alias(o) for o in sums],
-        *([(F.col(number) + F.col("__before")).alias(number)] if number else []),
-        *[F.when(is_last, F.col(f"__next_{o}")).otherwise(F.col(o)).alias(o) for o in nexts],
+    joined = local.join(carried, null_safe(local, carried, [*pairs, ("__stretch", "__at")]), "left")
+    is_last = F.coalesce(F.struct(*[local[c] for c in order]) == carried["__last"], F.lit(False))
+    none = F.lit(0)
+    return joined.select(
+        *[local[c] for c in df.columns],
+        *[(local[o] + F.coalesce(carried[f"__carry_{o}"], none)).cast(local.schema[o].dataType).alias(o) for o in sums],
+        *([(local[number] + F.coalesce(carried["__before"], none)).alias(number)] if number else []),
+        *[F.when(is_last, carried[f"__next_{o}"]).otherwise(local[o]).alias(o) for o in nexts],
     )
-    return plain.unionByName(spread)
 
 
 def _within(df, keys, order, sums, number, nexts):

@@ -69,9 +69,8 @@ def test_many_rules_and_rules_from_a_table(spark, monkeypatch):
     assert action(spark, rules, modified=12, path="data/di001/x") == "cool"
     assert action(spark, rules, modified=12, path="data/di002/x") == "hot"
     assert action(spark, rules, modified=41, path="elsewhere") == "delete"
-    monkeypatch.setattr("lakewarden.operators.lifecycle.DOCUMENT_ROWS", 7)
-    with pytest.raises(ValueError, match="no policy document"):
-        lifecycle_rules(spark.createDataFrame(rows, schema))
+    many = spark.createDataFrame([(f"r{i}", *rows[0][1:]) for i in range(12_000)], schema)
+    assert len(lifecycle_rules(many)) == 12_000
 
 
 def test_age_from_access(spark):

@@ -40,7 +40,6 @@ def test_sql_has_a_query():
 def test_query_with_split_groups(spark, duck, name, monkeypatch):
     """The same results when nearly every group counts as too large for one task."""
     monkeypatch.setattr("lakewarden.plans.ordered.ROWS_PER_TASK", 2 if name == "capture_windows" else 40)
-    monkeypatch.setattr("lakewarden.operators.lifecycle.ROWS_PER_TASK", 20)
     result = driver.queries()[name](spark, SF_DIR)
     assert compare(result, duck, driver.oracle_sql()[name]) is None
 
