@@ -7,7 +7,9 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from lakewarden.llm import cotraining, fertility, lexicon, lm_automaton, packing, page_text, reply_trees
@@ -117,6 +119,39 @@ def test_scores(docs, rows, order, chunk_bytes, monkeypatch):
     assert Counter((*r[:5], round(r.base_score, 6), round(r.score, 6)) for r in got) == wanted
 
 
+def test_equal_rows_go_to_many_chunks(spark, monkeypatch):
+    made = []
+    settled = lm_automaton.settled
+    monkeypatch.setattr(lm_automaton, "settled", lambda df: made.append(settled(df)) or made[-1])
+    text = "all of these rows are one and the same"
+    docs = spark.createDataFrame([(5, text)], "doc_id long, text string").withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(10_000))))
+    got = lm_automaton.score_texts(docs, chunk_bytes=40_000).select("n_tokens", "train_tokens", "score").distinct().collect()
+    assert [(r.n_tokens, r.train_tokens) for r in got] == [(10, 100_000)]
+    # The texts' own rows, one per chunk.
+    sizes = [len(lm_automaton.Grams.from_bytes(r.counts, 1).ids) for r in made[0].filter("k = -1").collect()]
+    assert sum(sizes) == 10_000 and len(sizes) == 10 and max(sizes) < 1_300
+
+
+def test_probabilities_of_every_state_sum_to_one():
+    """Arcs and failure arcs of the automaton: what a state gives to all words, seen and unseen, adds up to one."""
+    rng = np.random.default_rng(2)
+    words = [f"w{i}" for i in range(12)]
+    texts = [" ".join(rng.choice(words, size=rng.integers(0, 15))) for _ in range(60)]
+    grams = lm_automaton.Grams.of_rows(pa.table({"doc_id": pa.array([None] * 60, pa.int64()), "text": texts}), 3)
+    counts = [grams.training_counts(k) for k in range(3)]
+    total, kinds = int(counts[0].sum()), int((counts[0] > 0).sum())
+    built = lm_automaton.Automaton(grams, counts, total, kinds, 60)
+    every = np.append(np.arange(len(counts[0])), len(counts[0]))  # and one word without an arc
+    for state in range(len(built.fail)):
+        logs, after = built.step(np.full(len(every), state), every)
+        assert abs((10**logs).sum() - 1) < 1e-9
+        assert (after < len(built.fail)).all()
+    # Failure arcs lead to shorter contexts, and at last to the root.
+    assert built.fail[0] == lm_automaton.ROOT and (built.fail <= np.maximum(0, np.arange(len(built.fail)) - 1)).all()
+    ended = [int((grams.tokens[first] == lm_automaton.END).sum()) for first in grams.first]
+    assert len(built.fail) == 2 + sum(int((c > 0).sum()) - e for c, e in zip(counts[:2], ended[:2], strict=True))
+
+
 def test_scores_of_nothing(none):
     assert lm_automaton.score_texts(none).count() == 0
 
