@@ -43,16 +43,18 @@ def ordered_columns(
     sum_before: dict[str, str] | None = None,
     number: str | None = None,
     following: dict[str, str] | None = None,
+    max_before: dict[str, str] | None = None,
     rows_per_task: int | None = None,
 ) -> DataFrame:
     """Add order-dependent columns per group.
 
     ``sum_before`` maps an output column to the column whose sum over all earlier rows it gets,
     ``number`` names a 1-based row number, ``following`` maps an output column to the column whose
-    value in the next row it gets. ``order`` must be a total order within a group; null keys are a
+    value in the next row it gets, ``max_before`` one whose largest value in earlier rows it gets
+    (null in the first). ``order`` must be a total order within a group; null keys are a
     group. ``df`` is read more than once and must give the same rows each time.
     """
-    sums, nexts = sum_before or {}, following or {}
+    sums, nexts, tops = sum_before or {}, following or {}, max_before or {}
     share = max(1, (ROWS_PER_TASK if rows_per_task is None else rows_per_task) // CUTS)
     at = F.struct(*order)
     renamed = [f"__key_{i}" for i in range(len(keys))]
@@ -66,13 +68,14 @@ def ordered_columns(
         stretch = F.when(F.col("__cuts").isNull(), F.lit(0)).otherwise(_cuts_before(F.col("__cuts"), at))
         return joined.select(*[rows[c] for c in rows.columns], stretch.alias("__stretch"))
 
-    local = _within(placed(df, "left"), [*keys, "__stretch"], order, sums, number, nexts)
-    needed = list(dict.fromkeys([*keys, *order, *sums.values(), *nexts.values()]))
+    local = _within(placed(df, "left"), [*keys, "__stretch"], order, sums, number, nexts, tops)
+    needed = list(dict.fromkeys([*keys, *order, *sums.values(), *nexts.values(), *tops.values()]))
     totals = placed(df.select(*needed), "inner").groupBy(*[F.col(k).alias(r) for k, r in pairs], F.col("__stretch").alias("__at")).agg(
         F.count(F.lit(1)).alias("__count"),
         F.max(at).alias("__last"),
         *[F.sum(c).alias(f"__sum_{out}") for out, c in sums.items()],
         *[F.min_by(F.struct(c), at).alias(f"__first_{out}") for out, c in nexts.items()],
+        *[F.max(c).alias(f"__max_{out}") for out, c in tops.items()],
     )
     by_stretch = Window.partitionBy(*renamed).orderBy("__at")
     earlier = by_stretch.rowsBetween(Window.unboundedPreceding, -1)
@@ -83,6 +86,7 @@ def ordered_columns(
         "__last",
         F.sum("__count").over(earlier).alias("__before"),
         *[F.sum(f"__sum_{o}").over(earlier).alias(f"__carry_{o}") for o in sums],
+        *[F.max(f"__max_{o}").over(earlier).alias(f"__top_{o}") for o in tops],
         *[F.lead(f"__first_{o}").over(by_stretch).getItem(c).alias(f"__next_{o}") for o, c in nexts.items()],
     )
     joined = local.join(carried, null_safe(local, carried, [*pairs, ("__stretch", "__at")]), "left")
@@ -93,10 +97,12 @@ def ordered_columns(
         *[(local[o] + F.coalesce(carried[f"__carry_{o}"], none)).cast(local.schema[o].dataType).alias(o) for o in sums],
         *([(local[number] + F.coalesce(carried["__before"], none)).alias(number)] if number else []),
         *[F.when(is_last, carried[f"__next_{o}"]).otherwise(local[o]).alias(o) for o in nexts],
+        # The larger one; nulls don't count.
+        *[F.greatest(local[o], carried[f"__top_{o}"]).alias(o) for o in tops],
     )
 
 
-def _within(df, keys, order, sums, number, nexts):
+def _within(df, keys, order, sums, number, nexts, tops):
     """The same columns by plain windows."""
     ordered = Window.partitionBy(*keys).orderBy(*order)
     earlier = ordered.rowsBetween(Window.unboundedPreceding, -1)
@@ -104,4 +110,5 @@ def _within(df, keys, order, sums, number, nexts):
     if number:
         added[number] = F.row_number().over(ordered).cast("bigint")
     added |= {o: F.lead(c).over(ordered) for o, c in nexts.items()}
+    added |= {o: F.max(c).over(earlier) for o, c in tops.items()}
     return reduce(lambda d, item: d.withColumn(*item), added.items(), df)

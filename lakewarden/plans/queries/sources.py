@@ -12,6 +12,7 @@ from lakewarden.sources import (
     read_event_stream,
     read_zone,
     register_dataset,
+    write_parsed,
     write_zone,
 )
 from lakewarden.streaming import run_available
@@ -35,15 +36,27 @@ def read_zone_query(spark, sf_dir):
     return _per_status(read_zone(spark, root, "raw", "data", "orders"))
 
 
-@query("write_zone", PER_STATUS)
+@query(
+    "write_zone",
+    """
+    WITH written AS (
+        -- F was replaced by halves of its prices, P was there and stayed, O got its rows and one more each.
+        SELECT o_orderstatus, CASE WHEN o_orderstatus = 'F' THEN o_totalprice / 2 ELSE o_totalprice END AS price FROM orders
+        UNION ALL SELECT o_orderstatus, 1 FROM orders WHERE o_orderstatus = 'O')
+    SELECT o_orderstatus, count(*) AS orders, round(sum(price), 2) AS total FROM written GROUP BY o_orderstatus
+    """,
+)
 def write_zone_query(spark, sf_dir):
     root, orders = scratch(spark), table(spark, sf_dir, "orders")
     target = (root, "work", "dp001", "orders")
     write_zone(orders, *target, partition_by=["o_orderstatus"])
-    # Once more for one partition: it is replaced, the others stay.
-    write_zone(orders.filter("o_orderstatus = 'F'"), *target, partition_by=["o_orderstatus"])
+    # One partition is replaced by other values, the others stay.
+    halves = orders.filter("o_orderstatus = 'F'").withColumn("o_totalprice", F.col("o_totalprice") / 2)
+    write_zone(halves, *target, partition_by=["o_orderstatus"])
     # Something is there, so this writes nothing.
-    write_zone(orders, *target, mode="ignore", partition_by=["o_orderstatus"])
+    write_zone(orders.withColumn("o_totalprice", F.lit(0.0)), *target, mode="ignore", partition_by=["o_orderstatus"])
+    ones = orders.filter("o_orderstatus = 'O'").withColumn("o_totalprice", F.lit(1.0))
+    write_zone(ones, *target, mode="append", partition_by=["o_orderstatus"])
     return _per_status(read_zone(spark, *target))
 
 
@@ -104,6 +117,38 @@ def flatten_documents_query(spark, sf_dir):
     return flatten_documents(table(spark, sf_dir, "events").withColumn("nested", nested), "event_id", "nested")
 
 
+@query(
+    "parse_messages",
+    """
+    SELECT 'event' AS output, event_type AS detail, count(*) AS messages, cast(sum(user_id) AS bigint) AS users
+    FROM events WHERE event_id % 20 <> 0 GROUP BY event_type
+    UNION ALL
+    SELECT 'rejected', CASE event_id % 60 WHEN 0 THEN 'unparsable' WHEN 20 THEN 'empty' ELSE 'no time' END, count(*), NULL
+    FROM events WHERE event_id % 20 = 0 GROUP BY 2
+    """,
+)
+def parse_messages_query(spark, sf_dir):
+    root = scratch(spark)
+    events = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
+    good = F.to_json(F.struct("event_id", "ts", "user_id", "event_type"))
+    kind = F.col("event_id") % 60
+    # One message in twenty is cut off, empty, or without a time.
+    bad = F.when(kind == 0, F.left(good, F.lit(20))).when(kind == 20, F.lit(None)).otherwise(F.to_json(F.struct("event_id")))
+    value = F.when(F.col("event_id") % 20 == 0, bad).otherwise(good)
+    messages = events.select(value.cast("binary").alias("value"), (F.col("event_id") % 4).cast("int").alias("partition"), F.col("event_id").alias("offset"))
+    messages.write.parquet(f"{root}/in")
+    stream = spark.readStream.schema(messages.schema).parquet(f"{root}/in")
+    run_available(write_parsed(stream, events.schema, f"{root}/out", f"{root}/progress"))
+    parsed, rejected = (spark.read.parquet(f"{root}/out/{name}") for name in ("events", "rejected"))
+    counted = parsed.groupBy(F.lit("event").alias("output"), F.col("event_type").alias("detail")).agg(
+        F.count(F.lit(1)).alias("messages"), F.sum("user_id").alias("users")
+    )
+    others = rejected.groupBy(F.lit("rejected").alias("output"), F.col("reason").alias("detail")).agg(
+        F.count(F.lit(1)).alias("messages"), F.lit(None).cast("bigint").alias("users")
+    )
+    return counted.unionByName(others)
+
+
 @query("read_event_stream", "SELECT event_type, count(*) AS events FROM events GROUP BY event_type")
 def read_event_stream_query(spark, sf_dir):
     root, path = scratch(spark), events_path(sf_dir)

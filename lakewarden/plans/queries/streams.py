@@ -16,11 +16,12 @@ from lakewarden.streaming import (
     fan_out,
     read_captured,
     read_latest,
+    read_retained,
+    retain_stream,
     run_available,
     split_capture_stream,
     stream_latest,
     stream_resample,
-    stream_retention,
     write_latest,
 )
 
@@ -84,10 +85,10 @@ def capture_windows_query(spark, sf_dir):
 BATCH_ENDS = ["2024-01-06 03:07:11", "2024-01-06 03:09:00", "2024-01-17 22:52:30"]
 
 
-def _arriving(spark, events, root, run):
+def _arriving(spark, events, root, run, time="ts"):
     """Feed the events to a stream in batches, by time, one after the other."""
     ends = [F.lit(e).cast("timestamp_ntz") for e in BATCH_ENDS]
-    number = sum((F.col("ts") >= e).cast("int") for e in ends)
+    number = sum((F.col(time) >= e).cast("int") for e in ends)
     for batch in range(len(ends) + 1):
         events.filter(number == batch).coalesce(1).write.mode("append").parquet(f"{root}/in")
         run(read_event_stream(spark, f"{root}/in", events.schema, fmt="parquet"))
@@ -189,12 +190,31 @@ def stream_resample_query(spark, sf_dir):
     )
 
 
-@query("stream_retention", "SELECT event_type, count(*) AS events FROM events GROUP BY event_type")
+# One event in fifty arrives six days after its time.
+ARRIVAL_SQL = "ts + CASE WHEN event_id % 50 = 0 THEN INTERVAL 6 DAY ELSE INTERVAL 0 DAY END"
+
+
+@query(
+    "stream_retention",
+    f"""
+    WITH arrived AS (SELECT event_id, event_type, ts, {ARRIVAL_SQL} AS arrival FROM events),
+    held AS (
+        SELECT *, max(ts) OVER (ORDER BY arrival, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS newest
+        FROM arrived)
+    SELECT event_id, event_type, coalesce(ts < newest - INTERVAL 3 DAY, false) AS late FROM held
+    """,
+)
 def stream_retention_query(spark, sf_dir):
-    # All events arrive together, so none is late; tests bring in late ones.
-    kept = stream_retention(_stream(spark, sf_dir), "ts", "event_id")
-    stored = _drain(spark, kept.select("event_id", "event_type"), scratch(spark))
-    return stored.groupBy("event_type").agg(F.count(F.lit(1)).alias("events"))
+    root = scratch(spark)
+    events = table(spark, sf_dir, "events").withColumn("arrival", F.expr(ARRIVAL_SQL)).select("event_id", "event_type", "ts", "arrival")
+
+    def run(stream):
+        run_available(retain_stream(stream, f"{root}/out", f"{root}/progress", "ts", ["arrival", "event_id"]))
+
+    _arriving(spark, events, root, run, "arrival")
+    schema = events.select("event_id", "event_type").schema
+    kept, late = (read_retained(spark, f"{root}/out", schema, late=late).withColumn("late", F.lit(late)) for late in (False, True))
+    return kept.unionByName(late)
 
 
 @query(

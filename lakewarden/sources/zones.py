@@ -45,11 +45,15 @@ def write_zone(
     """Write one dataset and return its folder.
 
     ``overwrite`` replaces what is there (with ``partition_by``: only the partitions that occur in
-    ``df``), ``ignore`` writes only when nothing is there, ``append`` adds.
+    ``df``), ``ignore`` writes only when nothing is there, ``append`` adds. Before a partitioned
+    write the rows are dealt by the partition columns, so that a partition gets files of about the
+    size adaptive execution is told to aim for, a large one several of them.
     """
     if mode not in MODES:
         raise ValueError(f"unknown mode {mode!r}, expected one of {', '.join(MODES)}")
     path = zone_path(root, zone, container, dataset)
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     writer = df.write.format(fmt).mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")

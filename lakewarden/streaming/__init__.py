@@ -12,6 +12,8 @@ from lakewarden.streaming.capture import (
 from lakewarden.streaming.live import (
     fan_out,
     read_latest,
+    read_retained,
+    retain_stream,
     run_available,
     stream_latest,
     stream_resample,
@@ -28,6 +30,8 @@ __all__ = [
     "fan_out",
     "read_captured",
     "read_latest",
+    "read_retained",
+    "retain_stream",
     "run_available",
     "split_capture_stream",
     "stream_latest",

@@ -7,7 +7,7 @@ from lakewarden.operators.monitor import provisioning_stats
 from lakewarden.plans import ordered
 from lakewarden.plans.ordered import ordered_columns
 
-WANTED = {"sum_before": {"before": "v"}, "number": "n", "following": {"next_id": "id"}}
+WANTED = {"sum_before": {"before": "v"}, "number": "n", "following": {"next_id": "id"}, "max_before": {"top": "v"}}
 
 
 def skewed(spark):
@@ -40,7 +40,7 @@ def test_very_many_large_groups(spark):
     df = spark.range(100_000).select((F.col("id") % 20_000).alias("k"), (-F.col("id")).alias("t"), "id", (F.col("id") % 7).alias("v"))
     plain = ordered_columns(df, ["k"], ["t"], **WANTED)
     split = ordered_columns(df, ["k"], ["t"], rows_per_task=2, **WANTED)
-    names = ["k", "id", "before", "n", "next_id"]
+    names = ["k", "id", "before", "n", "next_id", "top"]
     assert split.exceptAll(plain).select(names).isEmpty() and plain.exceptAll(split).select(names).isEmpty()
 
 

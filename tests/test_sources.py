@@ -2,11 +2,13 @@ from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakewarden.sources import (
     documents,
     flatten_documents,
     object_inventory,
+    parse_messages,
     read_event_stream,
     read_jdbc,
     read_zone,
@@ -169,6 +171,35 @@ def test_event_stream_from_files(spark, tmp_path):
     assert stream.isStreaming and dict(stream.dtypes)["ts"] == "timestamp"
 
 
+def test_messages_that_do_not_parse(spark):
+    schema = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("ts", T.TimestampNTZType()), T.StructField("tags", T.MapType(T.StringType(), T.IntegerType()))])
+    texts = [
+        '{"event_id": 1, "ts": "2024-01-01T00:00:00", "tags": {"a": 1}}', '{"event_id": 2, "ts": "2024-01-01T00:00:00", "offset": 9}',
+        '{"event_id": "x", "ts": "2024-01-01T00:00:00"}', '{"event_id": 4, "ts"', "[1]", "7", "", "  ", None, '{"event_id": 5}', "{}",
+    ]
+    messages = spark.createDataFrame([(t.encode() if t is not None else None, i) for i, t in enumerate(texts)], "value binary, offset long")
+    events, rejected = parse_messages(messages, schema)
+    assert events.columns == ["event_id", "ts", "tags", "offset"] and dict(events.dtypes)["ts"] == "timestamp"
+    assert sorted((r["event_id"], r["offset"]) for r in events.collect()) == [(1, 0), (2, 1)]
+    got = {r["offset"]: r["reason"] for r in rejected.collect()}
+    assert got == {2: "unparsable", 3: "unparsable", 4: "unparsable", 5: "unparsable", 6: "empty", 7: "empty", 8: "empty", 9: "no time", 10: "no time"}
+    assert rejected.columns == ["value", "offset", "reason"]
+
+
+def test_partitioned_writes_make_files_by_size(spark, tmp_path):
+    """Many tasks, few files: as many as the size asks for, and several for a large partition."""
+    rows = spark.range(0, 60_000, 1, 16).select("id", F.when(F.col("id") % 10 < 8, "hot").otherwise(F.concat(F.lit("p"), F.col("id") % 10)).alias("p"), F.sha2(F.col("id").cast("string"), 256).alias("v"))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "512k")
+    try:
+        write_zone(rows, str(tmp_path), "raw", "data", "t", partition_by=["p"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    files = {p.name: len(list(p.glob("*.parquet"))) for p in (tmp_path / "raw" / "data" / "t").glob("p=*")}
+    assert files["p=p8"] == files["p=p9"] == 1
+    assert 3 <= files["p=hot"] <= 16
+    assert read_zone(spark, str(tmp_path), "raw", "data", "t").count() == 60_000
+
+
 def test_kafka_needs_its_package(spark):
     schema = spark.range(1).schema
     with pytest.raises(Exception, match="(?i)kafka"):

@@ -15,6 +15,8 @@ from lakewarden.streaming import (
     fan_out,
     read_captured,
     read_latest,
+    read_retained,
+    retain_stream,
     run_available,
     split_capture_stream,
     stream_latest,
@@ -206,3 +208,43 @@ def test_latest_over_several_batches(spark, feed):
         run_available(write_latest(stream, f"{feed.root}/out", f"{feed.root}/progress"))
         latest = read_latest(spark, f"{feed.root}/out", "key")
     assert {r["key"]: r["state"] for r in latest.collect()} == {1: 3.0, 2: 2.0}
+
+
+def test_latest_reads_one_snapshot_and_newer_batches(spark, feed, tmp_path):
+    out = tmp_path / "out"
+    for batch in range(13):
+        feed.add([event(batch, batch, key=batch % 5, value=float(batch)), event(100 + batch, 50 - batch, key=9, value=float(batch))])
+        latest = stream_latest(feed.stream(), "key", "ts", "event_id", F.col("value"))
+        run_available(write_latest(latest, str(out), f"{feed.root}/at", compact_every=4))
+    state = read_latest(spark, str(out), "key")
+    assert {r["key"]: r["state"] for r in state.collect()} == {0: 10.0, 1: 11.0, 2: 12.0, 3: 8.0, 4: 9.0, 9: 0.0}
+    # One snapshot, of batch 11, and batch 12.
+    read = {f.split("/out/")[1].split("/")[0] for f in state.inputFiles()}
+    assert read == {"upto=11", "batch_id=12"}
+    # The snapshot before stays for readers, what it replaced is gone.
+    assert {p.name for p in out.iterdir()} == {"upto=7", "upto=11", *(f"batch_id={b}" for b in range(8, 13))}
+    # An unfinished snapshot doesn't count.
+    (out / "upto=11" / "_SUCCESS").unlink()
+    again = read_latest(spark, str(out), "key")
+    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, state.collect()))
+
+
+@pytest.mark.parametrize("cuts", [[5], [2, 3, 9, 30, 31], [1, 20, 40]])
+def test_retention_does_not_depend_on_batches(spark, tmp_path, cuts):
+    """Of events in order of arrival, those within three days of the newest before them, however the batches are cut."""
+    events = [event(i, (i * DAY) // 2 - (5 * DAY if i % 7 == 3 else 0)) for i in range(40)] + [(40, None, 0, 1, 1.0)]
+    want, newest = set(), None
+    for i, at, *_ in events:
+        if at is not None and (newest is None or at >= newest - timedelta(days=3)):
+            want.add(i)
+        newest = max((t for t in (newest, at) if t is not None), default=None)
+    feed = Feed(spark, f"{tmp_path}/{len(cuts)}")
+    for start, stop in zip([0, *cuts], [*cuts, len(events)], strict=True):
+        if events[start:stop]:
+            feed.add(events[start:stop])
+            run_available(retain_stream(feed.stream(), f"{feed.root}/out", f"{feed.root}/at", "ts", ["event_id"]))
+    schema = feed.stream().schema
+    kept, late = ({r["event_id"] for r in read_retained(spark, f"{feed.root}/out", schema, late=x).collect()} for x in (False, True))
+    assert kept == want and late == {e[0] for e in events} - want and 5 < len(late)
+    counts = spark.read.parquet(f"{feed.root}/at/newest").agg(F.sum("kept"), F.sum("diverted")).first()
+    assert tuple(counts) == (len(kept), len(late))
