@@ -4,9 +4,9 @@ A document's set of word shingles is hashed once. The hashes fall into bins by t
 is the bin's value, and an empty bin takes that of another, found by a fixed sequence of bins of its own (optimal
 densification). Bands of four bins are bucket keys. Documents with equal sets are one from the start. Each bucket gives
 one star: its hub is compared with the members that links don't connect to it yet, so a round makes at most one pair per
-member and bucket, and no pair is compared twice. Links are confirmed on the full sets. Three rounds go through the 32
-bands; documents that are alike only somewhat may share buckets with very many others there, so three more rounds
-lengthen the keys to 8, 12 and 16 bins, which parts them, and give the smaller buckets hubs that were none before.
+member and bucket, and no pair is compared twice. Links are confirmed on the full sets. Two rounds go through the 32
+bands; documents that are alike only somewhat may share buckets with very many others there, so two more rounds
+lengthen the keys to 12 and 16 bins, which parts them, and give the smaller buckets hubs that were none before.
 
 Two documents of similarity 0.85 share none of the 32 buckets with a probability below 1e-10 (0.8: below 1e-7). A link can
 be missed only if in every bucket that its documents share, of all rounds, some third one is the hub and isn't linked to
@@ -20,6 +20,7 @@ An empty table gives no rows. Columns of the input other than the id and the tex
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -37,13 +38,11 @@ _draw = np.random.default_rng(2017)
 PROBES = np.concatenate([_draw.integers(0, BINS, (BINS, 256)), np.stack([_draw.permutation(BINS) for _ in range(BINS)])], axis=1)
 BAND_SEEDS = mixed(np.arange(1, BANDS + 1, dtype=np.uint64))
 
-#: The bands that make the buckets of each round, and which others lengthen their keys. Three rounds go through the bands;
-#: more go on with longer keys, which part documents that are only somewhat alike.
+#: The bands that make the buckets of each round, and which others lengthen their keys. Two rounds go through the bands;
+#: two go on with longer keys, which part documents that are only somewhat alike.
 ROUNDS = (
-    (range(0, 4), (0,)),
-    (range(4, 12), (0,)),
-    (range(12, BANDS), (0,)),
-    (range(0, BANDS), (0, 1)),
+    (range(0, 8), (0,)),
+    (range(8, BANDS), (0,)),
     (range(0, BANDS), (0, 3, 10)),
     (range(0, BANDS), (0, 5, 11, 18)),
 )
@@ -100,13 +99,25 @@ def fingerprint(hashes: np.ndarray) -> int:
     return int(mixed(hashes).sum(dtype=np.uint64).view(np.int64)) if len(hashes) else 0
 
 
+def packed_set(hashes: np.ndarray) -> bytes:
+    """A sorted set by the first 48 bits of its hashes, six bytes each."""
+    return (np.unique(hashes >> np.uint64(16)).astype("<u8")[:, None].view(np.uint8)[:, :6]).tobytes()
+
+
+def unpacked_set(data: np.ndarray) -> np.ndarray:
+    """The numbers of a packed set, from its bytes."""
+    out = np.zeros((len(data) // 6, 8), np.uint8)
+    out[:, :6] = data.reshape(-1, 6)
+    return out.view("<u8").ravel()
+
+
 def full_sets(docs: DataFrame, wanted: DataFrame, shingle: int, doc_id: str, text: str) -> DataFrame:
-    """Fingerprints and sets, as sorted 64-bit hashes, of the documents whose ids are in ``wanted``."""
+    """Fingerprints and sets, as sorted 48-bit hashes, of the documents whose ids are in ``wanted``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, texts in slices(batches, "text"):
             sets = [shingle_set(t, shingle) for t in texts]
-            arrays = [pa.array([fingerprint(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())]
+            arrays = [pa.array([fingerprint(s) for s in sets], pa.int64()), pa.array([packed_set(s) for s in sets], pa.binary())]
             yield pa.RecordBatch.from_arrays(arrays, names=["doc", "hashes"])
 
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
@@ -120,7 +131,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         for batch in batches:
             keep = []
             for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                one, two = (np.frombuffer(s.as_buffer(), np.uint64) for s in (x, y))
+                one, two = (unpacked_set(np.frombuffer(s.as_buffer(), np.uint8)) for s in (x, y))
                 both = len(np.intersect1d(one, two, assume_unique=True))
                 keep.append(100 * both >= percent * (len(one) + len(two) - both))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
@@ -161,15 +172,15 @@ def star_links(work: Workspace, nodes: DataFrame, sets: DataFrame, percent: int)
     are two documents compared twice. The hub of a bucket is the member whose buckets hold most documents; later on it
     is one that was no hub yet and has few links.
     """
-    links = work.settled(work.spark.createDataFrame([], "a bigint, b bigint"))
-    seen = hubs_so_far = None
+    found, compared, stars = [], [], []
     for number, (bands, steps) in enumerate(ROUNDS):
         if len(steps) > 1 and len(ROUNDS[number - 1][1]) == 1:
-            nodes = still_apart(work, nodes, links)
+            nodes = still_apart(work, nodes, together(found))
         state = nodes.select("doc", "rep", "size", "weight", bucket_keys(bands, steps).alias("keys"))
         root, rank = F.col("doc"), [F.col("weight"), -F.col("rep"), F.col("doc")]
         if number:
-            state = work.settled(state.join(labels(links), "doc", "left").join(hubs_so_far, "doc", "left"))
+            used = together(stars).select(F.col("hub").alias("doc"), F.lit(1).alias("used")).distinct()
+            state = work.settled(state.join(labels(together(found)), "doc", "left").join(used, "doc", "left"))
             root = F.coalesce("root", "doc")
             rank = [F.coalesce(-F.col("used"), F.lit(0)), -F.coalesce("degree", F.lit(0)), *rank]
         entries = state.select(F.explode("keys").alias("key"), "doc", "size", root.alias("root"), F.struct(*rank).alias("rank"))
@@ -177,7 +188,9 @@ def star_links(work: Workspace, nodes: DataFrame, sets: DataFrame, percent: int)
             F.max(F.struct("rank", "doc", "size", "root")).alias("hub"), F.min("root").alias("low"), F.max("root").alias("high")
         )
         # Written, so that the join below gets both sides from plain shuffles and Spark can split a large bucket.
-        hubs = work.settled(chosen.filter("low < high").select("key", F.col("hub.doc").alias("hub"), F.col("hub.size").alias("hub_size"), F.col("hub.root").alias("hub_root")))
+        hubs = work.settled(
+            chosen.filter("low < high").select("key", F.col("hub.doc").alias("hub"), F.col("hub.size").alias("hub_size"), F.col("hub.root").alias("hub_root"))
+        )
         pairs = (
             entries.join(hubs, "key")
             .filter("root <> hub_root")
@@ -185,16 +198,18 @@ def star_links(work: Workspace, nodes: DataFrame, sets: DataFrame, percent: int)
             .select(F.least("doc", "hub").alias("a"), F.greatest("doc", "hub").alias("b"))
             .distinct()
         )
-        if seen is not None:
-            pairs = pairs.join(seen, ["a", "b"], "left_anti")
-        pairs = work.settled(pairs)
-        before = links
-        links = work.settled(links.unionByName(confirmed(pairs, sets, percent)))
-        seen = pairs if seen is None else work.settled(seen.unionByName(pairs))
-        used = hubs.select(F.col("hub").alias("doc"), F.lit(1).alias("used"))
-        hubs_so_far = work.settled((used if hubs_so_far is None else hubs_so_far.unionByName(used)).distinct())
-        work.drop(before, hubs, state, *([pairs] if number else []))
-    return links
+        if compared:
+            pairs = pairs.join(together(compared), ["a", "b"], "left_anti")
+        compared.append(work.settled(pairs))
+        found.append(work.settled(confirmed(compared[-1], sets, percent)))
+        stars.append(hubs)
+        if number:
+            work.drop(state)
+    return together(found)
+
+
+def together(tables: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, tables)
 
 
 def link_documents(docs: DataFrame, shingle: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -213,9 +228,11 @@ def link_documents(docs: DataFrame, shingle: int = 5, percent: int = 80, doc_id:
         shared = entries.groupBy("key").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
         weights = entries.join(work.settled(shared), "key").groupBy("doc").agg(F.sum("members").alias("weight"))
         nodes = work.settled(classes.withColumnRenamed("n_shingles", "size").join(weights, "doc"))
+        reps = work.settled(classes.select("doc", "rep"))
+        work.drop(classes)
         sets = work.settled(full_sets(docs, nodes.select(F.col("rep").alias("doc_id")), shingle, doc_id, text))
         links = star_links(work, nodes, sets, percent)
-        reps = classes.select("doc", "rep")
+        work.drop(sets, nodes)
         between = links.join(reps.toDF("a", "u"), "a").join(reps.toDF("b", "v"), "b").select("u", "v")
         within = able.join(reps, F.col("f1") == F.col("doc")).filter("doc_id <> rep").select("doc_id", "rep")
         found = components(between.unionByName(within.toDF("u", "v")), work)
