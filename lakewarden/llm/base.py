@@ -25,15 +25,15 @@ SLICE_BYTES = 4 << 20
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
-    """Runs of rows holding about 4 MB of text (one row at least), with their texts in UTF-8; null is empty."""
+def slices(batches: Iterator[pa.RecordBatch], column: str, size: int = SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    """Runs of rows holding at most ``size`` bytes of text (one row at least), with their texts in UTF-8; null is empty."""
     for batch in batches:
         texts = batch.column(batch.schema.get_field_index(column)).cast(pa.binary())
         ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
         start = 0
         while start < batch.num_rows:
             done = ends[start - 1] if start else 0
-            stop = max(start + 1, int(np.searchsorted(ends, done + SLICE_BYTES, "right")))
+            stop = max(start + 1, int(np.searchsorted(ends, done + size, "right")))
             part = batch.slice(start, stop - start)
             yield part, [t or b"" for t in texts.slice(start, stop - start).to_pylist()]
             start = stop

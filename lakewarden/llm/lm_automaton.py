@@ -8,13 +8,14 @@ probability of a word after context ``h`` is ``(c(h, word) + MASS * p(word | sho
 each token follows an arc of the state, or failure arcs until there is one. Long texts are read in pieces at a time, side
 by side; a piece begins ``order - 1`` tokens early, which is all that its first state depends on.
 
-The corpus' n-grams are too many for any one machine. Rows are dealt to chunks of bounded size, equal rows to different
-ones. A chunk asks for the total count of each distinct n-gram that it holds and tells its own training count; requests
+The corpus' n-grams are too many for any one machine. Tasks cut the rows they read into chunks of bounded size, whatever
+the rows are. A chunk asks for the total count of each distinct n-gram that it holds and tells its own training count; requests
 are sorted arrays cut by ranges of hashes. The shard of a range adds up all chunks' counts and answers each request in
 the order it came. So each chunk gets the part of the automaton that its own texts can visit, however large the whole is.
-The chunk's tokens, as numbers, travel with the requests: texts are read, dealt and cut into words once.
+The chunk's tokens, as numbers, travel with the requests: texts are read and cut into words once, and never shuffled.
 
-Words are told apart by hashes of 64 bits, longer n-grams by 54 bits. A null text is empty: its only token is the end; very
+Words are told apart by hashes of 64 bits, longer n-grams by 48 bits or more: ``SPARE`` more than it takes to number all
+tokens, so that at any size fewer than one n-gram in 2 ** SPARE shares its hash with another. A null text is empty: its only token is the end; very
 long texts are read whole. A null id counts as training. Repeated rows are scored alike and each counts in training. An
 empty table gives an empty result. Columns beyond the id and the text are ignored.
 """
@@ -22,19 +23,23 @@ empty table gives an empty result. Columns beyond the id and the text are ignore
 from __future__ import annotations
 
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakewarden.llm.base import HASHES, mixed, settled, ship_package, text_bytes
+from lakewarden.llm.base import HASHES, map_batches, mixed, settled, ship_package, slices, text_bytes
 
 #: Text in a chunk, n-grams in a shard, and the weight of the shorter context.
 CHUNK_BYTES, SHARD_ENTRIES, MASS = 4 << 20, 2_000_000, 2.0
-#: Bits of the hashes of words and of longer n-grams, and tokens of a piece.
-WORD_BITS, GRAM_BITS, PIECE = 64, 54, 256
+#: Bits of the hashes of words, the least bits of those of longer n-grams, and how many are to spare there.
+WORD_BITS, LEAST_BITS, SPARE = 64, 48, 14
+#: Tokens of a piece.
+PIECE = 256
 #: Marks no word can equal, as words hold no space.
 START, END = (np.uint64(xxhash.xxh3_64_intdigest(m)) for m in (b" start", b" end"))
 ROOT = 0
@@ -58,8 +63,9 @@ def is_held_out(doc_id: int | None) -> bool:
     return doc_id is not None and zlib.crc32(str(doc_id).encode()) % 7 == 2
 
 
-def bits(k: int) -> int:
-    return GRAM_BITS if k else WORD_BITS
+def gram_bits(total_bytes: int) -> int:
+    """Bits for the hashes of n-grams of so many bytes of text; no token is shorter than a byte and a space."""
+    return min(WORD_BITS, max(LEAST_BITS, (total_bytes // 2).bit_length() + SPARE))
 
 
 class Grams:
@@ -69,7 +75,7 @@ class Grams:
     that ends there (-1: none), ``first[k]`` for each n-gram a token where it ends.
     """
 
-    def __init__(self, tokens: np.ndarray, lengths: np.ndarray, ids: list[int | None], order: int):
+    def __init__(self, tokens: np.ndarray, lengths: np.ndarray, ids: list[int | None], order: int, width: int = LEAST_BITS):
         self.tokens, self.lengths, self.ids = tokens, lengths, ids
         self.held_out = np.array([is_held_out(i) for i in ids], bool)
         self.starts = np.cumsum(lengths) - lengths
@@ -83,7 +89,7 @@ class Grams:
                 longer[1:] = mixed(chain[:-1] * np.uint64(0x9E3779B97F4A7C15) + tokens[1:] + np.uint64(k + 1))
                 chain = longer
             ends = np.flatnonzero(self.place >= max(1, k))
-            keys, first, number = np.unique(chain[ends] >> np.uint64(64 - bits(k)), return_index=True, return_inverse=True)
+            keys, first, number = np.unique(chain[ends] >> np.uint64(64 - width if k else 0), return_index=True, return_inverse=True)
             at = np.full(len(tokens), -1, np.int32)
             at[ends] = number
             self.keys.append(keys)
@@ -91,33 +97,38 @@ class Grams:
             self.first.append(ends[first])
 
     @classmethod
-    def of_rows(cls, table: pa.Table, order: int) -> Grams:
+    def of_texts(cls, ids: list[int | None], texts: list[bytes], order: int, width: int = LEAST_BITS) -> Grams:
         parts, lengths = [], []
-        for text in table["text"].cast(pa.binary()).to_pylist():
-            words = HASHES.of((text or b"").lower().split())
+        for text in texts:
+            words = HASHES.of(text.lower().split())
             parts += [[START], words, [END]]
             lengths.append(len(words) + 2)
         tokens = np.concatenate(parts).astype(np.uint64) if parts else np.zeros(0, np.uint64)
-        return cls(tokens, np.array(lengths, np.int64), table["doc_id"].to_pylist(), order)
+        return cls(tokens, np.array(lengths, np.int64), ids, order, width)
 
     def to_bytes(self) -> bytes:
         """Tokens as numbers among the distinct ones, lengths and ids."""
-        distinct, number = np.unique(self.tokens, return_inverse=True)
+        distinct, number, times = np.unique(self.tokens, return_inverse=True, return_counts=True)
+        # Frequent words get small numbers, which compress.
+        often = np.argsort(-times, kind="stable")
+        rank = np.empty(len(often), np.int64)
+        rank[often] = np.arange(len(often))
         null = np.array([i is None for i in self.ids], bool)
         ids = np.array([i or 0 for i in self.ids], np.int64).view(np.uint64)
-        parts = [packed(np.diff(distinct, prepend=np.uint64(0))), packed(number), packed(self.lengths), packed(null), packed(ids)]
+        parts = [packed(np.diff(distinct, prepend=np.uint64(0))), packed(often), packed(rank[number]), packed(self.lengths), packed(null), packed(ids)]
         return b"".join(len(p).to_bytes(8, "little") + p for p in parts)
 
     @classmethod
-    def from_bytes(cls, data: bytes, order: int) -> Grams:
+    def from_bytes(cls, data: bytes, order: int, width: int = LEAST_BITS) -> Grams:
         parts, at = [], 0
         while at < len(data):
             size = int.from_bytes(data[at : at + 8], "little")
             parts.append(unpacked(data[at + 8 : at + 8 + size]))
             at += 8 + size
-        steps, number, lengths, null, ids = parts
+        steps, often, number, lengths, null, ids = parts
         known = [None if n else int(i) for i, n in zip(ids.view(np.int64), null, strict=True)]
-        return cls(np.cumsum(steps, dtype=np.uint64)[number.astype(np.int64)], lengths.astype(np.int64), known, order)
+        words = np.cumsum(steps, dtype=np.uint64)[often.astype(np.int64)]
+        return cls(words[number.astype(np.int64)], lengths.astype(np.int64), known, order, width)
 
     def training_counts(self, k: int) -> np.ndarray:
         held = self.at[k] >= 0
@@ -222,9 +233,9 @@ class Automaton:
         return out
 
 
-def shard_edges(shards: int, k: int) -> np.ndarray:
+def shard_edges(shards: int, width: int) -> np.ndarray:
     """The first hash of each shard's range."""
-    return (np.arange(shards, dtype=np.float64) / shards * 2.0 ** bits(k)).astype(np.uint64)
+    return (np.arange(shards, dtype=np.float64) / shards * 2.0**width).astype(np.uint64)
 
 
 def score_texts(docs: DataFrame, order: int = 3, doc_id: str = "doc_id", text: str = "text", chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
@@ -235,29 +246,38 @@ def score_texts(docs: DataFrame, order: int = 3, doc_id: str = "doc_id", text: s
     """
     spark = docs.sparkSession
     ship_package(spark)
-    chunks = max(1, -(-text_bytes(docs, text) // chunk_bytes))
+    total = text_bytes(docs, text)
+    width = gram_bits(total)
     # Each order has at most one n-gram per token; a word takes six bytes or so.
-    shards = max(1, order * chunks * chunk_bytes // 6 // SHARD_ENTRIES)
+    shards = max(1, order * total // 6 // SHARD_ENTRIES)
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    # With a number of the row, so that equal rows go to many chunks. Rows are dealt in this one job only.
-    own = F.pmod(F.xxhash64(F.monotonically_increasing_id(), "doc_id"), F.lit(chunks)).cast("int")
-    dealt = rows.select(own.alias("chunk"), "doc_id", "text")
-    kinds = (pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary())
-    asks = "shard int, chunk int, k int, keys binary, counts binary"
-
-    def ask(group: pa.Table) -> pa.Table:
-        grams = Grams.of_rows(group, order)
-        HASHES.forget()
-        chunk = group["chunk"][0].as_py()
+    asks = "shard bigint, chunk bigint, k int, keys binary, counts binary"
+
+    def requests(chunk: int, grams: Grams) -> pa.RecordBatch:
         # The tokens go the same way as requests, to a group of their own.
         out = [(-1 - chunk, chunk, -1, grams.to_bytes(), b"")]
         for k, keys in enumerate(grams.keys):
             counts = grams.training_counts(k)
-            cuts = np.append(np.searchsorted(keys, shard_edges(shards, k)), len(keys))
+            cuts = np.append(np.searchsorted(keys, shard_edges(shards, width if k else WORD_BITS)), len(keys))
             for s in np.flatnonzero(np.diff(cuts)).tolist():
                 part = slice(cuts[s], cuts[s + 1])
                 out.append((s, chunk, k, packed(np.diff(keys[part], prepend=np.uint64(0))), packed(counts[part])))
-        return pa.table([pa.array(v, t) for v, t in zip(zip(*out, strict=True), kinds, strict=True)], names=["shard", "chunk", "k", "keys", "counts"])
+        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary())
+        arrays = [pa.array(v, t) for v, t in zip(zip(*out, strict=True), kinds, strict=True)]
+        return pa.RecordBatch.from_arrays(arrays, names=["shard", "chunk", "k", "keys", "counts"])
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk = TaskContext.get().partitionId() << 32
+        ids, texts, size = [], [], 0
+        for part, some in slices(batches, "text", chunk_bytes // 4):
+            ids += part.column(0).to_pylist()
+            texts += some
+            size += sum(map(len, some))
+            if size >= chunk_bytes:
+                yield requests(chunk, Grams.of_texts(ids, texts, order, width))
+                ids, texts, size, chunk = [], [], 0, chunk + 1
+        if ids:
+            yield requests(chunk, Grams.of_texts(ids, texts, order, width))
 
     def answer(group: pa.Table) -> pa.Table:
         n, k = group.num_rows, group["k"][0].as_py()
@@ -275,10 +295,9 @@ def score_texts(docs: DataFrame, order: int = 3, doc_id: str = "doc_id", text: s
         extra = [pa.array([v] + [0] * (n - 1), pa.int64()) for v in sums]
         return pa.table([group["chunk"], group["k"], group["shard"], pa.array(answers, pa.binary()), *extra], names=["chunk", "k", "shard", "counts", "tokens", "types", "endings"])
 
-    asked = dealt.groupBy("chunk").applyInArrow(ask, asks)
     replies = settled(
-        asked.groupBy("shard", "k").applyInArrow(
-            answer, "chunk int, k int, shard int, counts binary, tokens bigint, types bigint, endings bigint"
+        map_batches(rows, ask, asks).groupBy("shard", "k").applyInArrow(
+            answer, "chunk bigint, k int, shard bigint, counts binary, tokens bigint, types bigint, endings bigint"
         )
     )
     tokens, types, endings = (v or 0 for v in replies.agg(F.sum("tokens"), F.sum("types"), F.sum("endings")).first())
@@ -286,7 +305,7 @@ def score_texts(docs: DataFrame, order: int = 3, doc_id: str = "doc_id", text: s
     def score(given: pa.Table) -> pa.Table:
         given = given.sort_by([("k", "ascending"), ("shard", "ascending")])
         which, blobs = given["k"].to_numpy(), given["counts"].to_pylist()
-        grams = Grams.from_bytes(blobs[0], order)
+        grams = Grams.from_bytes(blobs[0], order, width)
         counts = [np.concatenate([np.zeros(0, np.uint64)] + [unpacked(blobs[i]) for i in np.flatnonzero(which == k)]) for k in range(order)]
         logs = Automaton(grams, counts, tokens, types, endings).read(grams)
         scored = grams.place >= 1

@@ -7,7 +7,6 @@ import zlib
 from collections import Counter
 
 import numpy as np
-import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -129,7 +128,7 @@ def test_equal_rows_go_to_many_chunks(spark, monkeypatch):
     assert [(r.n_tokens, r.train_tokens) for r in got] == [(10, 100_000)]
     # The texts' own rows, one per chunk.
     sizes = [len(lm_automaton.Grams.from_bytes(r.counts, 1).ids) for r in made[0].filter("k = -1").collect()]
-    assert sum(sizes) == 10_000 and len(sizes) == 10 and max(sizes) < 1_300
+    assert sum(sizes) == 10_000 and len(sizes) >= 10 and max(sizes) < 1_400
 
 
 def test_probabilities_of_every_state_sum_to_one():
@@ -137,7 +136,7 @@ def test_probabilities_of_every_state_sum_to_one():
     rng = np.random.default_rng(2)
     words = [f"w{i}" for i in range(12)]
     texts = [" ".join(rng.choice(words, size=rng.integers(0, 15))) for _ in range(60)]
-    grams = lm_automaton.Grams.of_rows(pa.table({"doc_id": pa.array([None] * 60, pa.int64()), "text": texts}), 3)
+    grams = lm_automaton.Grams.of_texts([None] * 60, [t.encode() for t in texts], 3)
     counts = [grams.training_counts(k) for k in range(3)]
     total, kinds = int(counts[0].sum()), int((counts[0] > 0).sum())
     built = lm_automaton.Automaton(grams, counts, total, kinds, 60)
