@@ -5,6 +5,7 @@ import math
 import re
 import zlib
 from collections import Counter
+from html.parser import HTMLParser
 
 import numpy as np
 import pytest
@@ -179,6 +180,62 @@ def test_fertility(spark, docs, rows):
     assert fertility.judge(docs.limit(0), tokenizer_path(PIECE_BPE), tokenizer_path(BYTE_BPE)).count() == 0
 
 
+def plain_measures(text, pieces, ranks):
+    """The token measures of a text, word by word with the libraries."""
+    words = words_of(text)
+    if not words:
+        return None
+    chars = sum(map(len, words))
+    ids = [i for w in words for i in pieces.encode(w)]
+    counts = Counter(ids)
+    entropy = -sum(c / len(ids) * math.log2(c / len(ids)) for c in counts.values()) / max(1.0, math.log2(len(ids)))
+    byte_tokens = sum(len(ranks.encode_ordinary(w)) for w in words)
+    return chars / len(ids), chars / max(1, byte_tokens), sum(pieces.is_byte(i) for i in ids) / len(ids), entropy
+
+
+def test_fertility_bands_and_verdict(spark):
+    """Measures, bands and verdict of every document, from quartiles of sorted lists."""
+    import base64
+
+    import public_tokenizers
+    import sentencepiece
+    import tiktoken
+
+    pieces = sentencepiece.SentencePieceProcessor(model_file=tokenizer_path(PIECE_BPE))
+    with open(tokenizer_path(BYTE_BPE), "rb") as f:
+        table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    ranks = tiktoken.Encoding("t", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})
+    rows = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text", "lang").collect()
+    rows += [type(rows[0])(10_000 + i, "☃☄★ " * (40 + i), "en") for i in range(30)]  # characters no vocabulary holds
+    frame = spark.createDataFrame([tuple(r) for r in rows], "doc_id long, text string, lang string").repartition(4)
+    got = {r.doc_id: r for r in fertility.judge(frame, tokenizer_path(PIECE_BPE), tokenizer_path(BYTE_BPE)).collect()}
+    measures = {r[0]: plain_measures(r[1] or "", pieces, ranks) for r in rows}
+    by_language = {}
+    for i, _, lang in map(tuple, rows):
+        if not got[i].base_failed:
+            by_language.setdefault(lang, []).append(measures[i])
+    bands = {}
+    for lang, found in by_language.items():
+        for m, name in enumerate(fertility.MEASURES):
+            values = sorted(f[m] for f in found)
+            low, mid, high = (values[max(0, math.ceil(q * len(values)) - 1)] for q in (0.25, 0.5, 0.75))
+            if name == "byte_share":
+                bands[lang, m] = (0.0, high + max(fertility.BYTE_MARGIN, fertility.SPREAD * (high - low)))
+            else:
+                wide = max(fertility.SPREAD * (high - low), fertility.LEAST[name] * mid)
+                bands[lang, m] = (mid - wide, mid + wide)
+    rejected = 0
+    for i, _, lang in map(tuple, rows):
+        have = [getattr(got[i], name) for name in fertility.MEASURES]
+        assert have == [None] * 4 if measures[i] is None else np.allclose(have, measures[i], rtol=1e-12, atol=1e-12)
+        inside = measures[i] is not None and all(
+            bands[lang, m][0] <= v <= bands[lang, m][1] for m, v in enumerate(measures[i]) if (lang, m) in bands
+        )
+        assert got[i].kept == (inside and not got[i].base_failed), (i, measures[i])
+        rejected += not inside and not got[i].base_failed
+    assert rejected > 0
+
+
 def test_fertility_keeps_prose_and_rejects_symbols(spark):
     got = QUERIES["op3_tokeniser_fertility"](spark, SF_DIR).join(spark.read.parquet(f"{SF_DIR}/labels.parquet"), "doc_id").toPandas()
     fit = got[~got.base_failed]
@@ -197,6 +254,62 @@ def test_cotraining_on_other_labels(spark):
     assert got[got.quality == 1].kept.mean() > 0.97
 
 
+def test_cotraining_rounds():
+    """Which pool rows change hands in which round, and the scores, against the rounds written out."""
+    rng = np.random.default_rng(4)
+    widths = [len(r) for r in cotraining.RIDGES]
+    truth = rng.integers(0, 2, 260)
+    views = [rng.normal(size=(260, w)) for w in widths]
+    for view, weight in zip(views, (1.2, 0.9), strict=True):
+        view[:, :3] += weight * (2 * truth[:, None] - 1)
+    known, pool = np.arange(60), np.arange(60, 260)
+    labels = truth[known]
+    model = cotraining.CoTrained([v[known] for v in views], labels, [v[pool] for v in views])
+
+    aside = known % 4 == 3
+    given = [[(views[k][i], float(truth[i])) for i in known if not aside[i]] for k in (0, 1)]
+    left = list(range(200))
+
+    def fit(k):
+        x, y = map(np.array, zip(*given[k], strict=True))
+        return cotraining.Logistic(x, y, cotraining.RIDGES[k])
+
+    models, moved = [fit(0), fit(1)], 0
+    for _ in range(cotraining.ROUNDS):
+        for giver in (0, 1):
+            p = {i: 1 / (1 + math.exp(-models[giver].logit(views[giver][pool[i]][None])[0])) for i in left}
+            most = int(cotraining.SHARE * 200 / 2)
+            sure = [i for i in sorted(left, key=lambda i: -p[i])[:most] if p[i] >= cotraining.SURE]
+            sure += [i for i in sorted(left, key=lambda i: p[i])[:most] if p[i] <= 1 - cotraining.SURE]
+            given[1 - giver] += [(views[1 - giver][pool[i]], float(p[i] > 0.5)) for i in sure]
+            left = [i for i in left if i not in set(sure)]
+            moved += len(sure)
+        models = [fit(0), fit(1)]
+    assert moved > 40
+    for k in (0, 1):
+        assert np.allclose(model.models[k].w, models[k].w, atol=1e-6)
+    logits = [models[k].logit(views[k][known][aside])[:, None] for k in (0, 1)]
+    calibrations = [cotraining.Logistic(x, labels[aside].astype(float), 0.1) for x in logits]
+    both = np.column_stack([c.logit(x) for c, x in zip(calibrations, logits, strict=True)])
+    combined = cotraining.Logistic(both, labels[aside].astype(float), 0.1)
+    asked = [v[pool] for v in views]
+    apart = np.column_stack([c.logit(m.logit(v)[:, None]) for c, m, v in zip(calibrations, models, asked, strict=True)])
+    one, two, score = model.scores(*asked)
+    assert np.allclose(one, 1 / (1 + np.exp(-apart[:, 0])), atol=1e-6) and np.allclose(two, 1 / (1 + np.exp(-apart[:, 1])), atol=1e-6)
+    assert np.allclose(score, 1 / (1 + np.exp(-combined.logit(apart))), atol=1e-6)
+    assert ((score >= 0.5) == (truth[pool] == 1)).mean() > 0.9
+
+
+def test_logistic_solves_its_equation():
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(300, 4))
+    y = (x @ [1.0, -2.0, 0.0, 0.5] + rng.normal(size=300) > 0).astype(float)
+    model = cotraining.Logistic(x, y, 1.0)
+    z = np.column_stack([(x - x.mean(0)) / (x.std(0) + 1e-6), np.ones(300)])
+    p = 1 / (1 + np.exp(-z @ model.w))
+    assert np.abs(z.T @ (y - p) - np.append(np.full(4, 1.0), 1e-3) * model.w).max() < 1e-8
+
+
 def test_cotraining_edges(spark, docs, none):
     labels = spark.createDataFrame([(6, 1), (6, 1), (9, 1), (None, 0), (3, None)], "doc_id long, quality int")
     got = cotraining.score_documents(docs, cotraining.fit(docs, labels), ["doc_id", "lang"]).collect()
@@ -236,14 +349,56 @@ def test_pages(spark):
     assert page_text.extract_main_text(frame.limit(0)).count() == 0
 
 
+class ArticleText(HTMLParser):
+    """Text of the blocks of <article>, by the standard library's parser: every tag that isn't inline ends a block."""
+
+    INLINE = {"a", "b", "i", "em", "strong", "span", "code", "small", "sup", "sub", "u", "br", "img"}
+
+    def __init__(self, html):
+        super().__init__(convert_charrefs=True)
+        self.depth, self.parts, self.blocks = 0, [], []
+        self.feed(html)
+        self.close()
+        self.cut()
+
+    def cut(self):
+        text = re.sub(r"\s+", " ", "".join(self.parts)).strip()
+        self.blocks += [text] if text else []
+        self.parts = []
+
+    def handle_starttag(self, tag, attributes):
+        if tag == "br":
+            self.parts.append(" ")
+        elif tag not in self.INLINE:
+            self.cut()
+        self.depth += tag == "article"
+
+    def handle_endtag(self, tag):
+        if tag not in self.INLINE:
+            self.cut()
+        self.depth -= tag == "article"
+
+    def handle_data(self, data):
+        if self.depth:
+            self.parts.append(data)
+
+
 def test_pages_of_the_table(spark):
     html = {r.page_id: r.html for r in spark.read.parquet(f"{SF_DIR}/pages.parquet").collect()}
     got = QUERIES["op5_crf_page_text"](spark, SF_DIR).collect()
     assert len(got) == len(html)
     for r in got:
-        body = html[r.page_id].partition("<article>")[2].partition("</article>")[0]
-        blocks = [b.text for b in page_text.blocks_of(f"<article>{body}</article>")]
-        assert (r.text, r.n_chars) == ("\n".join(blocks), len("\n".join(blocks)))
+        want = "\n".join(ArticleText(html[r.page_id] or "").blocks)
+        assert (r.text, r.n_chars) == (want, len(want))
+
+
+def test_long_and_repeated_pages(spark):
+    """A very long page is read whole; equal rows give equal results."""
+    words = " ".join(f"word{i}" for i in range(40_000))
+    page = f"<html><body><nav><a href='/'>home</a></nav><article><h1>Long one</h1>{''.join(f'<p>{words}</p>' for _ in range(3))}</article></body></html>"
+    frame = spark.createDataFrame([(1, "u", page)] * 3, "page_id long, url string, html string")
+    got = page_text.extract_main_text(frame).collect()
+    assert [r.text for r in got] == ["\n".join(["Long one", words, words, words])] * 3
 
 
 def test_reply_trees_against_sql(spark):
