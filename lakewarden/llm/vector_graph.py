@@ -30,6 +30,8 @@ from lakewarden.llm.base import settled, ship_package
 SHARD, BLOCK = 2_000, 2_000
 #: Edges from a node; width of the beam while building and while searching; how much longer a detour may be.
 DEGREE, BUILD_BEAM, BEAM, ALPHA = 32, 64, 128, 1.2
+#: Tasks at most in one step; shards and blocks are far smaller than partitions by bytes, and costly to work on.
+TASKS = 10_000
 #: Nodes expanded at once by each search, and searches run side by side.
 STRIDE, SIDE = 4, 200
 
@@ -176,6 +178,7 @@ def build_index(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "em
     nodes = settled(few.groupBy("dims", "x").agg(F.sort_array(F.collect_list("vec_id")).alias("ids")))
     sizes = nodes.groupBy("dims").agg(F.ceil(F.count(F.lit(1)) / shard).alias("shards"))
     dealt = nodes.join(sizes, "dims").select("dims", F.pmod(F.xxhash64("x"), "shards").cast("int").alias("shard"), "ids", "x")
+    tasks = min(TASKS, sizes.agg(F.sum("shards")).first()[0] or 1)
 
     def build(group: pa.Table) -> pa.Table:
         # In order of ids, so that the graph doesn't depend on how rows arrive.
@@ -188,7 +191,7 @@ def build_index(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "em
         return pa.table(columns, names=["dims", "shard", "node", "ids", "x", "out", "start"])
 
     schema = "dims int, shard int, node int, ids array<bigint>, x array<double>, out array<int>, start boolean"
-    return settled(dealt.groupBy("dims", "shard").applyInArrow(build, schema))
+    return settled(dealt.repartition(tasks, "dims", "shard").groupBy("dims", "shard").applyInArrow(build, schema))
 
 
 def search(index: DataFrame, queries: DataFrame, k: int, vec_id: str = "vec_id", embedding: str = "embedding", beam: int = BEAM, block: int = BLOCK) -> DataFrame:
@@ -234,6 +237,8 @@ def search(index: DataFrame, queries: DataFrame, k: int, vec_id: str = "vec_id",
         return pa.table([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.float64())], names=["query_id", "vec_id", "score"])
 
     keys = ["dims", "shard", "block"]
+    tasks = min(TASKS, counts.agg(F.sum(F.col("shards") * F.col("blocks"))).first()[0] or 1)
+    left, right = left.repartition(tasks, *keys), right.repartition(tasks, *keys)
     found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(run, schema)
     once = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
