@@ -1,7 +1,7 @@
 """From raw documents to packed training sequences, stage by stage.
 
 Each stage takes (spark, docs, sf_dir) and works on all that its predecessor kept; ``run`` writes every stage's result as
-Parquet to the shared folder and reads it again. Columns beyond those of ``documents`` are dropped at the first stage.
+Parquet to the shared folder, reads it again and removes it when the next one is there. Columns beyond those of ``documents`` are dropped at the first stage.
 Rows with a null id are judged and deduplicated like others, but are never near-duplicates of anything.
 """
 
@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakewarden.llm import cotraining, fertility, near_dedup, packing, substring_dedup
-from lakewarden.llm.base import scratch, write_parquet
+from lakewarden.llm.base import remove_folder, scratch, write_parquet
 from lakewarden.llm.queries import BYTE_BPE, PIECE_BPE, WORD_BPE, tokenizer_path
 from lakewarden.llm.registry import table
 
@@ -63,9 +63,12 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of ``sf_dir``; returns where every piece of every remaining document stands."""
     docs = table(spark, sf_dir, "documents")
-    folder = scratch(spark)
+    folder, before = scratch(spark), None
     for number, (name, stage) in enumerate(STAGES):
         path = f"{folder}/{number}_{name}"
         write_parquet(stage(spark, docs, sf_dir), path)
         docs = spark.read.parquet(path)
+        if before:
+            remove_folder(spark, before)
+        before = path
     return docs
