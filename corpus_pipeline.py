@@ -1,8 +1,10 @@
 """From raw documents to packed training sequences, stage by stage.
 
 Each stage takes (spark, docs, sf_dir) and works on all that its predecessor kept; ``run`` writes every stage's result as
-Parquet to the shared folder, reads it again and removes it when the next one is there. Columns beyond those of ``documents`` are dropped at the first stage.
-Rows with a null id are judged and deduplicated like others, but are never near-duplicates of anything.
+Parquet to the shared folder, reads it again and removes it when the next one is there. Columns beyond those of
+``documents`` are dropped at the first stage. Rows with a null id are judged and deduplicated like others, but are never
+near-duplicates of anything. A row repeated as a whole has one id: near-duplicates keeps all its copies or none, and
+repeated passages then takes what stands in both. A document left without text is packed as its end token.
 """
 
 from __future__ import annotations

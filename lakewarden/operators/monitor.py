@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakewarden.plans.ordered import ordered_columns
+from lakewarden.plans.ordered import one_group, ordered_columns
 from lakewarden.plans.sizing import unique_by
 
 # Fixed values.
@@ -82,7 +82,7 @@ def provisioning_stats(
     pairs = {f"{t}_{a}": (F.col("object_type") == t) & (F.col("action") == a) for t in object_types for a in actions}
     per_cycle = audit.groupBy(cycle).agg(*[F.count_if(c).alias(name) for name, c in pairs.items()])
     # All cycles are one group, which is cut into stretches when it is large.
-    one = per_cycle.withColumn("__all", F.lit(0))
+    one = per_cycle.withColumn("__all", one_group(cycle))
     before = {f"{name}_to_date": name for name in pairs}
     running = ordered_columns(one, ["__all"], [cycle], sum_before=before, rows_per_task=rows_per_task)
     return running.select(cycle, *pairs, *[(F.col(out) + F.col(name)).alias(out) for out, name in before.items()])

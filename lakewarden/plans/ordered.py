@@ -24,6 +24,11 @@ CUTS = 4
 HALVING = [2**i for i in reversed(range(24))]
 
 
+def one_group(*columns: str) -> Column:
+    """A key that all rows share, but no literal: joins on a literal are planned as nested loops."""
+    return F.pmod(F.xxhash64(*columns), F.lit(1))
+
+
 def _cuts_before(cuts: Column, at: Column) -> Column:
     """How many of the sorted ``cuts`` are at or before ``at``."""
     return F.aggregate(

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from lakewarden.operators.monitor import SAMPLING_PERIOD, resample_metrics
-from lakewarden.plans.ordered import ordered_columns
+from lakewarden.plans.ordered import one_group, ordered_columns
 
 # Fixed value.
 RETENTION_DAYS = 3
@@ -63,7 +63,7 @@ def retain_stream(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        marked = batch.withColumn("__all", F.lit(0))
+        marked = batch.withColumn("__all", one_group(*order))
         # One group, which is cut into stretches when a batch is large.
         seen = ordered_columns(marked, ["__all"], list(order), max_before={"__newest": ts})
         newest = F.col("__newest")
