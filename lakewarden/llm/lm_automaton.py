@@ -14,7 +14,7 @@ are sorted arrays cut by ranges of hashes. The shard of a range adds up all chun
 the order it came. So each chunk gets the part of the automaton that its own texts can visit, however large the whole is.
 The chunk's tokens, as numbers, travel with the requests: texts are read and cut into words once, and never shuffled.
 
-Words are told apart by hashes of 64 bits, longer n-grams by 48 bits or more: ``SPARE`` more than it takes to number all
+Words are told apart by hashes of 64 bits, longer n-grams by 44 bits or more: ``SPARE`` more than it takes to number all
 tokens, so that at any size fewer than one n-gram in 2 ** SPARE shares its hash with another. A null text is empty: its only token is the end; very
 long texts are read whole. A null id counts as training. Repeated rows are scored alike and each counts in training. An
 empty table gives an empty result. Columns beyond the id and the text are ignored.
@@ -37,7 +37,7 @@ from lakewarden.llm.base import HASHES, map_batches, mixed, settled, ship_packag
 #: Text in a chunk, n-grams in a shard, and the weight of the shorter context.
 CHUNK_BYTES, SHARD_ENTRIES, MASS = 4 << 20, 2_000_000, 2.0
 #: Bits of the hashes of words, the least bits of those of longer n-grams, and how many are to spare there.
-WORD_BITS, LEAST_BITS, SPARE = 64, 48, 14
+WORD_BITS, LEAST_BITS, SPARE = 64, 44, 14
 #: Tokens of a piece.
 PIECE = 256
 #: Marks no word can equal, as words hold no space.
@@ -50,7 +50,7 @@ SCORES = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, trai
 def packed(values: np.ndarray) -> bytes:
     """Numbers byte plane by byte plane, compressed: leading zeros and small counts take little."""
     planes = np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8).T)
-    return len(values).to_bytes(8, "little") + pa.compress(planes.tobytes(), "zstd", asbytes=True)
+    return len(values).to_bytes(8, "little") + pa.Codec("zstd", compression_level=4).compress(planes.tobytes(), asbytes=True)
 
 
 def unpacked(data: bytes) -> np.ndarray:
