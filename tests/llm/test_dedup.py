@@ -174,6 +174,7 @@ def test_fm_index():
 
 
 def test_registered_queries(spark):
+    import lakewarden.llm.queries  # noqa: F401  registers them
     from lakewarden.llm.registry import QUERIES
 
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()]
