@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lakewarden.functions import mask_expression
 from lakewarden.functions.columns import MASK
-from lakewarden.plans.sizing import join_groups, rows_at_most
+from lakewarden.plans.sizing import join_groups, local_table, rows_at_most
 
 # Up to so many secrets become one pattern of the plan; more are joined, with equal rows.
 SECRET_LIMIT = 1_000
@@ -28,36 +28,61 @@ def mask_values(df: DataFrame, col: str, secrets: Sequence[str] | DataFrame, lim
     rows = rows_at_most(words, limit)
     if rows is not None:
         return df.withColumn(col, mask_expression(col, [r["secret"] for r in rows]))
-    return _mask_joined(df, col, words)
+    return _mask_joined(df, col, words, limit)
 
 
 TEXT_KEYS = ["__key", "__check"]
 
 
-def _mask_joined(df: DataFrame, col: str, words: DataFrame) -> DataFrame:
-    """The same for long tables of secrets, once per distinct text.
+def _heads(words: DataFrame, k: int, limit: int) -> tuple[int, list[tuple]]:
+    """At most ``limit`` different beginnings of all secrets, of the returned length: ``k`` halved until they are few."""
+    while k:
+        rows = rows_at_most(words.select(F.left("secret", F.lit(k)).alias("head")).distinct(), limit)
+        if rows is not None:
+            return k, [tuple(r) for r in rows]
+        k //= 2
+    return 0, [("",)]
+
+
+def _mask_joined(df: DataFrame, col: str, words: DataFrame, limit: int) -> DataFrame:
+    """The same for long tables of secrets, looked up once per distinct text.
 
     The first characters of a secret, as many as the shortest secret has, are its anchor. A place of
     a text is looked up by the characters there, once. Only where they are an anchor the lengths of
     the secrets behind it are tried, and what stands there is looked up among the secrets.
+
+    Places where no secret can begin go before anything is shuffled. At most ``limit`` anchors with
+    their lengths meet the places by broadcast; of more anchors, at most ``limit`` beginnings do so,
+    and only the places that have one are shuffled to the anchors.
     """
+    spark = df.sparkSession
     k = words.agg(F.min(F.length("secret"))).first()[0]
-    anchors = words.groupBy(F.left("secret", F.lit(k)).alias("anchor")).agg(F.collect_set(F.length("secret")).alias("lengths"))
+    starts = words.select(F.left("secret", F.lit(k)).alias("anchor"), F.length("secret").alias("len")).distinct()
+    few = rows_at_most(starts, limit)
     text = F.col("__text")
     texts = df.select(F.col(col).alias("__text")).filter(F.length(col) >= k).distinct()
-    # Two hashes stand for a text until the end, where the text itself is compared.
+    # Two hashes stand for a text.
     keyed = texts.select("__text", F.xxhash64(text).alias("__key"), F.xxhash64(F.lit(1), text).alias("__check"))
     # Exploding the one array keeps it from being split again for every place.
-    chars = keyed.select(*TEXT_KEYS, F.explode(F.array(F.split(text, ""))).alias("chars"))
+    letters = F.explode(F.array(F.split(text, ""))).alias("chars")
     places = F.transform(
         F.sequence(F.lit(1), F.size("chars") - k + 1), lambda p: F.array_join(F.slice("chars", p, F.lit(k)), "")
     )
-    grams = chars.select(*TEXT_KEYS, F.posexplode(places).alias("pos", "gram"))
-    begun = join_groups(grams, anchors, [("gram", "anchor")]).groupBy(*TEXT_KEYS)
-    begun = begun.agg(F.collect_list(F.struct("pos", "lengths")).alias("begun"))
-    tried = keyed.join(begun, TEXT_KEYS).select("__text", *TEXT_KEYS, F.inline("begun"))
-    pieces = tried.select(*TEXT_KEYS, "pos", "__text", F.explode("lengths").alias("len")).select(
-        *TEXT_KEYS, "pos", "len", F.substr("__text", F.col("pos") + 1, F.col("len")).alias("piece")
+    grams = keyed.select(*TEXT_KEYS, letters).select(*TEXT_KEYS, "chars", F.posexplode(places).alias("pos", "gram"))
+    if few is not None:
+        known = F.broadcast(local_table(spark, [tuple(r) for r in few], "anchor string, len int"))
+        tried = grams.join(known, F.col("gram") == F.col("anchor"))
+    else:
+        h, heads = _heads(words, k, limit)
+        known = F.broadcast(local_table(spark, heads, "head string"))
+        grams = grams.drop("chars").join(known, F.left("gram", F.lit(h)) == F.col("head"), "left_semi")
+        anchors = words.groupBy(F.left("secret", F.lit(k)).alias("anchor")).agg(F.collect_set(F.length("secret")).alias("lengths"))
+        begun = join_groups(grams, anchors, [("gram", "anchor")]).groupBy(*TEXT_KEYS)
+        begun = begun.agg(F.collect_list(F.struct("pos", "lengths")).alias("begun"))
+        tried = keyed.join(begun, TEXT_KEYS).select(*TEXT_KEYS, "begun", letters).select(*TEXT_KEYS, "chars", F.inline("begun"))
+        tried = tried.select(*TEXT_KEYS, "chars", "pos", F.explode("lengths").alias("len"))
+    pieces = tried.select(
+        *TEXT_KEYS, "pos", "len", F.array_join(F.slice("chars", F.col("pos") + 1, F.col("len")), "").alias("piece")
     )
     # At the end of a text a piece may be short, and equal a shorter secret that is tried anyway.
     whole = pieces.filter(F.length("piece") == F.col("len"))
@@ -77,11 +102,14 @@ def _mask_joined(df: DataFrame, col: str, words: DataFrame) -> DataFrame:
             ),
         ).otherwise(acc),
     )["cuts"]
-    cut = keyed.join(found.select(*TEXT_KEYS, kept.alias("cuts")), TEXT_KEYS)
-    split = cut.select("__text", "cuts", F.explode(F.array(F.split(text, ""))).alias("chars"))
-    masked = split.select("__text", _cut(F.col("chars"), F.col("cuts")).alias("__masked"))
-    joined = join_groups(df, masked, [(col, "__text")], "left")
-    return joined.select(*[F.coalesce("__masked", df[c]).alias(c) if c == col else df[c] for c in df.columns])
+    cuts = found.select(*TEXT_KEYS, kept.alias("__cuts"))
+    rows = df.withColumns({"__key": F.xxhash64(col), "__check": F.xxhash64(F.lit(1), F.col(col))})
+    joined = join_groups(rows, cuts, [(c, c) for c in TEXT_KEYS], "left").select(*[rows[c] for c in df.columns], "__cuts")
+    # Only texts that are cut are split, and once.
+    letters = F.explode(F.array(F.when(F.col("__cuts").isNotNull(), F.split(col, ""))))
+    split = joined.select("*", letters.alias("__chars"))
+    masked = F.when(F.col("__cuts").isNull(), F.col(col)).otherwise(_cut(F.col("__chars"), F.col("__cuts")))
+    return split.select(*[masked.alias(c) if c == col else F.col(c) for c in df.columns])
 
 
 def _cut(chars: Column, cuts: Column) -> Column:

@@ -106,6 +106,28 @@ def test_masking_with_a_long_table(spark):
     assert rows == Counter(map(tuple, short.collect())) and sum("***" in (t or "") for t, _ in rows) > 40
 
 
+@pytest.mark.parametrize("shortest", ["tok1", "tok1000"])
+def test_places_without_a_secret_are_not_shuffled(spark, shortest):
+    """The places of a text meet what secrets begin with by broadcast, with few anchors as with more than the limit."""
+    secrets = {f"tok{n:04d}" for n in range(0, 3_600, 3)} | {shortest}
+    texts = [f"a text tok{n}, tok{n // 2}" for n in range(980, 1_020)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = mask_values(df, "t", spark.createDataFrame([(s,) for s in sorted(secrets)], "secret string"))
+    parents = got._jdf.queryExecution().executedPlan().toString().split("Generate posexplode")[0].splitlines()
+    assert "BroadcastHashJoin" in next(p for p in reversed(parents) if "Exchange" in p or "Join" in p)
+    longest_first = "|".join(sorted(secrets, key=len, reverse=True))
+    assert sorted(r["t"] for r in got.collect()) == sorted(re.sub(longest_first, "***", t) for t in texts)
+
+
+@pytest.mark.parametrize("limit", [2, 3, 5])
+def test_masking_by_anchors_and_by_beginnings(spark, limit):
+    df = spark.createDataFrame([(t,) for t in ["xabcd abc", "abcab", "bcd", "zzabdab", "caé", None, "ab", ""] * 2], "t string")
+    table = spark.createDataFrame([(s,) for s in ["abc", "abcd", "abd", "bca", "bcd é", "caé"]], "s string")
+    want = ["x*** ***", "***ab", "bcd", "zz***ab", "***", None, "ab", ""] * 2
+    got = mask_values(df, "t", table, limit=limit)
+    assert got.schema == df.schema and Counter(r["t"] for r in got.collect()) == Counter(want)
+
+
 def test_patterns_of_shared_beginnings():
     assert any_of(["the", "then", "tion", "e."]) == r"(?:e\.|t(?:he(?:n)?|ion))"
     assert any_of(["a.b"]) == r"a\.b"
