@@ -90,7 +90,7 @@ def _arriving(spark, events, root, run, time="ts"):
     ends = [F.lit(e).cast("timestamp_ntz") for e in BATCH_ENDS]
     number = sum((F.col(time) >= e).cast("int") for e in ends)
     for batch in range(len(ends) + 1):
-        events.filter(number == batch).coalesce(1).write.mode("append").parquet(f"{root}/in")
+        events.filter(number == batch).write.mode("append").parquet(f"{root}/in")
         run(read_event_stream(spark, f"{root}/in", events.schema, fmt="parquet"))
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,6 +19,8 @@ CAPTURE_SECONDS = 900
 CAPTURE_BYTES = 10_485_760
 #: Stand for what a folder name can't say: an event without a time, and one without a partition.
 NO_WINDOW, NO_PARTITION = -(2**62), "__no_partition__"
+#: Files of a window that one task writes, one after the other.
+FILES_TOGETHER = 16
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -237,13 +240,13 @@ def capture_files(
             number.alias("file_no"),
         )
         keys = ["partition_key", "window_epoch", "file_no"]
-        # Each file's events go to one task, at most ``max_bytes`` and an event.
-        target = f"{path}/batch_id={batch_id}"
-        files.repartition(*keys).write.partitionBy(*keys).mode("overwrite").parquet(target)
-        # The new carry comes from what was written: the batch is computed once.
-        schema = T.StructType([*[f for f in files.schema if f.name not in keys], *[files.schema[k] for k in keys]])
-        written = spark.read.schema(schema).parquet(target) if not _is_empty(spark, target) else spark.createDataFrame([], schema)
-        touched = written.groupBy("partition_key", F.col("window_epoch").alias("epoch")).agg(F.sum("bytes").alias("bytes"))
+        # Each file's events go to one task, with those of the next files, as every task makes the folders above its own.
+        # It is files that take time here, not the bytes by which Spark would merge tasks.
+        tasks, block = int(spark.conf.get("spark.sql.shuffle.partitions")), F.expr(f"file_no DIV {FILES_TOGETHER}")
+        writer = files.repartition(tasks, *keys[:2], block).write.partitionBy(*keys).mode("overwrite")
+        writer.parquet(f"{path}/batch_id={batch_id}")
+        # The batch's bytes are summed up from its events: no file is opened again for it.
+        touched = marked.groupBy(F.col("__partition").alias("partition_key"), F.col("__epoch").alias("epoch")).agg(F.sum("__bytes").alias("bytes"))
         if carried is not None:
             touched = touched.unionByName(carried.filter("epoch IS NOT NULL").select("partition_key", "epoch", "bytes"))
         summed = touched.groupBy("partition_key", "epoch").agg(F.sum("bytes").alias("bytes"))
@@ -263,11 +266,24 @@ def capture_files(
     return writer.trigger(availableNow=True) if trigger is None else writer.trigger(processingTime=trigger)
 
 
+@contextmanager
+def _listing(spark: SparkSession) -> Iterator[None]:
+    """Folders are listed by as many tasks as run at a time, not by a task each."""
+    name = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(name)
+    spark.conf.set(name, min(int(before), 2 * spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def read_captured(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """The events ``capture_files`` wrote, of ``schema``, with bytes, partition_key, window_start and file_no."""
     keys = [("batch_id", T.LongType()), ("partition_key", T.StringType()), ("window_epoch", T.LongType()), ("file_no", T.LongType())]
     full = T.StructType([*schema, T.StructField("bytes", T.LongType()), *[T.StructField(n, t) for n, t in keys]])
-    stored = spark.read.schema(full).parquet(path)
+    with _listing(spark):
+        stored = spark.read.schema(full).parquet(path)
     return stored.select(
         *schema.names,
         "bytes",
@@ -287,12 +303,6 @@ def _remove(spark: SparkSession, path: str) -> None:
     store.delete(target, True)
 
 
-def _is_empty(spark: SparkSession, path: str) -> bool:
-    """Whether a written folder holds no data folders (a batch without events)."""
-    store, target = _place(spark, path)
-    return not any(s.isDirectory() for s in store.listStatus(target))
-
-
 def capture_stream(
     stream: DataFrame,
     path: str,

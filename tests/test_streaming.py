@@ -1,9 +1,11 @@
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import DataFrameReader
 from pyspark.sql import functions as F
 
 from lakewarden.operators.monitor import resample_metrics
+from lakewarden.plans.queries.streams import _arriving
 from lakewarden.sources import read_event_stream
 from lakewarden.streaming import (
     ROCKSDB,
@@ -167,6 +169,32 @@ def test_a_batch_that_runs_again_replaces_itself(spark, feed, tmp_path):
     assert {r["event_id"]: r["file_no"] for r in again} == {i: i * 10 // 25 for i in range(9)}
 
 
+def test_captured_files_are_listed_by_few_tasks_and_read_once(spark, feed, tmp_path, monkeypatch):
+    """A batch opens none of the files written, and reading them doesn't take a task per folder."""
+    reads, name = [], "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before, parquet = spark.conf.get(name), DataFrameReader.parquet
+    monkeypatch.setattr(DataFrameReader, "parquet", lambda r, path, **k: reads.append((path, spark.conf.get(name))) or parquet(r, path, **k))
+    batches = [[event(i, i, key=i % 2, size=10) for i in range(n, n + 90)] for n in (0, 90)]
+    got = captured(spark, feed, batches).collect()
+    assert {r["event_id"]: r["file_no"] for r in got} == {i: i // 2 * 10 // 25 for i in range(180)}
+    files = [tasks for path, tasks in reads if f"{feed.root}/files" in path]
+    assert len(files) == 1 and int(files[0]) <= 2 * spark.sparkContext.defaultParallelism
+    assert spark.conf.get(name) == before
+    # The files of a window are written by several tasks, neighbours by the same.
+    parts = {}
+    for f in tmp_path.glob("files/batch_id=0/partition_key=0/*/*/*.parquet"):
+        parts[int(f.parent.name.split("=")[1])] = f.name.split("-")[1]
+    assert len(parts) == 18 and len({parts[n] for n in range(16)}) == 1
+
+
+def test_a_feed_is_not_written_by_one_task(spark, tmp_path):
+    events = spark.createDataFrame([event(i, 86_400 * i) for i in range(30)], SCHEMA).repartition(3)
+    batches = []
+    _arriving(spark, events, str(tmp_path), lambda stream: batches.append(len(list(tmp_path.glob("in/*.parquet")))))
+    assert len(batches) == 4 and batches[0] > 1
+    assert spark.read.parquet(f"{tmp_path}/in").count() == 30
+
+
 def test_resampled_stream_equals_closed_batch_windows(spark, feed):
     rows = [event(i, 7 * i, key=i % 3, value=float(i % 5)) for i in range(200)]
     feed.add(rows)
